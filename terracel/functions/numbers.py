@@ -44,7 +44,7 @@ def clamp(v: Column, lo, hi) -> Column:
 def number_text(v: Column, decimals: int = 2, grouped: bool = True, null: str = "-") -> Column:
     """Decimal comma and thousands dot ("1.234,50"); ``null`` text for missing values."""
     plain = F.format_string(f"%{',' if grouped else ''}.{decimals}f", v)
-    return F.coalesce(F.translate(plain, ",.", ".,"), F.lit(null))
+    return F.when(v.isNull(), F.lit(null)).otherwise(F.translate(plain, ",.", ".,"))
 
 
 def trimmed_text(v: Column, decimals: int = 2) -> Column:
@@ -54,60 +54,71 @@ def trimmed_text(v: Column, decimals: int = 2) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    """Number from text with decimal comma or point ("1.234,5", "12,5", "12.5"); null otherwise."""
-    t = F.regexp_replace(F.trim(text), r"\s", "")
-    both = t.contains(",") & t.contains(".")
-    comma_last = F.length(t) - F.instr(F.reverse(t), ",") > F.length(t) - F.instr(F.reverse(t), ".")
-    swapped = F.when(
-        both & comma_last, F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    ).when(both, F.replace(t, F.lit(","), F.lit(""))).otherwise(F.replace(t, F.lit(","), F.lit(".")))
-    value = swapped.try_cast("double")
+    """Number from text such as "1.234,5", "12,5" or "12.5"; null when it is none.
+
+    With one comma and points, the points are thousands marks.
+    """
+    t = F.replace(F.trim(text), F.lit(" "), F.lit(""))
+    commas = F.length(t) - F.length(F.replace(t, F.lit(","), F.lit("")))
+    t = F.when((commas == 1) & t.contains("."), F.replace(t, F.lit("."), F.lit(""))).otherwise(t)
+    value = F.replace(t, F.lit(","), F.lit(".")).try_cast("double")
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
 def dms_text(
     deg: Column,
-    style: str = "seconds",
-    decimals: int = 0,
+    decimals: int = 2,
+    deg_pad: int = 1,
+    min_pad: int = 2,
+    carry: bool = True,
+    wrap: bool = False,
     comma: bool = False,
+    degree: str = "°",
+    gap: str = "",
+    close: str = '"',
     hemisphere: str | None = None,
-    pad: int = 2,
+    minutes_only: bool = False,
+    drop_whole: bool = False,
 ) -> Column:
-    """Degrees as text.
+    """Decimal degrees as degrees, minutes and seconds.
 
-    ``seconds`` rounds to ``decimals`` and carries 60" and 60' over; ``no_carry`` leaves
-    them; ``minutes`` truncates to whole minutes.  ``hemisphere`` ("NS" or "EW") replaces the
-    sign by a letter.
+    ``wrap`` brings the angle to 0..360 first; ``carry`` turns 60 seconds (after rounding) into a
+    minute and 60 minutes into a degree; ``minutes_only`` cuts the seconds off; ``drop_whole``
+    leaves decimals out of whole seconds; ``hemisphere`` ("NS" or "EW") adds the letter.
     """
-    a = F.abs(deg)
+    a = F.pmod(deg, F.lit(360.0)) if wrap else F.abs(deg)
     d = F.floor(a)
     m_full = (a - d) * 60
     m = F.floor(m_full)
-    s = (m_full - m) * 60
-    if style == "minutes":
-        body = F.format_string(f"%d°%0{pad}d'", d, m)
-    elif style == "no_carry":
-        body = F.format_string(f"%d°%0{pad}d'%0{decimals + 3 if decimals else 2}.{decimals}f\"", d, m, s)
+    deg_f, min_f = f"%0{deg_pad}d{degree}{gap}", f"%0{min_pad}d'"
+    if minutes_only:
+        body = F.format_string(deg_f + min_f, d, m)
     else:
-        sr = F.round(s, decimals)
-        m1 = m + F.when(sr >= 60, 1).otherwise(0)
-        sr = F.when(sr >= 60, 0.0).otherwise(sr)
-        d1 = d + F.when(m1 >= 60, 1).otherwise(0)
-        m1 = F.when(m1 >= 60, F.lit(0)).otherwise(m1)
-        body = F.format_string(
-            f"%d°%0{pad}d'%0{decimals + 3 if decimals else 2}.{decimals}f\"", d1, m1.cast("long"), sr
-        )
-    if comma:
-        body = F.translate(body, ".", ",")
+        s = F.round((m_full - m) * 60, decimals)
+        if carry:
+            m2 = m + F.when(s >= 60, 1).otherwise(0)
+            d2 = d + F.when(m2 >= 60, 1).otherwise(0)
+            s = F.when(s >= 60, 0.0).otherwise(s)
+            m = F.when(m2 >= 60, F.lit(0)).otherwise(m2).cast("long")
+            d = (F.pmod(d2, F.lit(360)) if wrap else d2).cast("long")
+        width = decimals + 3 if decimals else 2
+        seconds = F.format_string(f"%0{width}.{decimals}f", s)
+        if drop_whole:
+            seconds = F.when(s == F.floor(s), F.format_string("%02d", F.floor(s))).otherwise(seconds)
+        if comma:
+            seconds = F.translate(seconds, ".", ",")
+        body = F.concat(F.format_string(deg_f + min_f, d, m), F.lit(gap), seconds, F.lit(close))
     if hemisphere:
-        return F.concat(body, F.when(deg < 0, hemisphere[1]).otherwise(hemisphere[0]))
-    return F.when(deg < 0, F.concat(F.lit("-"), body)).otherwise(body)
+        letter = F.when(deg < 0, hemisphere[1]).otherwise(hemisphere[0])
+        return F.concat(body, F.lit(gap), letter)
+    return body if wrap else F.when(deg < 0, F.concat(F.lit("-"), body)).otherwise(body)
 
 
 def size_text(n: Column) -> Column:
     """Bytes as B, KB, MB, GB or TB with two decimals."""
-    units = ["B", "KB", "MB", "GB", "TB", "PB"]
-    out = F.format_string("%.2f PB", n / F.lit(1024.0**5))
-    for i in range(4, -1, -1):
-        out = F.when(n < F.lit(1024.0 ** (i + 1)), F.format_string(f"%.2f {units[i]}", n / F.lit(1024.0**i))).otherwise(out)
+    units = ["B", "KB", "MB", "GB"]
+    out = F.format_string("%.2f TB", n / F.lit(1024.0**4))
+    for i in range(3, -1, -1):
+        text = F.format_string(f"%.2f {units[i]}", n / F.lit(1024.0**i))
+        out = F.when(n < F.lit(1024.0 ** (i + 1)), text).otherwise(out)
     return out
