@@ -182,17 +182,20 @@ def rotate_ring(ring: Column, start: Column) -> Column:
 
 
 def start_vertex(ring: Column, rule: str, px: Column | None = None, py: Column | None = None) -> Column:
-    """0-based vertex by rule: ``sw se ne nw`` (closest to that box corner), ``north`` or ``point``.
+    """0-based start vertex by rule.
 
-    Ties go to the earliest vertex.
+    ``sw se ne nw``: lowest or highest y, then lowest or highest x; ``north``: highest y, then
+    lowest x; ``point``: closest to ``(px, py)``.  Ties go to the earliest vertex.
     """
-    box = ring_box(ring)
-    if rule == "north":
-        key = lambda p: -p["y"]
-    else:
-        cx = {"sw": box["minx"], "nw": box["minx"], "se": box["maxx"], "ne": box["maxx"]}.get(rule, px)
-        cy = {"sw": box["miny"], "se": box["miny"], "ne": box["maxy"], "nw": box["maxy"]}.get(rule, py)
-        key = lambda p: F.hypot(p["x"] - cx, p["y"] - cy)
+    signs = {"sw": (1, 1), "se": (1, -1), "ne": (-1, -1), "nw": (-1, 1), "north": (-1, 1)}
+
+    def key(p):
+        if rule == "point":
+            dx, dy = p["x"] - px, p["y"] - py
+            return F.struct((dx * dx + dy * dy).alias("k"))
+        sy, sx = signs[rule]
+        return F.struct((p["y"] * sy).alias("ky"), (p["x"] * sx).alias("kx"))
+
     keyed = F.transform(ring, lambda p, i: F.struct(key(p).alias("k"), i.alias("i")))
     return F.array_min(keyed)["i"]
 
@@ -229,3 +232,124 @@ def drop_close_vertices(ring: Column, d: float) -> Column:
     )
     near = (F.size(kept) > 1) & ~far(F.element_at(kept, 1), F.element_at(kept, -1))
     return F.when(near, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+
+
+# --- polygons against lines and polygons -------------------------------------
+
+def ring_edges(ring: Column) -> Column:
+    """Edges of a ring as ``array<struct<x1,y1,x2,y2>>``."""
+    return F.zip_with(ring, _next(ring), lambda p, q: F.struct(
+        p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")))
+
+
+def _cuts(x1, y1, x2, y2, edges: Column, tol: float) -> Column:
+    """Sorted positions 0..1 where the segment meets the edges or passes their corners."""
+    def of_edge(e):
+        dx, dy, ex, ey = x2 - x1, y2 - y1, e["x2"] - e["x1"], e["y2"] - e["y1"]
+        den = cross(dx, dy, ex, ey)
+        flat = F.abs(den) <= 1e-12 * (F.hypot(dx, dy) * F.hypot(ex, ey))
+        d = F.when(flat, F.lit(None)).otherwise(den)
+        t = cross(e["x1"] - x1, e["y1"] - y1, ex, ey) / d
+        u = cross(e["x1"] - x1, e["y1"] - y1, dx, dy) / d
+        n2 = F.nullif(dx * dx + dy * dy, F.lit(0.0))
+        s = ((e["x1"] - x1) * dx + (e["y1"] - y1) * dy) / n2
+        near = segment_distance(e["x1"], e["y1"], x1, y1, x2, y2) <= tol
+        return F.array(F.when((t >= 0) & (t <= 1) & (u >= 0) & (u <= 1), t), F.when(near & (s >= 0) & (s <= 1), s))
+
+    inner = F.array_compact(F.flatten(F.transform(edges, of_edge)))
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
+
+
+def _parts(cuts: Column) -> Column:
+    pairs = F.zip_with(
+        F.slice(cuts, F.lit(1), F.size(cuts) - 1), F.slice(cuts, F.lit(2), F.size(cuts) - 1),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+    )
+    return F.filter(pairs, lambda p: p["b"] - p["a"] > 1e-12)
+
+
+def length_in_ring(x1, y1, x2, y2, ring: Column, tol: float = 1e-6) -> Column:
+    """Length of the segment inside the ring or on its boundary."""
+    parts = _parts(_cuts(x1, y1, x2, y2, ring_edges(ring), tol))
+
+    def inside(p):
+        m = (p["a"] + p["b"]) / 2
+        return covers(x1 + m * (x2 - x1), y1 + m * (y2 - y1), ring, tol)
+
+    share = F.aggregate(F.filter(parts, inside), F.lit(0.0), lambda acc, p: acc + p["b"] - p["a"])
+    return share * F.hypot(x2 - x1, y2 - y1)
+
+
+def intersection_area(a: Column, b: Column, tol: float = 1e-9) -> Column:
+    """Area shared by two simple rings given counter-clockwise, concave ones included.
+
+    Green's theorem over the boundary of the common part: pieces of each boundary that lie
+    inside the other ring, plus pieces both share when the interiors are on the same side.
+    """
+    ox, oy = F.element_at(a, 1)["x"], F.element_at(a, 1)["y"]
+
+    def swept(ring, other, shared):
+        other_edges = ring_edges(other)
+
+        def of_edge(e):
+            x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+            at = lambda t: (x1 + t * (x2 - x1), y1 + t * (y2 - y1))
+
+            def term(acc, p):
+                mx, my = at((p["a"] + p["b"]) / 2)
+                gap = lambda o: segment_distance(mx, my, o["x1"], o["y1"], o["x2"], o["y2"])
+                same_way = F.exists(other_edges, lambda o: (gap(o) <= tol) & (
+                    (o["x2"] - o["x1"]) * (x2 - x1) + (o["y2"] - o["y1"]) * (y2 - y1) > 0))
+                touching = F.exists(other_edges, lambda o: gap(o) <= tol)
+                counts = F.when(touching, same_way if shared else F.lit(False)).otherwise(point_in_ring(mx, my, other))
+                (ax, ay), (bx, by) = at(p["a"]), at(p["b"])
+                return acc + F.when(counts, cross(ax - ox, ay - oy, bx - ox, by - oy)).otherwise(0.0)
+
+            return F.aggregate(_parts(_cuts(x1, y1, x2, y2, other_edges, tol)), F.lit(0.0), term)
+
+        return _sum(F.transform(ring_edges(ring), of_edge))
+
+    return F.greatest((swept(a, b, True) + swept(b, a, False)) / 2, F.lit(0.0))
+
+
+# --- along lines -------------------------------------------------------------
+
+def along(line: Column, d: Column) -> Column:
+    """Point at distance ``d`` from the start of a line, clamped to its ends."""
+    head, tail = F.slice(line, F.lit(1), F.size(line) - 1), F.slice(line, F.lit(2), F.size(line) - 1)
+    steps = F.zip_with(head, tail, lambda p, q: F.struct(
+        p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"),
+        F.hypot(q["x"] - p["x"], q["y"] - p["y"]).alias("len")))
+    first = F.element_at(line, 1)
+    start = F.struct(F.greatest(d, F.lit(0.0)).alias("left"), first["x"].alias("x"), first["y"].alias("y"))
+
+    def walk(acc, s):
+        f = F.when(s["len"] > 0, F.least(acc["left"] / F.nullif(s["len"], F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
+        done = acc["left"] <= 0
+        return F.struct(
+            F.greatest(acc["left"] - s["len"], F.lit(0.0)).alias("left"),
+            F.when(done, acc["x"]).otherwise(s["x1"] + f * (s["x2"] - s["x1"])).alias("x"),
+            F.when(done, acc["y"]).otherwise(s["y1"] + f * (s["y2"] - s["y1"])).alias("y"),
+        )
+
+    end = F.aggregate(steps, start, walk)
+    return xy(end["x"], end["y"])
+
+
+def upright(angle: Column) -> Column:
+    """Angle turned to -90..90 so that text stands upright; near-vertical becomes 90."""
+    a = F.pmod(angle + 180.0, F.lit(360.0)) - 180.0
+    a = F.when(a == -180.0, 180.0).otherwise(a)
+    a = F.when(a > 90, a - 180).otherwise(a)
+    a = F.when(a <= -90, a + 180).otherwise(a)
+    return F.when(F.abs(a) > 89.0, 90.0).otherwise(a)
+
+
+def tangent_angle(line: Column, fraction, delta: float = 0.01) -> Column:
+    """Upright direction of a line around a fraction of its length."""
+    length, f = line_length(line), F.least(F.greatest(F.lit(fraction), F.lit(0.0)), F.lit(1.0))
+    p = along(line, F.greatest(f - delta, F.lit(0.0)) * length)
+    q = along(line, F.least(f + delta, F.lit(1.0)) * length)
+    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+    still = (F.abs(dx) < 1e-12) & (F.abs(dy) < 1e-12)
+    return F.when(still, 0.0).otherwise(upright(F.degrees(F.atan2(dy, dx))))

@@ -119,20 +119,12 @@ def match_ids(files: DataFrame, ids: DataFrame, name: str, wanted: str, strict:
 
 def check_paths(files: DataFrame, base: str) -> DataFrame:
     """Files under ``base`` whose path breaks the product/lot/block/folder/extension rules."""
-    rel = F.split(X.normal_part(F.regexp_replace("path", f"^{base}/*", "")), "/")
-    folders = F.slice(rel, F.lit(4), F.greatest(F.size(rel) - 4, F.lit(0)))
-    ext = file_ext(F.col("path"))
-    ok = F.lit(False)
-    for top, below, extensions in PATH_RULES:
-        want = below.split("/")
-        here = (F.get(rel, F.lit(0)) == top) & ext.isin(*extensions.split())
-        for i, part in enumerate(want):
-            here = here & (F.get(folders, F.lit(i)) == part)
-        ok = ok | here
-    placed = F.startswith(F.get(rel, F.lit(1)), F.lit("LOTE_")) & F.regexp_like(
-        F.get(rel, F.lit(2)), F.lit("^BLOCO_[A-Z]$")
-    )
-    return files.filter(~F.coalesce(ok & placed & (F.size(rel) >= 5), F.lit(False)))
+    rel = X.normal_part(F.regexp_replace("path", f"^{base}/*", ""))
+    shapes = [
+        rf"{top}/LOTE_[^/]*/BLOCO_[A-Z]/{below}/(?:[^/]+/)*[^/]+\.(?:{extensions.upper().replace(' ', '|')})"
+        for top, below, extensions in PATH_RULES
+    ]
+    return files.filter(~F.regexp_like(rel, F.lit("^(?:" + "|".join(shapes) + ")$")))
 
 
 def folder_sizes(files: DataFrame, depth_from: int = 1) -> DataFrame:
