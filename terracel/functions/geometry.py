@@ -280,38 +280,6 @@ def length_in_ring(x1, y1, x2, y2, ring: Column, tol: float = 1e-6) -> Column:
     return share * F.hypot(x2 - x1, y2 - y1)
 
 
-def intersection_area(a: Column, b: Column, tol: float = 1e-9) -> Column:
-    """Area shared by two simple rings given counter-clockwise, concave ones included.
-
-    Green's theorem over the boundary of the common part: pieces of each boundary that lie
-    inside the other ring, plus pieces both share when the interiors are on the same side.
-    """
-    ox, oy = F.element_at(a, 1)["x"], F.element_at(a, 1)["y"]
-
-    def swept(ring, other, shared):
-        other_edges = ring_edges(other)
-
-        def of_edge(e):
-            x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
-            at = lambda t: (x1 + t * (x2 - x1), y1 + t * (y2 - y1))
-
-            def term(acc, p):
-                mx, my = at((p["a"] + p["b"]) / 2)
-                gap = lambda o: segment_distance(mx, my, o["x1"], o["y1"], o["x2"], o["y2"])
-                same_way = F.exists(other_edges, lambda o: (gap(o) <= tol) & (
-                    (o["x2"] - o["x1"]) * (x2 - x1) + (o["y2"] - o["y1"]) * (y2 - y1) > 0))
-                touching = F.exists(other_edges, lambda o: gap(o) <= tol)
-                counts = F.when(touching, same_way if shared else F.lit(False)).otherwise(point_in_ring(mx, my, other))
-                (ax, ay), (bx, by) = at(p["a"]), at(p["b"])
-                return acc + F.when(counts, cross(ax - ox, ay - oy, bx - ox, by - oy)).otherwise(0.0)
-
-            return F.aggregate(_parts(_cuts(x1, y1, x2, y2, other_edges, tol)), F.lit(0.0), term)
-
-        return _sum(F.transform(ring_edges(ring), of_edge))
-
-    return F.greatest((swept(a, b, True) + swept(b, a, False)) / 2, F.lit(0.0))
-
-
 # --- along lines -------------------------------------------------------------
 
 def along(line: Column, d: Column) -> Column:

@@ -15,7 +15,7 @@ from ..core.numbering import number_rows
 from ..core.skew import salted_join
 from ..functions import geometry as G
 from .graph import chain_rings, thin_by_distance
-from .spatial import BOX, ENDS, polygon_pairs, with_box
+from .spatial import BOX, ENDS, axis, polygon_pairs, shared_areas, slab_area, spread_work, with_box
 from .vertical import sample_raster
 
 SLIVER = 0.5
@@ -277,51 +277,12 @@ def frontage_vertex(
 
 def overlay_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float, attrs: Sequence[str] = ()) -> DataFrame:
     """Shared area of each property and use polygon, slivers left out: ``prop_id, use_id, attrs, area``."""
-    area = G.intersection_area(G.orient(F.col("ring"), False), G.orient(F.col("_ring"), False))
-    pairs = polygon_pairs(props, uses, prop_id, use_id, size).withColumn("area", area).filter(F.col("area") >= SLIVER)
-    out = pairs.select(prop_id, use_id, "area")
+    pairs = polygon_pairs(props, uses, prop_id, use_id, size)
+    out = shared_areas(pairs, [prop_id, use_id]).filter(F.col("area") >= SLIVER)
+    out = out.select(prop_id, use_id, "area")
     return salted_join(out, uses.select(use_id, *attrs), [use_id], [prop_id]) if attrs else out
 
 
-def _covered(box: tuple, prop: np.ndarray, uses: list[np.ndarray]) -> float:
-    """Area of ``prop`` covered by any of ``uses`` inside a box, by exact vertical slabs."""
-    x0, y0, x1, y1 = box
-    rings = [prop, *uses]
-    e = np.concatenate([np.hstack([r, np.roll(r, -1, 0)]) for r in rings])
-    owner = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
-    e_lo, e_hi = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
-    use = (e_hi > x0) & (e_lo < x1) & (e_hi > e_lo)
-    e, owner = e[use], owner[use]
-    if not len(e):
-        return 0.0
-    flip = e[:, 0] > e[:, 2]
-    e[flip] = e[flip][:, [2, 3, 0, 1]]
-    slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
-    at0 = e[:, 1] - slope * e[:, 0]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cross = (at0[None, :] - at0[:, None]) / (slope[:, None] - slope[None, :])
-        level = np.concatenate([(y0 - at0) / slope, (y1 - at0) / slope])
-    xs = np.concatenate([[x0, x1], e[:, 0], e[:, 2], cross.ravel(), level])
-    xs = np.unique(xs[np.isfinite(xs) & (xs >= x0) & (xs <= x1)])
-    total = 0.0
-    for a, b in zip(xs[:-1], xs[1:]):
-        m = (a + b) / 2
-        live = (e[:, 0] <= m) & (e[:, 2] >= m)
-        ys, who = np.clip(slope[live] * m + at0[live], y0, y1), owner[live]
-        order = np.argsort(ys, kind="stable")
-        inside = np.zeros(len(rings), bool)
-        count, last = 0, y0
-        for i in order:
-            if inside[0] and count:
-                total += (b - a) * (ys[i] - last)
-            w = who[i]
-            inside[w] = not inside[w]
-            if w:
-                count += 1 if inside[w] else -1
-            last = ys[i]
-    return total
-
-
 def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float) -> DataFrame:
     """Area of each property under at least one use polygon: ``prop_id, covered``.
 
@@ -334,15 +295,18 @@ def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, s
     cells = cover(boxed, inner("minx", F.greatest), inner("miny", F.greatest), inner("maxx", F.least), inner("maxy", F.least), size)
     work = cells.select(prop_id, "_cx", "_cy", "ring", "_ring").dropDuplicates([prop_id, "_cx", "_cy", "_ring"])
 
+    flat = work.select(prop_id, "_cx", "_cy", *[axis(r, a).alias(f"{r}_{a}") for r in ("ring", "_ring") for a in "xy"])
+
     def cover_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        pts = lambda ring: np.array([[p["x"], p["y"]] for p in ring], float)
         i, j = int(pdf["_cx"].iloc[0]), int(pdf["_cy"].iloc[0])
-        box = (i * size, j * size, (i + 1) * size, (j + 1) * size)
-        area = _covered(box, pts(pdf["ring"].iloc[0]), [pts(r) for r in pdf["_ring"]])
+        own = np.column_stack([pdf["ring_x"].iloc[0], pdf["ring_y"].iloc[0]])
+        others = [np.column_stack(p) for p in zip(pdf["_ring_x"], pdf["_ring_y"])]
+        area = slab_area((i * size, j * size, (i + 1) * size, (j + 1) * size), own, others)
         return pd.DataFrame({prop_id: [pdf[prop_id].iloc[0]], "part": [area]})
 
     kind = props.schema[prop_id].dataType.simpleString()
-    parts = work.groupBy(prop_id, "_cx", "_cy").applyInPandas(cover_cell, f"{prop_id} {kind}, part double")
+    place = [prop_id, "_cx", "_cy"]
+    parts = spread_work(flat, place).groupBy(*place).applyInPandas(cover_cell, f"{prop_id} {kind}, part double")
     return parts.groupBy(prop_id).agg(F.sum("part").alias("covered"))
 
 

@@ -179,10 +179,8 @@ FROM {lots} l JOIN {uses} u ON l.minx <= u.maxx AND u.minx <= l.maxx AND l.miny
 SELECT lot_id, arg_max(use_id, {'a': round(area, 6), 'i': -use_id}) AS use_id, round(max(area), 5) AS area FROM o WHERE area > 1e-6 GROUP BY 1""")
 def _(t):
     # areas are rounded on both sides before ties go to the lower id
-    from ..functions.geometry import intersection_area, orient
-    pairs = S.polygon_pairs(_lots(t), _uses(t), "lot_id", "use_id", 20.0)
-    area = F.round(intersection_area(orient(F.col("ring"), False), orient(F.col("_ring"), False)), 6)
-    best = pairs.withColumn("area", area).filter("area > 1e-6").groupBy("lot_id").agg(F.max(F.struct("area", (-F.col("use_id")).alias("i"))).alias("b"))
+    pairs = S.shared_areas(S.polygon_pairs(_lots(t), _uses(t), "lot_id", "use_id", 20.0), ["lot_id", "use_id"])
+    best = pairs.withColumn("area", F.round("area", 6)).filter("area > 1e-6").groupBy("lot_id").agg(F.max(F.struct("area", (-F.col("use_id")).alias("i"))).alias("b"))
     return rounded(best.select("lot_id", (-F.col("b.i")).alias("use_id"), F.col("b.area").alias("area")), area=5)
 
 
