@@ -140,9 +140,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = cut(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     )
-    nodes = edges.select(F.col(a).alias("node")).unionByName(edges.select(F.col(b).alias("node"))).distinct()
+    nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.explode(ways).alias("_w")).select("_w.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = salted_join(both.filter("v > u"), low, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
@@ -208,7 +209,7 @@ def chain_rings(edges: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
 
 def merge_lines(segments: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
     """Touching segments of one key as lines: every segment with its ``line_id`` and ``line_length``."""
-    vertex = lambda x, y: F.struct(F.col(key).alias("k"), G.vertex_key(F.col(x), tol).alias("x"), G.vertex_key(F.col(y), tol).alias("y"))
+    vertex = lambda x, y: F.concat_ws(":", F.col(key).cast("string"), G.vertex_key(F.col(x), tol), G.vertex_key(F.col(y), tol))
     e = segments.withColumn("_a", vertex("x1", "y1")).withColumn("_b", vertex("x2", "y2"))
     comp = components(e.select("_a", "_b"), "_a", "_b")
     tagged = salted_join(e, comp.select(F.col("node").alias("_a"), F.col("comp").alias("line_id")), ["_a"], ["x1", "y1"]).drop("_a", "_b")

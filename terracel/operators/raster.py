@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.grid import cell
+from ..core.lineage import cut
 from ..core.quantiles import exact_quantiles
 from ..core.skew import salted_join
 from ..functions import geometry as G
@@ -130,8 +131,12 @@ def _edges(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_edges(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds the row and column range of the raster each cell belongs to."""
-    return salted_join(cells, _edges(cells, keys), list(keys), ["row_i", "col_i"])
+    """Adds the row and column range of the raster each cell belongs to.
+
+    One row per raster: small enough for AQE to broadcast at run time, and if it is not, AQE
+    splits the partitions of large rasters.
+    """
+    return cells.join(_edges(cells, keys), list(keys))
 
 
 def neighbours(cells: DataFrame, keys: Sequence[str] = ("tile_id",), value: str = "v") -> DataFrame:
@@ -195,7 +200,7 @@ def slope_horn(cells: DataFrame, xres: float, yres: float, keys: Sequence[str] =
 
 def curvature(cells: DataFrame, xres: float, yres: float, keys: Sequence[str] = ("tile_id",)) -> DataFrame:
     """Adds ``curv``: derivative of the derivative in both directions."""
-    first = sobel(cells, xres, yres, keys)
+    first = cut(sobel(cells, xres, yres, keys))
     second = sobel(first, xres, yres, keys, "dzdx", ("_xx", "_xy"))
     third = sobel(second, xres, yres, keys, "dzdy", ("_yx", "_yy"))
     return third.withColumn("curv", F.col("_xx") + F.col("_yy")).drop("_xx", "_xy", "_yx", "_yy", "dzdx", "dzdy")
@@ -275,12 +280,13 @@ def spot_points(
     """
     from .graph import thin_by_distance
 
-    smooth = gaussian(cells, sigma)
+    smooth = cut(gaussian(cells, sigma))
     keys = ["tile_id", "row_i", "col_i"]
     slope = slope_horn(smooth, size, size).select(*keys, "v", "slope").filter(F.col("slope") >= min_slope)
     curv = curvature(smooth, size, size).select(*keys, F.abs("curv").alias("curv"))
     ext = local_extrema(smooth, win).select(*keys, "is_peak", "is_pit")
     s = slope.join(curv, keys, "left").join(ext, keys).withColumn("curv", F.coalesce("curv", F.lit(0.0)))
+    s = cut(s)
     limit = exact_quantiles(s, [], "curv", [0.98], "_q").select(F.col("_q")[0].alias("_lim"))  # one row
     s = s.crossJoin(F.broadcast(limit))
     kinds = F.array_compact(F.array(
@@ -290,7 +296,7 @@ def spot_points(
     pts = s.select(
         F.explode(kinds).alias("_k"), ((F.col("col_i") + 0.5) * size).alias("x"), ((F.col("row_i") + 0.5) * size).alias("y"), F.col("v").alias("z"),
         F.struct("row_i", "col_i", "tile_id").alias("pid")).select("_k.kind", "x", "y", "z", "_k.score", "pid")
-    taken = thin_by_distance(pts, min_dist, "score", "pid", ["kind"], top_n)
+    taken = thin_by_distance(cut(pts), min_dist, "score", "pid", ["kind"], top_n)
     if mask is None:
         return taken
     return points_in_mask(taken.withColumn("_id", F.struct("kind", "pid")), mask, min_dist, "_id", mask_mode, mask_buffer).drop("_id")
