@@ -160,10 +160,12 @@ def _(t):
 
 @query("align_grids", """WITH a AS (SELECT DISTINCT CAST(floor(x/25) AS BIGINT) AS col_i, CAST(floor(y/25) AS BIGINT) AS row_i FROM {points}), f AS (SELECT *, (col_i+0.5)*25/20-0.5 AS fx, (row_i+0.5)*25/20-0.5 AS fy FROM a),
 k AS (SELECT row_i, col_i, floor(fx)+i AS c, floor(fy)+j AS r, (CASE i WHEN 1 THEN fx-floor(fx) ELSE 1-fx+floor(fx) END)*(CASE j WHEN 1 THEN fy-floor(fy) ELSE 1-fy+floor(fy) END) AS w FROM f, (SELECT unnest([0,1]) AS i) p, (SELECT unnest([0,1]) AS j) q)
-SELECT k.row_i, k.col_i, round(CASE WHEN bool_and(d.v IS NOT NULL) THEN sum(w*d.v) END, 7) AS vb FROM k LEFT JOIN {dem} d ON d.row_i = k.r AND d.col_i = k.c WHERE w > 0 GROUP BY 1, 2""")
+SELECT k.row_i, k.col_i, CASE WHEN bool_and(d.v IS NOT NULL) THEN sum(w*round(d.v*100000)) END AS vb FROM k LEFT JOIN {dem} d ON d.row_i = k.r AND d.col_i = k.c WHERE w > 0 GROUP BY 1, 2""")
 def _(t):
     a = t.points.select(F.lit(0).alias("tile_id"), F.floor(F.col("y") / 25).alias("row_i"), F.floor(F.col("x") / 25).alias("col_i")).distinct().withColumn("v", F.lit(0.0))
-    return rounded(R.align_grids(a, t.dem, 25.0, 20.0).select("row_i", "col_i", "vb"), vb=7)
+    # whole numbers times binary fractions: exact in any order of summing
+    dem = t.dem.withColumn("v", F.round(F.col("v") * 100000))
+    return R.align_grids(a, dem, 25.0, 20.0).select("row_i", "col_i", "vb")
 
 
 @query("grid_surface")
@@ -271,9 +273,9 @@ def _(t):
     return rounded(out.select("tile_id", "row_i", "col_i", "r", "g", "b"), r=4, g=4, b=4)
 
 
-@query("color_spaces", """WITH p AS (SELECT *, greatest(r,g,b) AS mx, least(r,g,b) AS mn, 0.299*r+0.587*g+0.114*b AS y FROM {pixels}), q AS (SELECT *, CASE WHEN mx = mn THEN 0 WHEN mx = r THEN 60.0*(g-b)/(mx-mn) WHEN mx = g THEN 120+60.0*(b-r)/(mx-mn) ELSE 240+60.0*(r-g)/(mx-mn) END AS h FROM p),
+@query("color_spaces", """WITH p AS (SELECT *, greatest(r,g,b) AS mx, least(r,g,b) AS mn, CAST(0.299 AS DOUBLE)*r+CAST(0.587 AS DOUBLE)*g+CAST(0.114 AS DOUBLE)*b AS y FROM {pixels}), q AS (SELECT *, CASE WHEN mx = mn THEN 0 WHEN mx = r THEN 60.0*(g-b)/(mx-mn) WHEN mx = g THEN 120+60.0*(b-r)/(mx-mn) ELSE 240+60.0*(r-g)/(mx-mn) END AS h FROM p),
 u AS (SELECT *, round(CASE WHEN h < 0 THEN h+360 ELSE h END/2) AS hh FROM q)
-SELECT tile_id, row_i, col_i, CAST(CASE WHEN hh >= 180 THEN hh-180 ELSE hh END AS DOUBLE) AS h, CASE WHEN mx = 0 THEN 0.0 ELSE round(255.0*(mx-mn)/mx) END AS s, CAST(mx AS DOUBLE) AS v, round(y, 6) AS y, round(0.492*(b-y)+128, 6) AS u FROM u""")
+SELECT tile_id, row_i, col_i, CAST(CASE WHEN hh >= 180 THEN hh-180 ELSE hh END AS DOUBLE) AS h, CASE WHEN mx = 0 THEN 0.0 ELSE round(CAST(255*(mx-mn) AS DOUBLE)/mx) END AS s, CAST(mx AS DOUBLE) AS v, round(y, 6) AS y, round(CAST(0.492 AS DOUBLE)*(b-y)+128, 6) AS u FROM u""")
 def _(t):
     r, g, b = (F.col(c) for c in "rgb")
     hsv, yuv = C.rgb_to_hsv(r, g, b), C.rgb_to_yuv(r, g, b)
