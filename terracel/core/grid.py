@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import cut
 from .skew import salted_join
 
 
@@ -114,6 +115,7 @@ def nearest(
         right.groupBy(F.col(rx).alias("_rx"), F.col(ry).alias("_ry"))
         .agg(F.min(right_id).alias(right_id))
     )
+    spots = cut(spots)
     size, levels = radius, 0
     while levels < 24:
         busiest = (
@@ -156,16 +158,16 @@ def _narrow(pts, spots, radius, levels, left_id, right_id):
             side = side / 2
             for axis in ("_cx", "_cy"):
                 cand = cand.withColumn(axis, F.explode(F.array(F.col(axis) * 2, F.col(axis) * 2 + 1)))
-        cand = salted_join(cand, occupied(side), ["_cx", "_cy"], [left_id], "left_semi")
+        cand = cand.join(occupied(side), ["_cx", "_cy"], "left_semi")
         bound = cand.groupBy(left_id).agg(
             F.collect_list(F.struct("_cx", "_cy", close(side).alias("near"))).alias("_cells"),
             F.min(far(side)).alias("_far"), F.first("_lx").alias("_lx"), F.first("_ly").alias("_ly"),
         )
         limit = F.least(F.col("_far"), F.lit(radius)) + slack
-        cand = bound.select(
+        cand = cut(bound.select(
             left_id, "_lx", "_ly",
             F.explode(F.filter("_cells", lambda c: c["near"] <= limit)).alias("_c"),
-        ).select(left_id, "_lx", "_ly", F.col("_c._cx").alias("_cx"), F.col("_c._cy").alias("_cy"))
+        ).select(left_id, "_lx", "_ly", F.col("_c._cx").alias("_cx"), F.col("_c._cy").alias("_cy")))
     members = spots.withColumn("_cx", cell(F.col("_rx"), side)).withColumn("_cy", cell(F.col("_ry"), side))
     joined = salted_join(cand, members, ["_cx", "_cy"], [left_id])
     d = F.hypot(F.col("_lx") - F.col("_rx"), F.col("_ly") - F.col("_ry"))

@@ -224,13 +224,56 @@ def slab_area(box: tuple, first: np.ndarray, others: list[np.ndarray]) -> float:
     return total
 
 
+def _convex(ring: list) -> int:
+    """1 or -1 for a convex ring by its direction, 0 otherwise."""
+    sign = 0
+    for i in range(len(ring)):
+        (ax, ay), (bx, by), (cx, cy) = ring[i - 2], ring[i - 1], ring[i]
+        turn = (bx - ax) * (cy - by) - (by - ay) * (cx - bx)
+        if turn:
+            if sign and (turn > 0) != (sign > 0):
+                return 0
+            sign = 1 if turn > 0 else -1
+    return sign
+
+
+def clipped_area(ring: list, clip: list, sign: int) -> float:
+    """Area of a ring inside a convex one, cutting by one edge of ``clip`` after another."""
+    out = ring
+    for i in range(len(clip)):
+        (ax, ay), (bx, by) = clip[i - 1], clip[i]
+        ex, ey = (bx - ax) * sign, (by - ay) * sign
+        kept = [(x, y, ex * (y - ay) - ey * (x - ax)) for x, y in out]
+        out = []
+        for j, (x, y, d) in enumerate(kept):
+            px, py, pd_ = kept[j - 1]
+            if (d >= 0) != (pd_ >= 0):
+                t = pd_ / (pd_ - d)
+                out.append((px + t * (x - px), py + t * (y - py)))
+            if d >= 0:
+                out.append((x, y))
+        if len(out) < 3:
+            return 0.0
+    ox, oy = out[0]
+    twice = sum((out[k][0] - ox) * (out[k + 1][1] - oy) - (out[k + 1][0] - ox) * (out[k][1] - oy) for k in range(len(out) - 1))
+    return abs(twice) / 2
+
+
 @F.pandas_udf(T.DoubleType())
 def _pair_area(ax: pd.Series, ay: pd.Series, bx: pd.Series, b_y: pd.Series) -> pd.Series:
     out = []
     for x1, y1, x2, y2 in zip(ax, ay, bx, b_y):
         box = (max(min(x1), min(x2)), max(min(y1), min(y2)), min(max(x1), max(x2)), min(max(y1), max(y2)))
-        thin = box[0] >= box[2] or box[1] >= box[3]
-        out.append(0.0 if thin else slab_area(box, np.column_stack([x1, y1]), [np.column_stack([x2, y2])]))
+        if box[0] >= box[2] or box[1] >= box[3]:
+            out.append(0.0)
+            continue
+        a, b = list(zip(x1.tolist(), y1.tolist())), list(zip(x2.tolist(), y2.tolist()))
+        sign = _convex(b)
+        if sign:
+            out.append(clipped_area(a, b, sign))
+            continue
+        sign = _convex(a)
+        out.append(clipped_area(b, a, sign) if sign else slab_area(box, np.column_stack([x1, y1]), [np.column_stack([x2, y2])]))
     return pd.Series(out, dtype=float)
 
 

@@ -79,6 +79,8 @@ def median_clip(
 
     The text cleaner drops positive values and reports ``|dz|``; the generator keeps signs.
     """
+    if factor is not None:
+        df = cut(df)  # read several times below
     out = df
     if factor is not None:
         med = group_median(df, keys, dz, "_med")
