@@ -168,7 +168,7 @@ def chain_rings(edges: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
     """Directed boundary edges ``key, x1, y1, x2, y2`` chained into rings: ``key, ring_id, seq, x, y``.
 
     Pointers are doubled until every edge knows the smallest edge of its ring and its distance
-    to it.  Where rings touch in a vertex the sharpest turn to the right continues a ring.
+    to it.  Where rings touch in a vertex the sharpest turn to the left continues a ring.
     """
     k = lambda c: G.vertex_key(F.col(c), tol)
     e = cut(
@@ -181,7 +181,7 @@ def chain_rings(edges: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
     bend = F.atan2(G.cross(dx, dy, F.col("_dx"), F.col("_dy")), dx * F.col("_dx") + dy * F.col("_dy"))
     links = (
         e.join(nxt, [key, "_tx", "_ty"]).groupBy(key, "eid")
-        .agg(F.min_by("_n", F.struct(bend, "_n")).alias("nxt"))
+        .agg(F.max_by("_n", F.struct(bend, "_n")).alias("nxt"))
     )
     # smallest edge of the ring
     state = cut(links.select(key, "eid", F.col("nxt").alias("jump"), F.least("eid", "nxt").alias("low")))

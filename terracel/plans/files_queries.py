@@ -231,3 +231,17 @@ def _(t):
     p = t.track_points.select("event_id", (F.col("x") + 500000).alias("x"), (F.col("y") + 7500000).alias("y"))
     a = p.filter("event_id % 2 = 0").withColumn("epsg", F.lit(None).cast("int"))
     return L.union_tracks(a, p.filter("event_id % 2 = 1").withColumn("epsg", F.lit(31982)), 31982)
+
+
+@query("points_to_line", """SELECT track_id, count(*) AS n, round(arg_min(x, {'t': ts, 'x': x}), 2) AS x0, round(arg_max(x, {'t': ts, 'x': x}), 2) AS x1 FROM {track_points} GROUP BY 1""")
+def _(t):
+    from ..operators.tracks import points_to_line
+    line = points_to_line(t.track_points, "track_id", "ts")
+    return line.select("track_id", F.size("line").cast("long").alias("n"), F.round(F.element_at("line", 1)["x"], 2).alias("x0"), F.round(F.element_at("line", -1)["x"], 2).alias("x1"))
+
+
+@query("simplified_tracks")
+def _(t):
+    from ..operators.tracks import points_to_line
+    line = points_to_line(t.track_points, "track_id", "ts", 50.0, 86400.0)
+    return line.select("track_id", F.size("line").alias("n"))
