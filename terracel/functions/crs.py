@@ -55,45 +55,67 @@ def central_meridian(zone: Column) -> Column:
     return F.lit(-183.0) + zone * 6
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once (formulas below use each step many times)."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _atanh(v: Column) -> Column:
+    return 0.5 * F.log((1 + v) / (1 - v))
+
+
 def to_utm(lon: Column, lat: Column, zone: Column) -> Column:
     """``struct(x, y)``: southern UTM metres of geographic degrees."""
-    phi, lam = F.radians(lat), F.radians(lon - central_meridian(zone))
-    s = F.sin(phi)
-    atanh = lambda v: 0.5 * F.log((1 + v) / (1 - v))
-    t = F.sinh(atanh(s) - _E2N * atanh(_E2N * s))
-    xi = F.atan2(t, F.cos(lam))
-    eta = atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    x, y = eta, xi
-    for j, a in enumerate(_ALPHA, 1):
-        x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return F.struct(
-        (FALSE_EAST + SCALE * _A * x).alias("x"), (FALSE_NORTH_SOUTH + SCALE * _A * y).alias("y")
-    )
+    def conformal(p):
+        t = F.sinh(_atanh(p["s"]) - _E2N * _atanh(_E2N * p["s"]))
+        return _let(F.struct(t.alias("t"), p["lam"].alias("lam")), sphere)
+
+    def sphere(p):
+        xi = F.atan2(p["t"], F.cos(p["lam"]))
+        eta = _atanh(F.sin(p["lam"]) / F.sqrt(1 + p["t"] * p["t"]))
+        return _let(F.struct(xi.alias("xi"), eta.alias("eta")), series)
+
+    def series(p):
+        x, y = p["eta"], p["xi"]
+        for j, a in enumerate(_ALPHA, 1):
+            x = x + a * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+            y = y + a * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+        return F.struct((FALSE_EAST + SCALE * _A * x).alias("x"), (FALSE_NORTH_SOUTH + SCALE * _A * y).alias("y"))
+
+    lam = F.radians(lon - central_meridian(zone))
+    return _let(F.struct(F.sin(F.radians(lat)).alias("s"), lam.alias("lam")), conformal)
 
 
 def to_geographic(x: Column, y: Column, zone: Column) -> Column:
     """``struct(lon, lat)``: degrees of southern UTM metres."""
+    def series(p):
+        xi, eta = p["xi"], p["eta"]
+        for j, b in enumerate(_BETA, 1):
+            xi = xi - b * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            eta = eta - b * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        return _let(F.struct(xi.alias("xi"), eta.alias("eta"), p["zone"].alias("zone")), sphere)
+
+    def sphere(p):
+        chi = F.asin(F.sin(p["xi"]) / F.cosh(p["eta"]))
+        lam = F.atan2(F.sinh(p["eta"]), F.cos(p["xi"]))
+        lon = central_meridian(p["zone"]) + F.degrees(lam)
+        return _let(F.struct(chi.alias("chi"), lon.alias("lon")), latitude)
+
+    def latitude(p):
+        phi = p["chi"]
+        for j, d in enumerate(_DELTA, 1):
+            phi = phi + d * F.sin(2 * j * p["chi"])
+        return F.struct(p["lon"].alias("lon"), F.degrees(phi).alias("lat"))
+
     xi0 = (y - FALSE_NORTH_SOUTH) / (SCALE * _A)
     eta0 = (x - FALSE_EAST) / (SCALE * _A)
-    xi, eta = xi0, eta0
-    for j, b in enumerate(_BETA, 1):
-        xi = xi - b * F.sin(2 * j * xi0) * F.cosh(2 * j * eta0)
-        eta = eta - b * F.cos(2 * j * xi0) * F.sinh(2 * j * eta0)
-    chi = F.asin(F.sin(xi) / F.cosh(eta))
-    phi = chi
-    for j, d in enumerate(_DELTA, 1):
-        phi = phi + d * F.sin(2 * j * chi)
-    lam = F.atan2(F.sinh(eta), F.cos(xi))
-    return F.struct(
-        (central_meridian(zone) + F.degrees(lam)).alias("lon"), F.degrees(phi).alias("lat")
-    )
+    return _let(F.struct(xi0.alias("xi"), eta0.alias("eta"), zone.alias("zone")), series)
 
 
 def rezone(x: Column, y: Column, epsg: Column, target: int) -> Column:
     """``struct(x, y)`` of UTM metres moved from one southern zone to another."""
-    geo = to_geographic(x, y, epsg_to_zone(epsg))
-    return to_utm(geo["lon"], geo["lat"], F.lit(target - EPSG_SOUTH_BASE))
+    zone = F.lit(target - EPSG_SOUTH_BASE)
+    return _let(to_geographic(x, y, epsg_to_zone(epsg)), lambda g: to_utm(g["lon"], g["lat"], zone))
 
 
 def meridian_convergence(lon: Column, lat: Column, zone: Column) -> Column:

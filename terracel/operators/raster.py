@@ -460,6 +460,7 @@ def grid_surface(
 
     src = points.filter(F.col("classification") == 2) if surface == "dtm" else points.filter(F.col("classification") != 7)
     filled = src.groupBy(tile, cell(F.col("y"), size).alias("row_i"), cell(F.col("x"), size).alias("col_i")).agg(F.avg("z").alias("v"))
+    filled = cut(filled)
     ext = _edges(filled, [tile])
     grid = ext.withColumn("row_i", F.explode(F.sequence("_r0", "_r1"))).withColumn("col_i", F.explode(F.sequence("_c0", "_c1"))).select(tile, "row_i", "col_i")
     empty = grid.join(filled, [tile, "row_i", "col_i"], "left_anti")
@@ -481,8 +482,8 @@ def grid_surface(
     wide = filled.agg((F.max("col_i") - F.min("col_i") + 1).alias("_w")).first()["_w"] or 1
     gap = (wide * 3 + 10) * size
     place = lambda df: df.join(rank, tile).withColumn("x", (F.col("col_i") + 0.5) * size + F.col("_t") * gap).withColumn("y", (F.col("row_i") + 0.5) * size)
-    lonely = place(empty).withColumn("lid", F.struct(tile, "row_i", "col_i"))
-    have = place(filled).withColumn("rid", F.struct(tile, "row_i", "col_i"))
+    lonely = cut(place(empty).withColumn("lid", F.struct(tile, "row_i", "col_i")))
+    have = cut(place(filled).withColumn("rid", F.struct(tile, "row_i", "col_i")))
     found = nearest_any(lonely, have, size * 4, "lid", "rid")
     fallback = found.join(have.select("rid", "v"), "rid").select(F.col(f"lid.{tile}").alias(tile), F.col("lid.row_i").alias("row_i"), F.col("lid.col_i").alias("col_i"), "v")
     return out.unionByName(fallback)

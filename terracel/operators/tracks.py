@@ -35,7 +35,12 @@ def points_to_line(points: DataFrame, track: str, time: str, tol: float = 0.0, p
     Long tracks are simplified in time pieces first (piece ends stay), so a task holds one piece;
     the joined line then carries corner points only.  Rows without a numeric time drop out.
     """
-    p = points.select(track, F.col(time).try_cast("double").alias("_t") if dict(points.dtypes)[time] == "string" else F.col(time).cast("double").alias("_t"), "x", "y").filter("_t IS NOT NULL")
+    when = dict(points.dtypes)[time]
+    if when.startswith("timestamp"):
+        t = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
+    else:
+        t = F.col(time).try_cast("double")
+    p = points.select(track, t.alias("_t"), "x", "y").filter("_t IS NOT NULL")
     p = p.withColumn("_piece", F.floor(F.col("_t") / piece_seconds))
     kind = points.schema[track].dataType.simpleString()
 
