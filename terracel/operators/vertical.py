@@ -162,6 +162,14 @@ def control_surface(
     return salted_join(keyed, surf, ["_r", "_c"], ["pid"], "left").drop("_r", "_c")
 
 
+def match_strip_control(strips: DataFrame, control: DataFrame, suffix: str, path: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Strip files with the control file of the same stem plus ``suffix``, and the strips that have none."""
+    stem = F.regexp_replace(F.element_at(F.split(F.col(path), "/"), -1), r"\.[^.]*$", "")
+    keyed = strips.withColumn("_stem", F.concat(stem, F.lit(suffix)))
+    have = control.select(stem.alias("_stem"), F.col(path).alias("control_path"))
+    return keyed.join(have, "_stem").drop("_stem"), keyed.join(have, "_stem", "left_anti").drop("_stem")
+
+
 # --- robust plane ------------------------------------------------------------
 
 def _plane(kept: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -344,3 +344,12 @@ def _(t):
         return kept.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dz"), 6).alias("mae"))
     report = V.sweep(t.spark, run, {"cell": [10.0, 25.0], "factor": [2.5, 4.0]}, 4)
     return V.top_runs(report, 3).select("run_id", "cell", "factor", "n", "mae")
+
+
+@query("match_strip_control", """SELECT o_orderkey, '/c/strip_' || o_orderkey || '_endz.txt' AS control_path FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 3 <> 0""")
+def _(t):
+    k = F.col("o_orderkey").cast("string")
+    strips = t.orders.select("o_orderkey", F.concat(F.lit("/s/strip_"), k, F.lit(".laz")).alias("path"))
+    control = t.orders.filter("o_orderkey % 3 = 0").select(F.concat(F.lit("/c/strip_"), k, F.lit("_endz.txt")).alias("path"))
+    hit, missing = V.match_strip_control(strips, control, "_endz")
+    return hit.select("o_orderkey", "control_path").unionByName(missing.select("o_orderkey", F.lit(None).cast("string").alias("control_path")))
