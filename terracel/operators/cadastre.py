@@ -280,7 +280,8 @@ def overlay_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, s
     pairs = polygon_pairs(props, uses, prop_id, use_id, size)
     out = shared_areas(pairs, [prop_id, use_id]).filter(F.col("area") >= SLIVER)
     out = out.select(prop_id, use_id, "area")
-    return salted_join(out, uses.select(use_id, *attrs), [use_id], [prop_id]) if attrs else out
+    # a plain join: counting hot keys first would compute the areas twice; AQE splits a hot use
+    return out.join(uses.select(use_id, *attrs), use_id) if attrs else out
 
 
 def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float) -> DataFrame:
