@@ -234,9 +234,9 @@ def _(t):
 
 
 @query("size_text", """SELECT o_orderkey, CASE WHEN b < 1024 THEN printf('%.2f B', b) WHEN b < 1048576 THEN printf('%.2f KB', b/1024) WHEN b < 1073741824 THEN printf('%.2f MB', b/1048576) ELSE printf('%.2f GB', b/1073741824) END AS size
-FROM (SELECT o_orderkey, o_totalprice*7/3*power(10, o_orderkey % 8 - 3) AS b FROM orders) t""")
+FROM (SELECT o_orderkey, o_totalprice*CAST(1.00012345671 AS DOUBLE)*power(10, o_orderkey % 8 - 3) AS b FROM orders) t""")
 def _(t):
-    return t.orders.select("o_orderkey", N.size_text(F.col("o_totalprice") * 7 / 3 * F.pow(F.lit(10.0), F.col("o_orderkey") % 8 - 3)).alias("size"))
+    return t.orders.select("o_orderkey", N.size_text(F.col("o_totalprice") * 1.00012345671 * F.pow(F.lit(10.0), F.col("o_orderkey") % 8 - 3)).alias("size"))
 
 
 @query("gps_time", """SELECT strip_no, strftime(TIMESTAMP '1980-01-06 00:00:00' + to_seconds(CAST(gps_week*604800 + gps_start AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS start_text FROM {strips}""")
