@@ -51,46 +51,61 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
 
 
-def hot_join(rows: DataFrame, groups: DataFrame, key: Sequence[str], n: str, n_rows: int, how: str = "inner") -> DataFrame:
+def hot_join(
+    rows: DataFrame, groups: DataFrame, key: Sequence[str], n: str, n_rows: int, spread: Sequence[str], how: str = "inner"
+) -> DataFrame:
     """Join many ``rows`` to ``groups`` (one row per key, ``n`` its number of rows) without a task of one key's rows.
 
     Keys with more than ``n_rows / HOT_SHARE`` rows number at most HOT_SHARE, as counts add up to ``n_rows``:
-    they are broadcast.  The others are joined by a shuffle in which no key is large.  Both inputs should
-    be staged, since they are read twice.  ``how`` is inner or left.
+    they are broadcast, and their rows take a salt from ``spread`` into the shuffle join of the other keys, in
+    which no key is large.  ``groups`` should be staged, since it is read twice.  ``how`` is inner or left.
     """
     key, least = list(key), n_rows / HOT_SHARE
-    hot = F.broadcast(groups.filter(F.col(n) > least))
-    marks = F.broadcast(groups.filter(F.col(n) > least).select(*key))
-    cold = rows.join(marks, key, "left_anti").join(groups.filter(~(F.col(n) > least)), key, how)
-    return rows.join(hot, key).unionByName(cold)
-
-
-def running_sum(
-    df: DataFrame, group: Sequence[str], slice_col: str, order: Sequence[str], value: str, out: str
+    others = [c for c in groups.columns if c not in key]
+    hot = groups.filter(F.col(n) > least).select(*key, F.struct(*others).alias("_hot"))
+    cold = groups.filter(~(F.col(n) > least)).select(*key, F.struct(*others).alias("_cold"), F.lit(0).alias("_salt"))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    salt = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20)))
+    joined = marked.withColumn("_salt", salt.cast("int")).join(cold, [*key, "_salt"], "left")
+    joined = joined.withColumn("_found", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        joined = joined.filter(F.col("_found").isNotNull())
+    return joined.select(*rows.columns, *[F.col("_found")[c].alias(c) for c in others])
+
+
+def running_sums(
+    df: DataFrame, group: Sequence[str], slice_col: str, order: Sequence[str], sums: dict[str, str]
 ) -> DataFrame:
-    """``out`` = sum of ``value`` over the rows before this one in its group, by (``slice_col``, ``order``).
+    """For each ``out: value`` of ``sums``, the sum of ``value`` over the rows before this one in its group.
 
-    Rows are summed inside their slice and slices are added up from one row each, so a group that
-    holds most rows is spread over as many tasks as it has slices.  ``df`` should be staged.
+    Rows go by (``slice_col``, ``order``).  They are summed inside their slice, and slices are added up from
+    one row each, so a group that holds most rows is spread over as many tasks as it has slices.
+    ``df`` should be staged, since it is read twice.
     """
     group = list(group)
     before = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*group, slice_col).agg(F.sum(value).alias("_s"))
-    starts = sums.select(
+    totals = df.groupBy(*group, slice_col).agg(*[F.sum(v).alias(f"_s_{out}") for out, v in sums.items()])
+    starts = totals.select(
         *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col(slice_col).alias("_k"),
-        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_from"),
+        *[F.coalesce(F.sum(f"_s_{out}").over(before), F.lit(0)).alias(f"_from_{out}") for out in sums],
     )
     inner = Window.partitionBy(*group, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = df.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)] + [F.col(slice_col).eqNullSafe(F.col("_k"))]
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    return inside.join(starts, on, "left").withColumn(out, (F.col("_in") + F.col("_from")).cast("long")).drop(
-        "_in", "_from", "_k", *[f"_g{i}" for i in range(len(group))]
+    inside = df.withColumns({f"_in_{out}": F.coalesce(F.sum(v).over(inner), F.lit(0)) for out, v in sums.items()})
+    on = F.col(slice_col).eqNullSafe(F.col("_k"))
+    for i, c in enumerate(group):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return inside.join(starts, on, "left").select(
+        *df.columns, *[(F.col(f"_in_{out}") + F.col(f"_from_{out}")).cast("long").alias(out) for out in sums]
     )
 
 
+def running_sum(
+    df: DataFrame, group: Sequence[str], slice_col: str, order: Sequence[str], value: str, out: str
+) -> DataFrame:
+    """``running_sums`` of one column."""
+    return running_sums(df, group, slice_col, order, {out: value})
+
+
 def slices_for(n_rows: int, rows_per_slice: int = 50_000) -> int:
     """Number of slices that keeps a slice near ``rows_per_slice`` rows even if all rows are one group."""
     return max(1, -(-n_rows // rows_per_slice))

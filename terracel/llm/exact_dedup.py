@@ -111,7 +111,7 @@ def exact_dedup(
     groups = maybe.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("best")
     )
-    grouped = hot_join(maybe, stage(groups, "groups"), ["digest"], "group_size", n_rows).select(
+    grouped = hot_join(maybe, stage(groups, "groups"), ["digest"], "group_size", n_rows, ["row"]).select(
         "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "digest"
     )
     alone = probed.filter("not maybe").select(
