@@ -8,7 +8,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, running_sum, slices_for, stage, word_count
+from .common import hot_join, read_table, running_sum, slices_for, stage, word_count
 from .registry import query
 
 #: Fractional part of the golden ratio: slot i draws the point frac(i * GOLDEN).
@@ -47,7 +47,7 @@ def source_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
     level = F.min(F.when(F.col("at") * F.col("weight") <= F.col("stop"), F.struct(F.col("stop") / F.col("weight"), "at"))).over(everything)
     w = w.withColumn("level", level["at"])
     return w.select(
-        "source", "source_size", "weight",
+        *sources.columns, "weight",
         F.when(F.col("level").isNull(), F.col("stop").cast("double"))
         .otherwise(F.least(F.col("stop").cast("double"), F.col("level") * F.col("weight"))).alias("target"),
     )
@@ -72,7 +72,7 @@ def mix_plan(
     d = d.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "_t")).withColumn("row", F.monotonically_increasing_id())
     d = stage(d.drop("_t"), "sizes")
     n_docs = d.count()
-    sources = stage(source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), max_repeats), "targets")
+    sources = stage(source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), max_repeats), "targets")
     total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     # one row per source: shares of the unit interval, in source order
     order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -103,9 +103,9 @@ def mix_plan(
     placed = placed.withColumn("slice", F.floor((F.col("_h").cast("double") / float(2**64) + 0.5) * n_slices).cast("int"))
     placed = running_sum(placed, ["name", "nameless"], "slice", ["_h", "doc_id", "row"], "size", "at")
     facts = sources.select(
-        F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("nameless"), "source_size", "target"
+        F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("nameless"), "source_size", "target", "n_docs"
     ).join(taken_blocks, ["name", "nameless"], "left")
-    placed = placed.join(facts, ["name", "nameless"])
+    placed = hot_join(placed, stage(facts, "facts"), ["name", "nameless"], "n_docs", n_docs, ["row"])
     end = F.least(F.coalesce("n_blocks", F.lit(0)) * block_words, F.col("source_size") * max_repeats)
     passes = placed.filter("size > 0").withColumn("end", end).withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
     passes = passes.withColumn("lo", F.col("at") + F.col("pass") * F.col("source_size")).filter("lo < end")
