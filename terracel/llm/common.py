@@ -22,10 +22,18 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: computed once, lineage cut, safe from lost executors."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: computed once, lineage cut, safe from lost executors.
+
+    ``by`` names columns whose values get folders of their own.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
