@@ -8,7 +8,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, read_table, running_sum, slices_for, stage, word_count
+from .common import hot_join, read_table, running_sum, slices_for, stage, word_count, words_of
 from .registry import query
 
 #: Fractional part of the golden ratio: slot i draws the point frac(i * GOLDEN).
@@ -61,16 +61,16 @@ def mix_plan(
     Every source is a stream of its documents in a hashed order, repeated up to ``max_repeats`` times and
     cut into blocks of ``block_words`` words.  Slot i of the schedule goes to the source whose share of
     the cumulated targets holds frac(i * golden ratio); the r-th slot of a source takes its block r.  A
-    segment is the part of a document in a block: doc (row key), slot, block, pass, start, words.
-    Documents carry row, doc_id, source, size, source_size, target.
+    segment is the part of a document in a block: row, slot, block, pass, start, words.
+    Documents carry row, doc_id, text_hash, source, size, source_size, target.
 
     Null text has size 0 and is never taken; null is a source of its own, last in order; repeated rows
     are separate documents; a table without words gives no segments; other columns are ignored.
     """
     spark = docs.sparkSession
-    d = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_t"))
-    d = d.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "_t")).withColumn("row", F.monotonically_increasing_id())
-    d = stage(d.drop("_t"), "sizes")
+    d = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
+    d = d.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "text_hash")).withColumn("row", F.monotonically_increasing_id())
+    d = stage(d, "sizes")
     n_docs = d.count()
     sources = stage(source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), max_repeats), "targets")
     total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
@@ -118,7 +118,7 @@ def mix_plan(
     segments = pieces.select(
         "name", "nameless", "row", "block", "pass", (start - F.col("lo")).alias("start"), (stop - start).alias("words")
     ).join(slots, ["name", "nameless", "block"]).select("row", F.col("id").alias("slot"), "block", "pass", "start", "words")
-    return placed.select("row", "doc_id", "source", "size", "source_size", "target"), segments
+    return placed.select("row", "doc_id", "text_hash", "source", "size", "source_size", "target"), segments
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
@@ -130,6 +130,34 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The mixed corpus: a row of ``docs`` for each pass that takes it, text being the words taken in that pass.
+
+    Blocks of a source are taken from its first on, so at most one text of a source is cut; its words are joined by
+    spaces.  n_chars, if there, follows the text.  Rows equal in doc_id, text and source are interchangeable.
+    """
+    placed, segments = mix_plan(docs, **options)
+    taken = segments.groupBy("row", "pass").agg(F.sum("words").alias("words"))
+    keys = ["_id", "_hash", "_source"]
+    parts = placed.join(taken, "row").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_hash"),
+        F.coalesce("source", F.lit("")).alias("_source"), "size", "words",
+    ).groupBy(*keys).agg(F.collect_list(F.struct("size", "words")).alias("_parts"))
+    keyed = docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": F.xxhash64("text"), "_source": F.coalesce("source", F.lit("")),
+    })
+    # partitioned like the join, so texts move once
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id"))
+    rows = keyed.join(parts, keys).withColumn("_nth", first).filter("_nth = 1").withColumn("_part", F.explode("_parts"))
+    text = F.when(F.col("_part.words") >= F.col("_part.size"), F.col("text")).otherwise(
+        F.array_join(F.slice(words_of(F.col("text")), F.lit(1), F.col("_part.words").cast("int")), " ")
+    )
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
 @query("op6_mixing")
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The mix of all documents."""

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, hot_join, read_table, stage
@@ -204,6 +204,19 @@ def near_duplicates(
     )
 
 
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, ...) that are the keeper of their group."""
+    found = near_duplicates(docs.select("doc_id", "text"), **options).filter("keeper")
+    keys = ["_id", "_hash"]
+    found = found.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.col("text_hash").alias("_hash"))
+    keyed = docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_hash": F.xxhash64(F.coalesce("text", F.lit(""))),
+    })
+    # rows repeated with one id and text share a keeper: one of them stays; partitioned like the join, so texts move once
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id"))
+    return keyed.join(found.distinct(), keys).withColumn("_nth", first).filter("_nth = 1").select(*docs.columns)
+
+
 def unnull(id_: Column) -> Column:
     """The id that ``id_`` stands for."""
     return F.when(id_ != NULL_ID, id_)
