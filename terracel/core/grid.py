@@ -31,8 +31,9 @@ def pairs_within(
     right_xy: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Pairs with planar distance ``_d <= radius``.
+    """Pairs with planar distance ``_d <= radius`` and equal ``keys``.
 
     The left row keeps its own cell and only the right side is repeated over the cells
     around it, so no pair appears twice and nothing has to be deduplicated.
@@ -41,7 +42,7 @@ def pairs_within(
     rx, ry = (F.col(c) for c in right_xy)
     a = left.withColumn("_cx", cell(lx, radius)).withColumn("_cy", cell(ly, radius))
     b = cover(right, rx - radius, ry - radius, rx + radius, ry + radius, radius)
-    joined = salted_join(a, b, ["_cx", "_cy"], spread, how)
+    joined = salted_join(a, b, [*keys, "_cx", "_cy"], spread, how)
     d = F.hypot(lx - rx, ly - ry)
     joined = joined.withColumn("_d", d).drop("_cx", "_cy")
     return joined.filter(F.col("_d") <= radius) if how == "inner" else joined
@@ -100,9 +101,11 @@ def nearest(
     left_xy: Sequence[str] = ("x", "y"),
     right_xy: Sequence[str] = ("rx", "ry"),
     dense: int = 2_000,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """``left_id, right_id, dist``: the closest right point within ``radius``, lowest id on ties.
 
+    Only points with equal ``keys`` meet, and the result carries the keys.
     Copies of one right position are merged first.  When some cell of side ``radius``
     still holds more than ``dense`` right points, candidate cells are narrowed level by
     level (each level halves the side): a left point keeps only the occupied cells that may
@@ -110,33 +113,34 @@ def nearest(
     """
     lx, ly = left_xy
     rx, ry = right_xy
-    pts = left.select(left_id, F.col(lx).alias("_lx"), F.col(ly).alias("_ly"))
+    keys = list(keys)
+    pts = left.select(*keys, left_id, F.col(lx).alias("_lx"), F.col(ly).alias("_ly"))
     spots = (
-        right.groupBy(F.col(rx).alias("_rx"), F.col(ry).alias("_ry"))
+        right.groupBy(*keys, F.col(rx).alias("_rx"), F.col(ry).alias("_ry"))
         .agg(F.min(right_id).alias(right_id))
     )
     spots = cut(spots)
     size, levels = radius, 0
     while levels < 24:
         busiest = (
-            spots.groupBy(cell(F.col("_rx"), size).alias("_i"), cell(F.col("_ry"), size).alias("_j"))
+            spots.groupBy(*keys, cell(F.col("_rx"), size).alias("_i"), cell(F.col("_ry"), size).alias("_j"))
             .count().agg(F.max("count")).first()[0]
         )
         if (busiest or 0) <= dense:
             break
         size, levels = size / 2, levels + 1
     if levels == 0:
-        near = pairs_within(pts, spots, radius, ("_lx", "_ly"), ("_rx", "_ry"), [left_id])
+        near = pairs_within(pts, spots, radius, ("_lx", "_ly"), ("_rx", "_ry"), [left_id], keys=keys)
     else:
-        near = _narrow(pts, spots, radius, levels, left_id, right_id)
-    best = near.groupBy(left_id).agg(F.min(F.struct("_d", right_id)).alias("_b"))
-    return best.select(left_id, F.col(f"_b.{right_id}").alias(right_id), F.col("_b._d").alias("dist"))
+        near = _narrow(pts, spots, radius, levels, left_id, right_id, keys)
+    best = near.groupBy(*keys, left_id).agg(F.min(F.struct("_d", right_id)).alias("_b"))
+    return best.select(*keys, left_id, F.col(f"_b.{right_id}").alias(right_id), F.col("_b._d").alias("dist"))
 
 
-def _narrow(pts, spots, radius, levels, left_id, right_id):
+def _narrow(pts, spots, radius, levels, left_id, right_id, keys):
     def occupied(side):
         return spots.select(
-            cell(F.col("_rx"), side).alias("_cx"), cell(F.col("_ry"), side).alias("_cy")
+            *keys, cell(F.col("_rx"), side).alias("_cx"), cell(F.col("_ry"), side).alias("_cy")
         ).distinct()
 
     def far(side):  # farthest corner of the cell
@@ -158,17 +162,17 @@ def _narrow(pts, spots, radius, levels, left_id, right_id):
             side = side / 2
             for axis in ("_cx", "_cy"):
                 cand = cand.withColumn(axis, F.explode(F.array(F.col(axis) * 2, F.col(axis) * 2 + 1)))
-        cand = cand.join(occupied(side), ["_cx", "_cy"], "left_semi")
-        bound = cand.groupBy(left_id).agg(
+        cand = cand.join(occupied(side), [*keys, "_cx", "_cy"], "left_semi")
+        bound = cand.groupBy(*keys, left_id).agg(
             F.collect_list(F.struct("_cx", "_cy", close(side).alias("near"))).alias("_cells"),
             F.min(far(side)).alias("_far"), F.first("_lx").alias("_lx"), F.first("_ly").alias("_ly"),
         )
         limit = F.least(F.col("_far"), F.lit(radius)) + slack
         cand = cut(bound.select(
-            left_id, "_lx", "_ly",
+            *keys, left_id, "_lx", "_ly",
             F.explode(F.filter("_cells", lambda c: c["near"] <= limit)).alias("_c"),
-        ).select(left_id, "_lx", "_ly", F.col("_c._cx").alias("_cx"), F.col("_c._cy").alias("_cy")))
+        ).select(*keys, left_id, "_lx", "_ly", F.col("_c._cx").alias("_cx"), F.col("_c._cy").alias("_cy")))
     members = spots.withColumn("_cx", cell(F.col("_rx"), side)).withColumn("_cy", cell(F.col("_ry"), side))
-    joined = salted_join(cand, members, ["_cx", "_cy"], [left_id])
+    joined = salted_join(cand, members, [*keys, "_cx", "_cy"], [left_id])
     d = F.hypot(F.col("_lx") - F.col("_rx"), F.col("_ly") - F.col("_ry"))
-    return joined.withColumn("_d", d).filter(F.col("_d") <= radius).select(left_id, right_id, "_d")
+    return joined.withColumn("_d", d).filter(F.col("_d") <= radius).select(*keys, left_id, right_id, "_d")

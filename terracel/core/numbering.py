@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .skew import HOT_ROWS, hot_keys
 
@@ -19,38 +20,40 @@ def number_rows(
     slices: int = 1024,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """1-based position of each row inside its group by numeric ``order`` then ``ties``.
+    """1-based position of each row inside its group by numeric ``order`` then ``ties``, nulls first.
 
-    Hot groups are cut in equal-width slices of ``order``; rows are numbered inside their
-    slice and shifted by the number of rows in the slices before it.  With no keys the
-    whole table is one group.
+    Hot groups are cut in equal-width slices of ``order``, after one slice for null; where all
+    orders are equal they are cut by the first of ``ties`` if that is a number.  Rows are numbered
+    inside their slice and shifted by the number of rows in the slices before it.  With no
+    keys the whole table is one group.
     """
     keys = list(keys)
     whole = not keys
     if whole:
         keys = ["_all"]
         df = df.withColumn("_all", F.lit(1))
+    tie = next((c for c in ties[:1] if isinstance(df.schema[c].dataType, NumericType)), order)
     spans = hot_keys(
         df,
         keys,
         hot_rows,
-        aggs=(
-            F.min(order).cast("double").alias("_o0"),
-            F.max(order).cast("double").alias("_o1"),
-        ),
-    ).select(*keys, "_o0", "_o1")
-    width = F.col("_o1") - F.col("_o0")
-    at = (F.col(order).cast("double") - F.col("_o0")) / F.when(width > 0, width) * slices
-    slice_no = F.when(
-        F.col("_o0").isNotNull(),
-        F.coalesce(F.least(F.floor(at), F.lit(slices - 1)), F.lit(0)),
-    )
+        aggs=[f(c).cast("double").alias(f"_{n}{i}") for n, c in (("o", order), ("t", tie)) for i, f in enumerate((F.min, F.max))],
+    ).drop("_hot_n").withColumn("_hot", F.lit(True))
+
+    def slice_of(column, lo, hi):
+        """0 for null, then 1 to ``slices`` by equal widths."""
+        at = (F.col(column).cast("double") - F.col(lo)) / F.nullif(F.col(hi) - F.col(lo), F.lit(0.0)) * slices
+        within = F.when(at.isNull() | (at < 0), 0).when(at < slices, F.floor(at)).otherwise(slices - 1)
+        return F.when(F.col(column).isNull(), 0).otherwise(1 + within)
+
+    by_tie = F.when(F.col(order).isNull(), 0).otherwise(1 + slice_of(tie, "_t0", "_t1"))
+    slice_no = F.when(F.col("_o0") < F.col("_o1"), slice_of(order, "_o0", "_o1")).otherwise(by_tie)
     sliced = (
         df.join(F.broadcast(spans), keys, "left")
-        .withColumn("_slice", F.coalesce(slice_no, F.lit(-1)).cast("int"))
-        .drop("_o0", "_o1")
+        .withColumn("_slice", F.when(F.col("_hot"), slice_no).otherwise(-1).cast("int"))
+        .drop("_o0", "_o1", "_t0", "_t1", "_hot")
     )
-    # only hot groups have slices >= 0: at most HOT_TOP * slices rows
+    # only hot groups have slices >= 0: at most HOT_TOP * (slices + 2) rows
     counts = sliced.filter("_slice >= 0").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(

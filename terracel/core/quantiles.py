@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .skew import HOT_ROWS, hot_keys
 
 SKETCH = 10_000
+BUCKETS = 200
 
 
 def exact_quantiles(
@@ -25,8 +26,8 @@ def exact_quantiles(
     ``hot_rows=None`` says that no group is large (the caller has counted them).
 
     Ordinary groups use the built-in exact percentile.  Groups with more than
-    ``hot_rows`` rows first get bounds from a quantile sketch; only the values near a
-    wanted rank keep their identity, everything else is counted map-side.
+    ``hot_rows`` rows are cut in buckets by a quantile sketch; only the buckets that hold a
+    wanted rank are opened, everything else is counted map-side.
     """
     keys, probs = list(keys), [float(p) for p in probs]
     whole = not keys
@@ -50,53 +51,44 @@ def exact_quantiles(
 
 
 def _hot_quantiles(base, hot, keys, probs, out):
-    margin = 3.0 / SKETCH
-    cuts = [min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)]
+    """Quantiles of hot groups from counts of equal values near each wanted rank.
+
+    A sketch cuts each hot group in buckets; values are counted per bucket map-side, and only the
+    buckets that hold a wanted rank are opened.  Buckets are exact whatever the sketch's error is:
+    it only decides how many values a bucket has.
+    """
+    steps = [i / BUCKETS for i in range(1, BUCKETS)]
     marks = (
         base.join(F.broadcast(hot.select(*keys)), keys)
         .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("_v", F.array(*[F.lit(c) for c in cuts]), SKETCH).alias("_m"),
-        )
+        .agg(F.percentile_approx("_v", F.array(*[F.lit(c) for c in steps]), SKETCH).alias("_m"))
+    )  # one row per hot group: at most HOT_TOP
+    upto = F.aggregate("_m", F.lit(0), lambda n, m: n + F.when(F.col("_v") > m, 1).otherwise(0))
+    marked = base.join(F.broadcast(marks), keys).select(*keys, "_v", upto.alias("_bucket"))
+    counts = marked.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*keys).orderBy("_bucket")  # at most BUCKETS rows a group
+    before = F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("_c").over(Window.partitionBy(*keys))
+    spans = counts.select(*keys, "_bucket", "_c", before.alias("_b"), total.alias("n"))
+    wanted = F.array_distinct(F.flatten(F.array(*[
+        F.array(F.floor(F.lit(p) * (F.col("n") - 1)), F.ceil(F.lit(p) * (F.col("n") - 1))) for p in probs
+    ])))
+    spans = spans.withColumn("_r", F.filter(wanted, lambda r: (r >= F.col("_b")) & (r < F.col("_b") + F.col("_c"))))
+    opened = spans.filter(F.size("_r") > 0).select(*keys, "_bucket", "_b", "_r", "n")
+    values = marked.join(F.broadcast(opened), [*keys, "_bucket"])  # at most 2 rows a wanted rank and hot group
+    same = values.groupBy(*keys, "_bucket", "_b", "_r", "n", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    same = same.withColumn("_hi", F.col("_b") + F.sum("_c").over(inside)).withColumn("_lo", F.col("_hi") - F.col("_c"))
+    hits = F.filter("_r", lambda r: (r >= F.col("_lo")) & (r < F.col("_hi")))
+    found = same.select(*keys, "n", "_v", F.explode(hits).alias("_rank")).groupBy(*keys, "n").agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at")
     )
-    marked = base.join(F.broadcast(marks), keys)  # one row per hot group: at most HOT_TOP
-    inside = F.lit(False)
-    anchor = F.lit(None).cast("double")
-    for i in range(len(probs)):
-        lo, hi = F.col("_m")[2 * i], F.col("_m")[2 * i + 1]
-        inside = inside | F.col("_v").between(lo, hi)
-        # values between two brackets collapse onto the bracket below them
-        anchor = F.when(F.col("_v") > hi, F.greatest(anchor, hi)).otherwise(anchor)
-    ranks = (
-        marked.groupBy(
-            *keys,
-            "n",
-            F.when(inside, F.col("_v")).otherwise(anchor).alias("_r"),
-            (~inside).alias("_merged"),
-        )
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_r"), "_merged")
-    ranks = ranks.withColumn(
-        "_hi", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_lo", F.col("_hi") - F.col("_c"))
-    parts = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("n") - 1)
-        for tag, rank in (("f", F.floor(pos)), ("c", F.ceil(pos))):
-            hit = (rank >= F.col("_lo")) & (rank < F.col("_hi"))
-            value = F.when(
-                F.col("_merged"), F.raise_error(F.lit("quantile sketch missed a rank"))
-            ).otherwise(F.col("_r"))
-            parts.append(F.max(F.when(hit, value)).alias(f"_{tag}{i}"))
-    picked = ranks.groupBy(*keys, "n").agg(*parts)
     qs = []
-    for i, p in enumerate(probs):
+    for p in probs:
         pos = F.lit(p) * (F.col("n") - 1)
-        low, high = F.col(f"_f{i}"), F.col(f"_c{i}")
+        low, high = F.try_element_at("_at", F.floor(pos)), F.try_element_at("_at", F.ceil(pos))
         qs.append(low + (high - low) * (pos - F.floor(pos)))
-    return picked.select(*keys, "n", F.array(*qs).alias(out))
+    return found.select(*keys, "n", F.array(*qs).alias(out))
 
 
 def group_median(

@@ -38,14 +38,17 @@ def salted_join(
     rows_per_salt: int = HOT_ROWS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are spread over several tasks.
+    """Equi-join; skewed keys are split at run time, or salted where the caller knows them.
 
-    Left rows of a hot key get a salt from a hash of the ``spread`` columns, right rows of
-    that key are repeated once per salt.  Works for inner, left, left_semi and left_anti.
-    ``hot`` may hold the hot keys already, found on a cheaper frame with the same rows.
+    Without ``hot`` this is the plain join, read once, whose skewed partitions adaptive execution
+    splits.  ``hot`` holds hot keys that the caller has counted on the key columns of its base
+    frame (``hot_keys``): left rows of a hot key then get a salt from a hash of the ``spread``
+    columns, and right rows of that key are repeated once per salt.  Works for inner, left,
+    left_semi and left_anti.
     """
     keys = list(keys)
-    hot = hot_keys(left, keys, rows_per_salt) if hot is None else hot
+    if hot is None:
+        return left.join(right, keys, how)
     hot = hot.select(
         *keys, F.ceil(F.col("_hot_n") / F.lit(rows_per_salt)).cast("int").alias("_salts")
     )

@@ -66,10 +66,9 @@ def refine_params(new: DataFrame, base: DataFrame, max_gain: float = INF, max_of
 def apply_gain_offset(cells: DataFrame, params: DataFrame, lo: float = 0.0, hi: float = 255.0, nodata: float | None = None) -> DataFrame:
     """Enabled channels, valid cells only; result rounded half to even and clipped to the data type.
 
-    ``params`` has one row per channel letter (four at most).
+    ``params`` has one row per channel, of which there may be any number.
     """
-    p = params.select("channel", "enabled", "gain", "offset").limit(4)
-    j = cells.join(F.broadcast(p), "channel", "left")
+    j = cells.join(params.select("channel", "enabled", "gain", "offset"), "channel", "left")
     change = F.coalesce("enabled", F.lit(False)) & valid_value(F.col("v"), nodata)
     v = C.clip(F.bround(F.col("v") * F.col("gain") + F.col("offset")), lo, hi)
     return j.withColumn("v", F.when(change, v).otherwise(F.col("v"))).drop("enabled", "gain", "offset")
@@ -110,10 +109,11 @@ def lab_stats(pixels: DataFrame, keys=("tile_id",)) -> DataFrame:
 def lab_transfer(pixels: DataFrame, source: DataFrame, reference: DataFrame, keys=("tile_id",)) -> DataFrame:
     """Source LAB distribution moved to the reference's: ``(v - ms) * sr / (ss + 1e-8) + mr``, clipped, as RGB.
 
-    ``reference`` has one row.
+    ``reference`` has one row; more raise an error.
     """
     names = [f"{n}_{c}" for c in "lab" for n in ("mean", "std")]
-    ref = reference.select(*[F.col(n).alias(f"r_{n}") for n in names]).limit(1)
+    several = F.raise_error(F.lit("lab_transfer takes one reference row"))
+    ref = reference.agg(*[F.when(F.count(F.lit(1)) > 1, several).otherwise(F.max(n)).alias(f"r_{n}") for n in names])
     j = salted_join(pixels, source.select(*keys, *names), list(keys), ["row_i", "col_i"]).crossJoin(F.broadcast(ref))
     j = j.withColumn("_q", C.rgb_to_lab(F.col("r"), F.col("g"), F.col("b")))
     moved = [C.clip((F.col(f"_q.{c}") - F.col(f"mean_{c}")) * F.col(f"r_std_{c}") / (F.col(f"std_{c}") + 1e-8) + F.col(f"r_mean_{c}")) for c in "lab"]

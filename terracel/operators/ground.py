@@ -26,14 +26,14 @@ def low_noise(points: DataFrame, size: float = 10.0, threshold: float = 1.0, til
     The two lowest points per cell are picked before the shuffle already (rank limit).
     """
     keyed = points.withColumn("_cx", cell(F.col("x"), size)).withColumn("_cy", cell(F.col("y"), size))
-    place = [tile, "_cx", "_cy"]
+    place = [tile, "_cx", "_cy"]  # pids may repeat over tiles
     w = Window.partitionBy(*place).orderBy("z", "pid")
     two = keyed.select(*place, "z", "pid").withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= 2)
     gap = two.groupBy(*place).agg(
         F.max(F.when(F.col("_k") == 1, F.col("pid"))).alias("pid"),
         (F.max(F.when(F.col("_k") == 2, F.col("z"))) - F.max(F.when(F.col("_k") == 1, F.col("z")))).alias("_gap"))
-    flagged = gap.filter(F.col("_gap") > threshold).select("pid", F.lit(True).alias("noise"))
-    return salted_join(points, flagged, ["pid"], ["pid"], "left").withColumn("noise", F.coalesce("noise", F.lit(False)))
+    flagged = gap.filter(F.col("_gap") > threshold).select(tile, "pid", F.lit(True).alias("noise")).distinct()
+    return salted_join(points, flagged, [tile, "pid"], ["pid"], "left").withColumn("noise", F.coalesce("noise", F.lit(False)))
 
 
 def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None = None, dense: int = 64) -> DataFrame:
@@ -77,17 +77,20 @@ def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None
         radius *= 2
         if radius > reach:
             break
-    return settled
+    # positions that no radius settles (coordinates that are no numbers) have no distance
+    return settled.unionByName(open_.select("x", "y", "z", "copies", F.lit(None).cast("double").alias("mean_d")))
 
 
 def statistical_outliers(points: DataFrame, k: int = 12, mult: float = 2.5) -> DataFrame:
     """Adds ``noise``: mean distance to ``k`` neighbours above the global mean plus ``mult`` deviations."""
     m = cut(mean_neighbour_distance(points, k))
-    n, s = F.sum("copies"), F.sum(F.col("copies") * F.col("mean_d"))
+    n, s = F.sum(F.when(F.col("mean_d").isNotNull(), F.col("copies"))), F.sum(F.col("copies") * F.col("mean_d"))
     ss = F.sum(F.col("copies") * F.col("mean_d") * F.col("mean_d"))
     limit = m.agg((s / n + mult * F.sqrt(F.greatest((ss - s * s / n) / F.greatest(n - 1, F.lit(1)), F.lit(0.0)))).alias("_lim"))
-    far = m.crossJoin(F.broadcast(limit)).select("x", "y", "z", (F.col("mean_d") > F.col("_lim")).alias("noise"))  # one-row side
-    return salted_join(points, far, ["x", "y", "z"], ["pid"])
+    noisy = F.coalesce(F.col("mean_d") > F.col("_lim"), F.lit(False))
+    far = m.crossJoin(F.broadcast(limit)).select("x", "y", "z", noisy.alias("noise"))  # one-row side
+    out = salted_join(points, far, ["x", "y", "z"], ["pid"], "left")
+    return out.withColumn("noise", F.coalesce("noise", F.lit(False)))  # a null coordinate joins nothing
 
 
 def pmf_parameters(size: float, building: float, angle: float, distance: float) -> dict:

@@ -35,10 +35,10 @@ def raster_cells(tiles: DataFrame, decimate: int = 1, box: tuple | None = None)
         (F.col("col0") + F.col("_p") % F.col("w")).cast("int").alias("col_i"), F.when(valid_value(v) & ~v.eqNullSafe(F.col("nodata")), v).alias("v"))
     if box is not None:
         out = out.filter(F.col("row_i").between(box[0], box[2]) & F.col("col_i").between(box[1], box[3]))
-    return out if decimate <= 1 else globals()["decimate"](out, decimate)
+    return out if decimate <= 1 else every_kth(out, decimate)
 
 
-def decimate(cells: DataFrame, k: int) -> DataFrame:
+def every_kth(cells: DataFrame, k: int) -> DataFrame:
     """Every k-th row and column."""
     return cells.filter((F.col("row_i") % k == 0) & (F.col("col_i") % k == 0))
 
@@ -367,14 +367,14 @@ def _inside_cells(cells: DataFrame, poly: DataFrame, size: float) -> DataFrame:
     return points_in_mask(pos, poly, size * 16, "_id").select("row_i", "col_i", F.lit(True).alias("_in"))
 
 
-def clip_raster(cells: DataFrame, poly: DataFrame, size: float, nodata: float, max_bands: int = 3) -> DataFrame:
+def clip_raster(cells: DataFrame, poly: DataFrame, size: float, nodata: float, max_bands: int | None = None) -> DataFrame:
     """Cells outside the polygon become nodata, the raster is cut to the polygon's extent.
 
-    At most ``max_bands`` bands stay; ``mask`` tells whether all bands of the cell are valid.
+    At most ``max_bands`` bands stay, all of them without it; ``mask`` tells whether all bands of the cell are valid.
     """
     inside = _inside_cells(cells, poly, size)
     box = inside.agg(F.min("row_i").alias("_r0"), F.max("row_i").alias("_r1"), F.min("col_i").alias("_c0"), F.max("col_i").alias("_c1"))  # one row
-    c = salted_join(cells.filter(F.col("band") <= max_bands), inside, ["row_i", "col_i"], ["tile_id", "band"], "left").crossJoin(F.broadcast(box)).filter(
+    c = salted_join(cells if max_bands is None else cells.filter(F.col("band") <= max_bands), inside, ["row_i", "col_i"], ["tile_id", "band"], "left").crossJoin(F.broadcast(box)).filter(
         F.col("row_i").between(F.col("_r0"), F.col("_r1")) & F.col("col_i").between(F.col("_c0"), F.col("_c1")))
     c = c.withColumn("v", F.when(F.col("_in"), F.col("v")).otherwise(nodata))
     ok = c.groupBy("tile_id", "row_i", "col_i").agg(F.bool_and(valid_value(F.col("v"), nodata)).alias("mask"))
@@ -476,16 +476,12 @@ def grid_surface(
         idw = best.groupBy(tile, F.col("_tr").alias("row_i"), F.col("_tc").alias("col_i")).agg((F.sum(F.col("v") / (F.col("_d") * F.col("_d"))) / F.sum(1 / (F.col("_d") * F.col("_d")))).alias("v"))
         out = filled.unionByName(idw)
         empty = empty.join(idw, [tile, "row_i", "col_i"], "left_anti")
-    # tiles are searched apart: shifting x by a tile number would mix scales, so the id carries the tile
-    ids = filled.select(tile).distinct()
-    rank = ids.withColumn("_t", F.row_number().over(Window.orderBy(tile)))  # one row per tile
-    wide = filled.agg((F.max("col_i") - F.min("col_i") + 1).alias("_w")).first()["_w"] or 1
-    gap = (wide * 3 + 10) * size
-    place = lambda df: df.join(rank, tile).withColumn("x", (F.col("col_i") + 0.5) * size + F.col("_t") * gap).withColumn("y", (F.col("row_i") + 0.5) * size)
-    lonely = cut(place(empty).withColumn("lid", F.struct(tile, "row_i", "col_i")))
-    have = cut(place(filled).withColumn("rid", F.struct(tile, "row_i", "col_i")))
-    found = nearest_any(lonely, have, size * 4, "lid", "rid")
-    fallback = found.join(have.select("rid", "v"), "rid").select(F.col(f"lid.{tile}").alias(tile), F.col("lid.row_i").alias("row_i"), F.col("lid.col_i").alias("col_i"), "v")
+    # tiles are searched apart: the tile is a key of the nearest search
+    place = lambda df: df.withColumn("x", (F.col("col_i") + 0.5) * size).withColumn("y", (F.col("row_i") + 0.5) * size)
+    lonely = cut(place(empty).withColumn("lid", F.struct("row_i", "col_i")))
+    have = cut(place(filled).withColumn("rid", F.struct("row_i", "col_i")))
+    found = nearest_any(lonely, have, size * 4, "lid", "rid", keys=[tile])
+    fallback = found.join(have.select(tile, "rid", "v"), [tile, "rid"]).select(tile, F.col("lid.row_i").alias("row_i"), F.col("lid.col_i").alias("col_i"), "v")
     return out.unionByName(fallback)
 
 

@@ -40,20 +40,21 @@ def sample_tiles(
 ) -> DataFrame:
     """Raster sampling straight from storage tiles ``tr, tc, h, w, size, data``.
 
-    A tile covers ``h`` by ``w`` cells of ``size`` and sits at tile row ``tr`` and column ``tc``; all
-    tiles share shape and cell size, which are read from the first row.
+    Tile row ``tr`` and column ``tc`` count blocks of the largest ``h`` and ``w``; a tile at the edge may
+    have fewer rows or columns and is read with its own width.  All tiles share one cell size.
     """
-    shape = tiles.select("h", "w", "size").first()
-    r, c = cell(F.col("y"), shape["size"]), cell(F.col("x"), shape["size"])
-    keyed = (
-        points.withColumn("_r", r).withColumn("_c", c)
-        .withColumn("tr", F.floor(F.col("_r") / shape["h"])).withColumn("tc", F.floor(F.col("_c") / shape["w"]))
-    )
+    shape = tiles.agg(F.max("h").alias("h"), F.max("w").alias("w"), F.min("size").alias("size"), F.max("size").alias("top")).first()
+    if shape["size"] != shape["top"]:
+        raise ValueError("sample_tiles takes tiles of one cell size")
+    size, h, w = shape["size"] or 1.0, shape["h"] or 1, shape["w"] or 1
+    keyed = points.withColumn("_r", cell(F.col("y"), size)).withColumn("_c", cell(F.col("x"), size))
+    keyed = keyed.withColumn("tr", F.floor(F.col("_r") / h)).withColumn("tc", F.floor(F.col("_c") / w))
     spread = ["pid"] if "pid" in points.columns else ["x", "y"]
-    joined = salted_join(keyed, tiles.select("tr", "tc", "data"), ["tr", "tc"], spread, "left")
-    at = (F.col("_r") - F.col("tr") * shape["h"]) * shape["w"] + F.col("_c") - F.col("tc") * shape["w"]
-    v = F.get("data", at.cast("int")).cast("double")
-    return joined.withColumn(out, F.when(valid_value(v, nodata), v)).drop("_r", "_c", "tr", "tc", "data")
+    stored = tiles.select("tr", "tc", F.col("h").alias("_h"), F.col("w").alias("_w"), "data")
+    joined = salted_join(keyed, stored, ["tr", "tc"], spread, "left")
+    i, j = F.col("_r") - F.col("tr") * h, F.col("_c") - F.col("tc") * w
+    v = F.when((i < F.col("_h")) & (j < F.col("_w")), F.get("data", (i * F.col("_w") + j).cast("int")).cast("double"))
+    return joined.withColumn(out, F.when(valid_value(v, nodata), v)).drop("_r", "_c", "tr", "tc", "_h", "_w", "data")
 
 
 def height_difference(df: DataFrame, ref: str, z: str = "z") -> DataFrame:
@@ -79,8 +80,6 @@ def median_clip(
 
     The text cleaner drops positive values and reports ``|dz|``; the generator keeps signs.
     """
-    if factor is not None:
-        df = cut(df)  # read several times below
     out = df
     if factor is not None:
         med = group_median(df, keys, dz, "_med")
@@ -106,19 +105,33 @@ def nearest_join(
 
 def nearest_any(
     left: DataFrame, right: DataFrame, start: float, left_id: str, right_id: str,
-    right_xy: Sequence[str] = ("x", "y"), grow: float = 4.0,
+    right_xy: Sequence[str] = ("x", "y"), grow: float = 4.0, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Closest right point at any distance: the radius grows until every left row has one."""
+    """Closest right point at any distance among those with equal ``keys``; the radius grows until every left row has one.
+
+    Left rows whose keys have no right point, or whose position is no number, are left out.  After the first
+    round only the right points around rows still open are searched.
+    """
+    keys, (rx, ry) = list(keys), right_xy
+    fits = lambda x, y: F.col(x).isNotNull() & ~F.isnan(x) & F.col(y).isNotNull() & ~F.isnan(y)
+    right = right.filter(fits(rx, ry))
+    open_ = left.filter(fits("x", "y"))
+    open_ = open_.join(right.select(*keys).distinct(), keys, "left_semi") if keys else open_
     if right.isEmpty():
-        return nearest(left.limit(0), right, start, left_id, right_id, ("x", "y"), right_xy)
-    open_, radius, done = left, start, None
+        return nearest(left.limit(0), right, start, left_id, right_id, ("x", "y"), right_xy, keys=keys)
+    radius, done, around = start, None, right
     while True:
-        found = cut(nearest(open_, right, radius, left_id, right_id, ("x", "y"), right_xy))
+        found = cut(nearest(open_, around, radius, left_id, right_id, ("x", "y"), right_xy, keys=keys))
         done = found if done is None else done.unionByName(found)
-        open_ = open_.join(found.select(left_id), left_id, "left_anti")
+        open_ = cut(open_.join(found.select(*keys, left_id), [*keys, left_id], "left_anti"))
         if open_.isEmpty():
             return done
         radius *= grow
+        box = open_.select(*keys, cell(F.col("x"), radius).alias("_i"), cell(F.col("y"), radius).alias("_j")).distinct()
+        step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+        near = box.withColumn("_n", step).select(*keys, (F.col("_i") + F.col("_n.i")).alias("_i"), (F.col("_j") + F.col("_n.j")).alias("_j")).distinct()
+        placed = right.withColumn("_i", cell(F.col(rx), radius)).withColumn("_j", cell(F.col(ry), radius))
+        around = placed.join(near, [*keys, "_i", "_j"], "left_semi").drop("_i", "_j")
 
 
 def idw_join(

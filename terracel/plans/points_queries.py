@@ -28,13 +28,13 @@ def _chain(t):
 
 
 @query("vertical_correction", f"""{_CHAIN}
-SELECT point_source_id, count(*) AS n, round(avg(dz), 6) AS mean_dz, round(sum(abs(dz)), 4) AS sum_abs,
+SELECT point_source_id, count(*) AS n, round(avg(dz), 6) AS mean_dz, CAST(sum(CAST(abs(dz) AS DECIMAL(18, 6))) AS DOUBLE) AS sum_abs,
        min(pid) AS first_pid FROM kept GROUP BY 1""")
 def _(t):
     out = _chain(t).groupBy("point_source_id").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("dz").alias("mean_dz"), F.sum(F.abs("dz")).alias("sum_abs"),
+        F.count(F.lit(1)).alias("n"), F.avg("dz").alias("mean_dz"), F.sum(F.abs("dz").cast("decimal(18,6)")).cast("double").alias("sum_abs"),
         F.min("pid").alias("first_pid"))
-    return rounded(out, mean_dz=6, sum_abs=4)
+    return rounded(out, mean_dz=6)
 
 
 @query("ground_or_all", """SELECT tile_id, pid, classification FROM {points} p
@@ -119,8 +119,8 @@ def _(t):
 
 @query("tile_band_mean", """SELECT tile_id, band, round(avg(v), 6) AS mean FROM {band_cells} WHERE v <> 0 AND row_i % 2 = 0 AND col_i % 2 = 0 GROUP BY 1, 2""")
 def _(t):
-    from ..operators.raster import decimate, tile_band_mean
-    return rounded(tile_band_mean(decimate(t.band_cells, 2), nodata=0.0), mean=6)
+    from ..operators.raster import every_kth, tile_band_mean
+    return rounded(tile_band_mean(every_kth(t.band_cells, 2), nodata=0.0), mean=6)
 
 
 @query("drop_outlier_tiles", """WITH s AS (SELECT tile_id, classification AS channel, avg(intensity) AS mean FROM {points} GROUP BY 1, 2),

@@ -87,7 +87,7 @@ EXISTS (SELECT 1 FROM {sheets} s WHERE sheet_id IN (6, 7) AND (col_i+0.5)*25 BET
 b AS (SELECT min(row_i) AS r0, max(row_i) AS r1, min(col_i) AS c0, max(col_i) AS c1 FROM i WHERE ins)
 SELECT tile_id, band, row_i, col_i, v, bool_and(v <> -1) OVER (PARTITION BY tile_id, row_i, col_i) AS mask FROM i, b WHERE band <= 3 AND row_i BETWEEN r0 AND r1 AND col_i BETWEEN c0 AND c1""")
 def _(t):
-    return R.clip_raster(t.band_cells, S.with_ring(t.sheets).filter(_SHEET0), 25.0, -1.0).select("tile_id", "band", "row_i", "col_i", "v", "mask")
+    return R.clip_raster(t.band_cells, S.with_ring(t.sheets).filter(_SHEET0), 25.0, -1.0, max_bands=3).select("tile_id", "band", "row_i", "col_i", "v", "mask")
 
 
 @query("already_clipped", """SELECT tile_id, tile_id % 2 = 0 AS clipped FROM {band_cells} GROUP BY 1""")

@@ -182,11 +182,13 @@ def _(t):
     return t.customer.select("c_custkey", X.record_text([("id", F.col("c_custkey")), ("name", F.col("c_name")), ("segment", F.col("c_mktsegment"))]).alias("record"))
 
 
-@query("flatten_json", """SELECT event_id, 'a: ' || event_type AS l1, 'b.k: ' || json_extract_string(props, '$.k') AS l2, 'b.deep.u: ' || CAST(user_id AS VARCHAR) AS l3 FROM events""")
+@query("flatten_json", """SELECT event_id, 'META_a=' || event_type AS l1, 'META_b_deep_u_w_1=' || CAST(user_id AS VARCHAR) AS l2, 'META_b_deep_u_w_2_z=None' AS l3, 'META_b_k=' || json_extract_string(props, '$.k') AS l4 FROM events""")
 def _(t):
-    doc = F.concat(F.lit('{"a": "'), "event_type", F.lit('", "b": {"k": '), F.get_json_object("props", "$.k"), F.lit(', "deep": {"u": '), F.col("user_id").cast("string"), F.lit("}}}"))
+    doc = F.concat(
+        F.lit('{"b": {"k": '), F.get_json_object("props", "$.k"), F.lit(', "deep": {"u": {"w": ['), F.col("user_id").cast("string"),
+        F.lit(', {"z": null}]}}}, "a": "'), "event_type", F.lit('"}'))
     lines = t.events.select("event_id", X.flatten_json(doc).alias("l"))
-    return lines.select("event_id", *[F.col("l")[i].alias(f"l{i + 1}") for i in range(3)])
+    return lines.select("event_id", *[F.col("l")[i].alias(f"l{i + 1}") for i in range(4)])
 
 
 @query("number_text", """SELECT o_orderkey, replace(replace(replace(format('{:,.2f}', o_totalprice), ',', 'X'), '.', ','), 'X', '.') AS grouped,

@@ -136,12 +136,6 @@ def read_class_list(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.from_json("v", "array<int>")).alias("las_class"))
 
 
-def read_split_list(spark: SparkSession, path: str) -> DataFrame:
-    """Relative paths of a split list; blanks and ``#`` lines ignored."""
-    t = F.trim("value")
-    return spark.read.text(path).filter((t != "") & ~F.startswith(t, F.lit("#"))).select(t.alias("path"))
-
-
 FEATURE = "type string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
 
 
