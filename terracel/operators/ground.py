@@ -44,11 +44,16 @@ def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None
     doubles for positions that have too few neighbours, so crowded places are settled
     while the radius is small.
     """
-    spots = cut(points.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("copies")))
+    every = cut(points.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("copies")))
+    # a coordinate that is missing or no number has no distance to anything
+    placed = F.lit(True)
+    for c in "xyz":
+        placed = placed & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    spots, odd = every.filter(placed), every.filter(~placed).withColumn("mean_d", F.lit(None).cast("double"))
     total = spots.agg(F.sum("copies").alias("n"), F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
     need = min(k, (total["n"] or 1) - 1)
     if need <= 0:
-        return spots.withColumn("mean_d", F.lit(0.0))
+        return spots.withColumn("mean_d", F.lit(0.0)).unionByName(odd)
     radius = start or max(total[1] or 1.0, total[2] or 1.0) / 4
     while start is None and radius > 1e-6:
         busiest = spots.groupBy(cell(F.col("x"), radius), cell(F.col("y"), radius)).count().agg(F.max("count")).first()[0]
@@ -77,8 +82,7 @@ def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None
         radius *= 2
         if radius > reach:
             break
-    # positions that no radius settles (coordinates that are no numbers) have no distance
-    return settled.unionByName(open_.select("x", "y", "z", "copies", F.lit(None).cast("double").alias("mean_d")))
+    return settled.unionByName(odd).unionByName(open_.select("x", "y", "z", "copies", F.lit(None).cast("double").alias("mean_d")))
 
 
 def statistical_outliers(points: DataFrame, k: int = 12, mult: float = 2.5) -> DataFrame:
