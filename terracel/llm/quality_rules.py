@@ -11,6 +11,7 @@ from .common import SPACE, read_table, words_of
 from .registry import query
 
 SYMBOLS = "[#*$%&|<>]"
+MARKS = ".,;:!?"
 WINDOW = 5
 
 #: Frequent function words of the languages in the tables.
@@ -79,16 +80,18 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     split = split.select("*", windows.alias("_windows"), lines.alias("_lines"))
     count = lambda pattern: F.regexp_count("_text", F.lit(pattern)).cast("long")
-    # a stop word counts between spaces or marks, in any case of A-Z
-    stop_words = r"(?<![^ \t-\r])(?i:" + "|".join(sorted(set(STOP_WORDS))) + r")[.,;:!?]*(?![^ \t-\r])"
+    # a stop word counts in any case and with marks after it; the list becomes one hash set
+    stop_words = F.filter("_words", lambda w: F.lower(F.rtrim(w, F.lit(MARKS))).isin(*sorted(set(STOP_WORDS))))
+    # words without a letter are few and found in one pass over the text
+    letterless = count(r"(?<![^ \t-\r])[^\p{L} \t-\r]++(?![^ \t-\r])")
     return split.select(
         "doc_id", n.cast("long").alias("n_words"), F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         count(SYMBOLS).alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_window_words(F.col("_words"), F.col("_windows")).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
-        count(stop_words).alias("n_stop_words"),
-        F.size(F.filter("_words", lambda w: w.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
+        F.size(stop_words).cast("long").alias("n_stop_words"),
+        (n - letterless).cast("long").alias("n_letter_words"),
         count(r"\p{Lu}").alias("n_capitals"),
         F.lit(1).cast("long").alias("one"),
     )
