@@ -252,17 +252,31 @@ def along_line_distance(points: DataFrame, lines: DataFrame, point_id: str, line
 
 
 def frontage_vertex(
-    lots: DataFrame, doors: DataFrame, lot_id: str, door_id: str, reach: float, size: float = 10.0
+    lots: DataFrame, doors: DataFrame, lot_id: str, door_id: str, reach: float | None = None, size: float = 10.0, grow: float = 8.0
 ) -> DataFrame:
     """Rings turned to start at the frontage: the more northern end of the edge closest to the nearest door.
 
-    Lots with no door within ``reach`` keep their start.
+    With ``reach``, lots without a door that near keep their start; without it the search widens until
+    every lot has its nearest door.
     """
     from .spatial import points_near_polygons
 
-    near = points_near_polygons(doors.select(door_id, "x", "y"), lots.select(lot_id, "ring"), reach, size, door_id)
-    door = near.groupBy(lot_id).agg(F.min(F.struct("_d", door_id, "x", "y")).alias("_b")).select(
-        lot_id, F.col("_b.x").alias("_dx"), F.col("_b.y").alias("_dy"))
+    def nearest_door(asked, reach, size):
+        near = points_near_polygons(doors.select(door_id, "x", "y"), asked.select(lot_id, "ring"), reach, size, door_id)
+        return near.groupBy(lot_id).agg(F.min(F.struct("_d", door_id, "x", "y")).alias("_b")).select(
+            lot_id, F.col("_b.x").alias("_dx"), F.col("_b.y").alias("_dy"))
+
+    if reach is not None:
+        door = nearest_door(lots, reach, size)
+    else:
+        open_, door, some = lots, None, not doors.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).isEmpty()
+        while True:
+            found = cut(nearest_door(open_, size, size))
+            door = found if door is None else door.unionByName(found)
+            open_ = cut(open_.join(found.select(lot_id), lot_id, "left_anti").filter(F.size("ring") > 0))
+            if not some or open_.isEmpty():
+                break
+            size *= grow
     r = F.col("ring")
     n = F.size(r)
     keyed = F.transform(G.ring_edges(r), lambda e, i: F.struct(

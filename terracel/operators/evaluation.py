@@ -136,7 +136,9 @@ def weighted_sample(rows: DataFrame, weight: str, n: int, key: str, alpha: float
     top = rows.agg(F.max(w).alias("_top"))  # one row
     eff = F.when(F.col("_top") <= 0, 1.0).otherwise(F.greatest(w, F.lit(0.0)))
     draw = F.when(F.col("_w") > 0, F.log(_uniform(seed, key)) / F.col("_w")).otherwise(float("-inf"))
-    return rows.crossJoin(F.broadcast(top)).withColumn("_w", eff).withColumn("_d", draw).orderBy(F.desc("_d"), key).limit(n).drop("_top", "_w", "_d")
+    # numbered over slices of the draw, so a large sample is never gathered in one task
+    drawn = rows.crossJoin(F.broadcast(top)).withColumn("_w", eff).withColumn("_o", 1.0 - F.exp(draw))
+    return number_rows(drawn, [], "_o", [key], "_n").filter(F.col("_n") <= n).drop("_top", "_w", "_o", "_n")
 
 
 def split_sizes(n: int, train: float, val: float, test: float) -> tuple[int, int, int]:

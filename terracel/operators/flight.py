@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.grid import cell, cover
+from ..core.lineage import cut
 from ..core.numbering import number_rows
 from ..core.skew import salted_join
 from ..functions.geometry import segment_distance
@@ -37,14 +38,25 @@ def strip_report(strips: DataFrame) -> DataFrame:
 
 
 def nearest_line(
-    points: DataFrame, lines: DataFrame, reach: float, point_id: str, line_id: str,
-    xy=("x", "y"), ends=("x1", "y1", "x2", "y2"),
+    points: DataFrame, lines: DataFrame, reach: float | None, point_id: str, line_id: str,
+    xy=("x", "y"), ends=("x1", "y1", "x2", "y2"), start: float = 100.0, grow: float = 8.0,
 ) -> DataFrame:
-    """Closest segment within ``reach`` of each point: ``point_id, line_id, dist``, lowest id on ties.
+    """Closest segment of each point: ``point_id, line_id, dist``, lowest id on ties; within ``reach`` if it is given.
 
     Segments are laid over grid cells of side ``reach`` around their box; long ones are cut
-    to the cells near the segment itself.
+    to the cells near the segment itself.  Without a limit the reach grows from ``start`` for the points still open.
     """
+    if reach is None:
+        fits = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+        open_, reach, done = points.filter(fits(xy[0]) & fits(xy[1])), start, None
+        some = not lines.isEmpty()
+        while True:
+            found = cut(nearest_line(open_, lines, reach, point_id, line_id, xy, ends))
+            done = found if done is None else done.unionByName(found)
+            open_ = cut(open_.join(found.select(point_id), point_id, "left_anti"))
+            if not some or open_.isEmpty():
+                return done
+            reach *= grow
     px, py = (F.col(c) for c in xy)
     x1, y1, x2, y2 = (F.col(c) for c in ends)
     laid = cells_along(lines, reach, ends)

@@ -180,9 +180,11 @@ def chain_rings(edges: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     bend = F.atan2(G.cross(dx, dy, F.col("_dx"), F.col("_dy")), dx * F.col("_dx") + dy * F.col("_dy"))
     links = (
-        e.join(nxt, [key, "_tx", "_ty"]).groupBy(key, "eid")
+        e.join(nxt, [key, "_tx", "_ty"], "left").groupBy(key, "eid")
         .agg(F.max_by("_n", F.struct(bend, "_n")).alias("nxt"))
     )
+    gap = F.raise_error(F.lit("a boundary does not close: no edge starts where one ends"))
+    links = links.withColumn("nxt", F.coalesce("nxt", gap))
     # smallest edge of the ring
     state = cut(links.select(key, "eid", F.col("nxt").alias("jump"), F.least("eid", "nxt").alias("low")))
     while True:

@@ -111,8 +111,13 @@ def xy_to_rc(x: Column, y: Column, gt: Sequence[float]) -> Column:
 
 
 def world_file(lines: DataFrame) -> DataFrame:
-    """Transforms from side files ``path, line_no, value`` (A, D, B, E, C, F; centre of the first cell)."""
-    w = lines.groupBy("path").pivot("line_no", [1, 2, 3, 4, 5, 6]).agg(F.first(F.col("value").try_cast("double")))
+    """Transforms from side files ``path, line_no, value`` (A, D, B, E, C, F; centre of the first cell).
+
+    Blank lines are passed over and a decimal comma counts as a point.
+    """
+    value = F.translate(F.trim("value"), ",", ".")
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("line_no"))  # six lines a file
+    w = lines.filter(F.trim("value") != "").withColumn("_n", nth).groupBy("path").pivot("_n", [1, 2, 3, 4, 5, 6]).agg(F.first(value.try_cast("double")))
     a, d, b, e, c, f = (F.col(str(i)) for i in range(1, 7))
     return w.select("path", a.alias("a"), b.alias("b"), (c - a / 2 - b / 2).alias("c"), d.alias("d"), e.alias("e"), (f - d / 2 - e / 2).alias("f"))
 

@@ -71,12 +71,23 @@ def decode(raw: bytes, head: dict) -> dict[str, np.ndarray]:
     return out
 
 
+#: Point ids hold the number of the file, in path order, above so many bits of record number.
+RECORD_BITS = 40
+#: A partition is cut at bytes; records of common formats take about this many.
+RECORD_BYTES = 34
+
+
 class Records(InputPartition):
-    """A range of point records of one file (or its header)."""
+    """The point records that start in a byte range of one file (or its header)."""
+
+    def __init__(self, path: str, file_no: int, lo: int, hi: int):
+        super().__init__((path, file_no, lo, hi))
+        self.path, self.file_no, self.lo, self.hi = path, file_no, lo, hi
 
-    def __init__(self, path: str, first: int, count: int):
-        super().__init__((path, first, count))
-        self.path, self.first, self.count = path, first, count
+    def records(self, head: dict) -> tuple[int, int]:
+        """First record and number of records."""
+        at = lambda byte: min(max(-(-(byte - head["offset"]) // head["record"]), 0), head["count"])
+        return at(self.lo), at(self.hi) - at(self.lo)
 
 
 class LasReader(DataSourceReader):
@@ -88,12 +99,11 @@ class LasReader(DataSourceReader):
 
     def partitions(self):
         if self.header_only:
-            return [Records(p, 0, 0) for p in self.paths]
-        out = []
-        for p in self.paths:
-            n = read_header(p)["count"]
-            out += [Records(p, i, min(self.chunk, n - i)) for i in range(0, n, self.chunk)]
-        return out or [Records("", 0, 0)]
+            return [Records(p, i, 0, 0) for i, p in enumerate(self.paths)] or [Records("", 0, 0, 0)]
+        # file lengths only: headers are read by the tasks
+        step = self.chunk * RECORD_BYTES
+        out = [Records(p, i, lo, lo + step) for i, p in enumerate(self.paths) for lo in range(0, os.path.getsize(p), step)]
+        return out or [Records("", 0, 0, 0)]
 
     def read(self, part):
         if not part.path:
@@ -102,13 +112,13 @@ class LasReader(DataSourceReader):
         if self.header_only:
             yield (part.path, head["count"], *head["box"], head["record"])
             return
-        step = 262_144
+        step, (first, count) = 262_144, part.records(head)
         with open(part.path, "rb") as f:
-            f.seek(head["offset"] + part.first * head["record"])
-            for done in range(0, part.count, step):
-                n = min(step, part.count - done)
+            f.seek(head["offset"] + first * head["record"])
+            for done in range(0, count, step):
+                n = min(step, count - done)
                 cols = decode(f.read(n * head["record"]), head)
-                yield self._batch(part.path, part.first + done, n, cols)
+                yield self._batch(part.path, (part.file_no << RECORD_BITS) + first + done, n, cols)
 
     @staticmethod
     def _batch(path, first, n, cols):
@@ -137,7 +147,7 @@ class LasSource(DataSource):
 
 
 def read_points(spark: SparkSession, path: str, records_per_partition: int = 2_000_000) -> DataFrame:
-    """Point records of all ``.las`` files below ``path``; ``pid`` is the record number in its file."""
+    """Point records of all ``.las`` files below ``path``; ``pid`` is unique over the files: file number in path order, then record."""
     spark.dataSource.register(LasSource)
     return spark.read.format("las").option("recordsPerPartition", records_per_partition).load(path)
 

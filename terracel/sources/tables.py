@@ -139,24 +139,55 @@ def read_class_list(spark: SparkSession, path: str) -> DataFrame:
 FEATURE = "type string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
 
 
-def read_features(spark: SparkSession, path: str, kinds: tuple[str, ...] = ("Polygon", "MultiPolygon")) -> DataFrame:
-    """``properties, kind, ring`` (or ``line``) from GeoJSON, one feature per line.
-
-    Other geometry types, empty and null geometries drop out; multipart features keep their
-    largest polygon (longest line).
+def read_features(
+    spark: SparkSession, path: str, kinds: tuple[str, ...] = ("Polygon", "MultiPolygon"), multiline: bool = False
+) -> DataFrame:
+    """``properties, kind, ring, parts, area`` (or ``line, lines, length``) from GeoJSON features and FeatureCollections.
+
+    One document per line, or with ``multiline`` one per file.  ``parts`` holds every polygon as its outer ring and
+    its holes, ``ring`` the outer ring of the largest one, and ``area`` is that of all parts without their holes.
+    Other geometry types, empty and null geometries drop out; a document that is no feature raises.
     """
-    raw = spark.read.schema(FEATURE).json(path).filter(F.col("geometry.type").isin(*kinds))
+    found = spark.read.schema(f"{FEATURE}, features array<struct<{FEATURE.replace(' string', ':string').replace(' map', ':map').replace(' struct', ':struct')}>>").json(path, multiLine=multiline)
+    one = F.array(F.struct("type", "properties", "geometry"))
+    unknown = F.raise_error(F.lit("a document is neither a Feature nor a FeatureCollection (several lines need multiline=True)"))
+    items = F.when(F.col("type") == "FeatureCollection", F.col("features")).when(F.col("type") == "Feature", one).otherwise(unknown)
+    raw = found.select(F.explode(items).alias("f")).select("f.*").filter(F.col("geometry.type").isin(*kinds))
     kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
     pts = lambda c: F.transform(c, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    if not any("Polygon" in k for k in kinds):
+        line = F.when(kind == "LineString", F.array(F.from_json(text, "array<array<double>>"))).otherwise(F.from_json(text, "array<array<array<double>>>"))
+        lines = F.filter(F.transform(line, pts), lambda r: F.size(r) >= 2)
+        out = raw.select("properties", kind.alias("kind"), lines.alias("lines")).filter(F.size("lines") > 0)
+        length = F.aggregate("lines", F.lit(0.0), lambda n, r: n + G.line_length(r))
+        return out.select("properties", "kind", _largest("lines", G.line_length).alias("line"), "lines", length.alias("length"))
     poly = F.when(kind == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>"))).otherwise(F.from_json(text, "array<array<array<array<double>>>>"))
-    line = F.when(kind == "LineString", F.array(F.from_json(text, "array<array<double>>"))).otherwise(F.from_json(text, "array<array<array<double>>>"))
-    polygonal = any("Polygon" in k for k in kinds)
-    parts = F.transform(poly, lambda p: G.open_ring(pts(F.get(p, F.lit(0))))) if polygonal else F.transform(line, pts)
-    parts = F.filter(parts, lambda r: F.size(r) >= (3 if polygonal else 2))
-    size = G.ring_area if polygonal else G.line_length
-    ranked = F.array_max(F.transform(parts, lambda r, i: F.struct(size(r).alias("s"), (-i).alias("i"), r.alias("r"))))
-    out = raw.select("properties", kind.alias("kind"), ranked["r"].alias("ring" if polygonal else "line"))
-    return out.filter(F.col("ring" if polygonal else "line").isNotNull())
+    rings = F.transform(poly, lambda p: F.transform(p, lambda r: G.open_ring(pts(r))))
+    parts = F.transform(
+        F.filter(rings, lambda p: F.size(F.get(p, F.lit(0))) >= 3),
+        lambda p: F.struct(p[0].alias("ring"), F.filter(F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda h: F.size(h) >= 3).alias("holes")),
+    )
+    out = raw.select("properties", kind.alias("kind"), parts.alias("parts")).filter(F.size("parts") > 0)
+    net = F.aggregate("parts", F.lit(0.0), lambda n, p: n + part_area(p))
+    outer = _largest(F.transform("parts", lambda p: p["ring"]), G.ring_area)
+    return out.select("properties", "kind", outer.alias("ring"), "parts", net.alias("area"))
+
+
+def _largest(shapes, measure) -> Column:
+    """The shape of the largest measure, the first of equal ones."""
+    ranked = F.transform(shapes, lambda r, i: F.struct(measure(r).alias("s"), (-i).alias("i"), r.alias("r")))
+    return F.array_max(ranked)["r"]
+
+
+def part_area(part: Column) -> Column:
+    """Area of a polygon part without its holes."""
+    return G.ring_area(part["ring"]) - F.aggregate(part["holes"], F.lit(0.0), lambda n, h: n + G.ring_area(h))
+
+
+def feature_parts(features: DataFrame, feature_id: str) -> DataFrame:
+    """One row per polygon part of features: ``feature_id, part, ring, holes, area``."""
+    rows = features.select(feature_id, F.posexplode("parts").alias("part", "_p"))
+    return rows.select(feature_id, "part", F.col("_p.ring").alias("ring"), F.col("_p.holes").alias("holes"), part_area(F.col("_p")).alias("area"))
 
 
 def split_roads(features: DataFrame, name: Column) -> tuple[DataFrame, DataFrame]:
@@ -176,15 +207,22 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def read_log_table(spark: SparkSession, path: str, date_column: str, header_row: int = 4) -> DataFrame:
-    """Crew log CSV with its header on row 4: trimmed column names, bad dates become null."""
+    """Crew log CSV with its header on row 4 of each file: trimmed column names, bad dates become null.
+
+    Every file has its own header; a column that a file does not have is null there.
+    """
     lines = text_lines(spark, path)
     # the first rows of a file only: ranks are cut at the header row before the shuffle
     rank = F.row_number().over(Window.partitionBy("path").orderBy("seq"))
     top = lines.withColumn("_r", rank).filter(F.col("_r") <= header_row).filter(F.col("_r") == header_row)
-    head = top.select("path", F.col("value").alias("_h"), F.col("seq").alias("_s"))
-    names = [n.strip() for n in head.first()["_h"].split(",")]
-    body = lines.join(head.select("path", "_s"), "path").filter(F.col("seq") > F.col("_s"))
-    cols = F.from_csv("value", F.lit(", ".join(f"`c{i}` string" for i in range(len(names)))))
-    out = body.select("seq", cols.alias("_c")).select("seq", *[F.trim(f"_c.c{i}").alias(n) for i, n in enumerate(names)])
+    width = (top.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 0) + 1
+    columns = ", ".join(f"`c{i}` string" for i in range(width))
+    fields = lambda c: F.array(*[F.trim(F.from_csv(c, F.lit(columns))[f"c{i}"]) for i in range(width)])
+    head = top.select("path", fields("value").alias("_h"), F.col("seq").alias("_s"))
+    named = head.select(F.explode("_h").alias("n")).filter("n <> ''").distinct()
+    names = sorted(r["n"] for r in named.collect())  # column names only
+    body = lines.join(head, "path").filter(F.col("seq") > F.col("_s")).withColumn("_v", fields("value"))
+    value = lambda n: F.get("_v", F.array_position("_h", n).cast("int") - 1)
+    out = body.select("seq", *[value(n).alias(n) for n in names])
     day = F.coalesce(F.col(date_column).try_cast("date"), F.try_to_timestamp(F.col(date_column), F.lit("dd/MM/yyyy")).cast("date"))
     return out.withColumn(date_column, day)

@@ -104,3 +104,47 @@ def test_survey_types(spark):
     df = spark.createDataFrame([(k,) for k in doors], "t string")
     got = {r["t"]: r["d"] and (r["d"]["floors"], r["d"]["number"]) for r in df.select("t", X.door_number(F.col("t")).alias("d")).collect()}
     assert got == doors
+
+
+def test_nearest_line_without_a_limit(spark):
+    from terracel.operators import flight
+
+    pts = spark.createDataFrame([(1, 0.0, 1.0), (2, 0.0, 5000.0), (3, math.nan, 0.0), (4, -90000.0, 0.0)], "pid long, x double, y double")
+    lines = spark.createDataFrame([(10, 0.0, 0.0, 10.0, 0.0), (11, 0.0, 6000.0, 10.0, 6000.0)], "lid long, x1 double, y1 double, x2 double, y2 double")
+    out = {r["pid"]: (r["lid"], r["dist"]) for r in flight.nearest_line(pts, lines, None, "pid", "lid").collect()}
+    assert out == {1: (10, 1.0), 2: (11, 1000.0), 4: (10, 90000.0)}
+    assert flight.nearest_line(pts, lines.limit(0), None, "pid", "lid").count() == 0
+
+
+def test_frontage_without_a_limit(spark):
+    from terracel.operators import cadastre
+
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    lots = spark.createDataFrame([(1, ring)], "lot_id long, ring array<struct<x:double,y:double>>")
+    doors = spark.createDataFrame([(1, 700.0, 4.0)], "d long, x double, y double")
+    first = lambda **k: tuple(cadastre.frontage_vertex(lots, doors, "lot_id", "d", **k).first()["ring"][0])
+    assert first() == (10.0, 10.0) and first(reach=3.0) == (0.0, 0.0)
+
+
+def test_open_boundaries_raise(spark):
+    from terracel.operators import graph
+
+    e = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 0.0), (1, 1.0, 0.0, 1.0, 1.0)], "k int, x1 double, y1 double, x2 double, y2 double")
+    with pytest.raises(Exception, match="does not close"):
+        graph.chain_rings(e, "k").collect()
+
+
+def test_side_files_with_commas_and_blanks(spark):
+    lines = [("f", i, v) for i, v in enumerate(["0,5", "", "0.0", "0", " ", "-0,5", "100,25", "200.75"], 1)]
+    df = spark.createDataFrame(lines, "path string, line_no int, value string")
+    r = raster.world_file(df).first()
+    assert (r["a"], r["d"], r["b"], r["e"], r["c"], r["f"]) == (0.5, 0.0, 0.0, -0.5, 100.0, 201.0)
+
+
+def test_weighted_sample_takes_exactly_n(spark):
+    from terracel.operators import evaluation
+
+    rows = spark.range(500).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).cast("double").alias("w"))
+    out = evaluation.weighted_sample(rows, "w", 120, "k", alpha=0.0)
+    assert out.count() == 120 and out.filter("w = 0").count() == 0 and out.columns == rows.columns
+    assert evaluation.weighted_sample(rows, "w", 450, "k", alpha=0.0).count() == 450

@@ -119,3 +119,27 @@ def test_incremental_runs(spark, tmp_path):
     day(20, 22).write.mode("append").parquet(src)
     incremental.register_days(spark, src, "day long, seq long", reg, ck2)
     assert {r["day"]: r["seq"] for r in incremental.latest_registry(spark, reg).collect()} == {0: 20, 1: 21, 2: 17, 3: 18, 4: 19}
+
+
+def test_features_with_holes_and_collections(spark, tmp_path):
+    ring = lambda x, y, s: [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
+    a = {"type": "Feature", "properties": {"n": "a"}, "geometry": {"type": "Polygon", "coordinates": [ring(0, 0, 10), ring(2, 2, 6)]}}
+    b = {"type": "Feature", "properties": {"n": "b"}, "geometry": {"type": "MultiPolygon", "coordinates": [[ring(0, 0, 1)], [ring(20, 0, 4), ring(21, 1, 1), ring(22, 2, 1)]]}}
+    doc = {"type": "FeatureCollection", "features": [a, b]}
+    (tmp_path / "one.geojson").write_text(json.dumps(doc))
+    (tmp_path / "many.geojson").write_text(json.dumps(doc, indent=1))
+    for name, multiline in (("one", False), ("many", True)):
+        f = tables.read_features(spark, str(tmp_path / f"{name}.geojson"), multiline=multiline).withColumn("id", F.col("properties")["n"])
+        assert {r["id"]: r["area"] for r in f.collect()} == {"a": 64.0, "b": 15.0}
+        parts = tables.feature_parts(f, "id").collect()
+        assert sorted((r["id"], r["part"], len(r["holes"]), r["area"]) for r in parts) == [("a", 0, 1, 64.0), ("b", 0, 0, 1.0), ("b", 1, 2, 14.0)]
+    with pytest.raises(Exception, match="neither a Feature"):
+        tables.read_features(spark, str(tmp_path / "many.geojson")).collect()
+
+
+def test_logs_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1\n2\n3\nDATA,PILOT\n05/01/2024,"x, y"\n')
+    (tmp_path / "b.csv").write_text("1\n2\n3\nPLANE, DATA\np1,2024-01-06\n")
+    rows = tables.read_log_table(spark, str(tmp_path), "DATA").collect()
+    got = {(str(r["DATA"]), r["PILOT"], r["PLANE"]) for r in rows}
+    assert got == {("2024-01-05", "x, y", None), ("2024-01-06", None, "p1")}
