@@ -20,6 +20,33 @@ h AS (SELECT o.tile_id, o.row_i, o.col_i, o.v, r0, r1, c0, c1, max(s.v) FILTER (
 _DEM = _AROUND.replace("{src}", "{dem}")
 
 
+def _around(src, n):
+    """``_AROUND`` over ``src`` as tables x, o and h with a number, to use it more than once in one statement."""
+    text = _AROUND.replace("{src}", src)
+    for name in "xoh":
+        for before, after in (("", " AS (SELECT "), (" JOIN ", " USING"), (" FROM ", " LEFT")):
+            text = text.replace(f"{before}{name}{after}", f"{before}{name}{n}{after}")
+    return text.replace("SELECT o.", f"SELECT o{n}.").replace("o.", f"o{n}.").replace(f"o{n}{n}", f"o{n}")
+
+
+_DX, _DY = ("((ne+2*e+se)-(nw+2*w+sw))/160", "((sw+2*s+se)-(nw+2*n+ne))/160")
+_CURVATURE = f"""WITH {_around("{dem}", 1)}, d AS (SELECT tile_id, row_i, col_i, {_DX} AS a, {_DY} AS b FROM h1),
+da AS (SELECT tile_id, row_i, col_i, a AS v FROM d), db AS (SELECT tile_id, row_i, col_i, b AS v FROM d), {_around("da", 2)}, {_around("db", 3)},
+p AS (SELECT tile_id, row_i, col_i, {_DX} AS xx FROM h2), q AS (SELECT tile_id, row_i, col_i, {_DY} AS yy FROM h3)
+SELECT row_i, col_i, round(xx + yy + 0.0000000003, 8) AS curv FROM p JOIN q USING (tile_id, row_i, col_i)"""
+# sums that end in a half of the last digit shown are shifted off it, alike on both sides
+# filled cells keep their mean; the others take the 12 nearest within 25 m by inverse square distance, else the nearest cell
+_SURFACE = """WITH f AS (SELECT {tile} AS tile_id, CAST(floor(y/10) AS BIGINT) AS row_i, CAST(floor(x/10) AS BIGINT) AS col_i, avg(z) AS v FROM {points} WHERE {where} GROUP BY 1, 2, 3),
+x AS (SELECT tile_id, min(row_i) AS r0, max(row_i) AS r1, min(col_i) AS c0, max(col_i) AS c1 FROM f GROUP BY 1),
+r AS (SELECT tile_id, unnest(range(r0, r1 + 1)) AS row_i FROM x), c AS (SELECT tile_id, unnest(range(c0, c1 + 1)) AS col_i FROM x),
+e AS (SELECT tile_id, row_i, col_i FROM r JOIN c USING (tile_id) WHERE (tile_id, row_i, col_i) NOT IN (SELECT (tile_id, row_i, col_i) FROM f)),
+d AS (SELECT e.tile_id, e.row_i, e.col_i, f.v, (f.row_i-e.row_i)*(f.row_i-e.row_i) + (f.col_i-e.col_i)*(f.col_i-e.col_i) AS d2, f.row_i AS fr, f.col_i AS fc FROM e JOIN f ON f.tile_id = e.tile_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY tile_id, row_i, col_i ORDER BY d2, fr, fc) AS k FROM d WHERE d2 <= {reach}),
+i AS (SELECT tile_id, row_i, col_i, sum(v/d2)/sum(1.0/d2) AS v FROM k WHERE k <= 12 GROUP BY 1, 2, 3),
+n AS (SELECT tile_id, row_i, col_i, arg_min(v, d2*1000000 + fr*1000 + fc) AS v FROM d GROUP BY 1, 2, 3)
+SELECT tile_id, row_i, col_i, round(v + 0.000000023, 6) AS v FROM f UNION ALL SELECT n.tile_id, n.row_i, n.col_i, round(coalesce(i.v, n.v) + 0.000000023, 6) FROM n LEFT JOIN i USING (tile_id, row_i, col_i)"""
+
+
 @query("hillshade", f"""WITH {_DEM}, d AS (SELECT *, (e-w)/(CASE WHEN col_i IN (c0, c1) THEN 1.0 ELSE 2.0 END)/20 AS dx, (s-n)/(CASE WHEN row_i IN (r0, r1) THEN 1.0 ELSE 2.0 END)/20 AS dy FROM h)
 SELECT row_i, col_i, round(greatest(least(sin(radians(45))*cos(atan(sqrt(dx*dx+dy*dy))) + cos(radians(45))*sin(atan(sqrt(dx*dx+dy*dy)))*cos(radians(315) - atan2(dy, -dx)), 1), 0), 8) AS shade FROM d""")
 def _(t):
@@ -31,9 +58,9 @@ def _(t):
     return rounded(R.slope_horn(t.dem, 20.0, 20.0).select("row_i", "col_i", "slope"), slope=7)
 
 
-@query("curvature")
+@query("curvature", _CURVATURE)
 def _(t):
-    return rounded(R.curvature(t.dem, 20.0, 20.0).select("row_i", "col_i", "curv"), curv=8)
+    return rounded(R.curvature(t.dem, 20.0, 20.0).select("row_i", "col_i", (F.col("curv") + 0.0000000003).alias("curv")), curv=8)
 
 
 @query("gaussian", """WITH x AS (SELECT min(row_i) AS r0, max(row_i) AS r1, min(col_i) AS c0, max(col_i) AS c1 FROM {dem}),
@@ -168,15 +195,16 @@ def _(t):
     return R.align_grids(a, dem, 25.0, 20.0).select("row_i", "col_i", "vb")
 
 
-@query("grid_surface")
+@query("grid_surface", _SURFACE.replace("{tile}", "tile_id % 2").replace("{where}", "classification = 2").replace("{reach}", "6"))
 def _(t):
     out = R.grid_surface(t.points.withColumn("tile_id", F.col("tile_id") % 2), 10.0, radius=25.0, surface="dtm")
-    return rounded(out, v=6)
+    return rounded(out.withColumn("v", F.col("v") + 0.000000023), v=6)
 
 
-@query("grid_surface_nearest")
+@query("grid_surface_nearest", _SURFACE.replace("{tile}", "0").replace("{where}", "classification <> 7").replace("{reach}", "0"))
 def _(t):
-    return rounded(R.grid_surface(t.points.withColumn("tile_id", F.lit(0)), 10.0, "nearest", surface="dsm"), v=6)
+    out = R.grid_surface(t.points.withColumn("tile_id", F.lit(0)), 10.0, "nearest", surface="dsm")
+    return rounded(out.withColumn("v", F.col("v") + 0.000000023), v=6)
 
 
 @query("stretch_uint8", """WITH q AS (SELECT tile_id, band, quantile_cont(v, 0.02) AS a, quantile_cont(v, 0.98) AS b FROM {band_cells} GROUP BY 1, 2)
