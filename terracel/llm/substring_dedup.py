@@ -68,9 +68,18 @@ def starts_around(places: np.ndarray, half: int, window: int, n_words: int) -> n
     return np.flatnonzero(np.cumsum(mark) > 0)
 
 
-def _extend(window: int):
-    """Second level: 128-bit hashes of the whole windows around repeated halves."""
-    half = window // 2
+def around(half: int, window: int):
+    """Starts of the second level: every window that holds a repeated half."""
+    return lambda places, n_words: starts_around(places, half, window, n_words)
+
+
+def doubled(size: int):
+    """Starts of a level beyond: a window is looked at only if both of its halves were repeated."""
+    return lambda starts, n_words: np.intersect1d(starts, starts - size)
+
+
+def _extend(window: int, starts_of):
+    """One level: 128-bit hashes of the windows of ``window`` words whose starts follow from what the level before found."""
 
     def run(batches):
         memo, powers = WordHashes(), Powers()
@@ -81,12 +90,12 @@ def _extend(window: int):
                 for row, id_, text, places in zip(*columns, strict=True):
                     words = text.encode().split()
                     numbers = memo.of(words)
-                    at = starts_around(np.array(places), half, window, len(words))
+                    at = starts_of(np.array(places), len(words))
                     rows.append(np.full(len(at), row))
                     ids.append(np.full(len(at), id_))
                     starts.append(at.astype(np.int32))
-                    one.append(window_hashes(numbers[:, 0], window, powers)[at])
-                    other.append(window_hashes(numbers[:, 1], window, powers)[at])
+                    one.append(window_hashes(numbers[:, 0], window, powers)[at] if len(at) else np.zeros(0, np.uint64))
+                    other.append(window_hashes(numbers[:, 1], window, powers)[at] if len(at) else np.zeros(0, np.uint64))
                 flat = [np.concatenate(x) for x in (rows, ids, starts, one, other)]
                 for lo in range(0, len(flat[0]), 20_000):
                     some = [x[lo : lo + 20_000] for x in flat]
@@ -129,21 +138,13 @@ def repeated(windows: DataFrame, key: list[str]) -> DataFrame:
     return found.filter("least < most").select(*key, "least")
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """Remove words covered by windows of ``window`` words that also start in a document with a smaller id.
+WINDOWS = "row long, id long, start int, h1 long, h2 long"
 
-    Returns one row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (the
-    kept words joined by spaces; null where nothing was removed).
 
-    Documents with equal word sequences are one: the smallest id stands for them, the others lose all words if
-    they have a whole window.  First level: windows of half the length, of which each text keeps the least
-    hash in every run of window - half + 1; two texts that share a whole window share such an anchor in it, so none is
-    missed.  Anchors of one document alone end there.  Second level: only the whole windows around a
-    repeated anchor are hashed (128 bits) and compared, which settles every removal; longer windows, reached
-    by ``longest_repeats``, cover no other word.
+def first_level(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketch, same, texts): every row, classes of equal word sequences, and texts that share half a window.
 
-    Null and empty texts have no words; a null id is smaller than any other; rows repeated with the
-    smallest id all stay; an empty table gives no rows; other columns are ignored.  Long texts are read whole.
+    ``texts`` has row, id, text and the places of their shared anchors; one row stands for each class.
     """
     half = window // 2
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -156,7 +157,6 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
         sketch.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))),
         "sketch",
     )
-    n_rows = sketch.count()
     same = stage(
         sketch.groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("id", "row")).alias("first")), "same"
     )
@@ -174,8 +174,27 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
         open_.select("row", "id", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
     )
-    texts = stage(texts.select("row", "id", "text", "places"), "open")
-    whole = texts.mapInArrow(_extend(window), "row long, id long, start int, h1 long, h2 long")
+    return sketch, same, stage(texts.select("row", "id", "text", "places"), "open")
+
+
+def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
+    """Remove words covered by windows of ``window`` words that also start in a document with a smaller id.
+
+    Returns one row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (the
+    kept words joined by spaces; null where nothing was removed).
+
+    Documents with equal word sequences are one: the smallest id stands for them, the others lose all words if
+    they have a whole window.  First level: windows of half the length, of which each text keeps the least
+    hash in every run of window - half + 1; two texts that share a whole window share such an anchor in it, so none is
+    missed.  Anchors of one document alone end there.  Second level: only the whole windows around a
+    repeated anchor are hashed (128 bits) and compared, which settles every removal; the levels beyond, which
+    ``longest_repeats`` goes on with, cover no other word.
+
+    Null and empty texts have no words; a null id is smaller than any other; rows repeated with the
+    smallest id all stay; an empty table gives no rows; other columns are ignored.  Long texts are read whole.
+    """
+    sketch, same, texts = first_level(docs, window)
+    whole = texts.mapInArrow(_extend(window, around(window // 2, window)), WINDOWS)
     later = stage(repeated(whole, ["h1", "h2"]), "windows")
     gone = whole.join(later, ["h1", "h2"]).filter("id > least").groupBy("row").agg(F.collect_set("start").alias("starts"))
     cut = texts.select("row", "text").join(gone, "row").mapInArrow(
@@ -185,6 +204,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     # rows repeated with one id and text meet here again
     cut = cut.groupBy("row").agg(*[F.first(c).alias(c) for c in cut.columns if c != "row"])
     same = stage(same.join(cut, same["first"]["row"] == cut["row"], "left").drop("row"), "cut")
+    n_rows = sketch.count()
     out = hot_join(sketch.select("row", "doc_id", "id", "n_words", "digest"), same, ["digest"], "n_docs", n_rows, ["row"])
     copy = (F.col("id") > F.col("first.id")) & (F.col("n_words") >= window)
     result = [
@@ -196,6 +216,30 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     return out.select("doc_id", "n_words", *result)
 
 
+def longest_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """How far repeats reach: doc_id, length, n_starts for each length at which a document shares windows with others.
+
+    Lengths are ``window``, twice that, and so on until no candidate survives.  A window of twice the length
+    is hashed only where both of its halves were repeated.  One document stands for all with the same words.
+    """
+    sketch, _, texts = first_level(docs, window)
+    size, starts_of, levels = window, around(window // 2, window), []
+    while True:
+        found = texts.mapInArrow(_extend(size, starts_of), WINDOWS)
+        shared = stage(repeated(found, ["h1", "h2"]).select("h1", "h2"), "shared")
+        level = stage(found.join(shared, ["h1", "h2"]).groupBy("row").agg(F.collect_set("start").alias("places")), "level")
+        if level.isEmpty():
+            break
+        levels.append(level.select("row", F.lit(size).alias("length"), F.size("places").alias("n_starts")))
+        texts, starts_of, size = texts.select("row", "id", "text").join(level, "row"), doubled(size), size * 2
+    if not levels:
+        return sketch.limit(0).select("doc_id", F.lit(0).alias("length"), F.lit(0).alias("n_starts"))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out.join(sketch.select("row", "doc_id"), "row").select("doc_id", "length", "n_starts")
+
+
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Substring dedup of all documents."""

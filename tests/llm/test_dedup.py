@@ -116,6 +116,25 @@ def test_substring_ties_and_nulls(spark):
     assert substring_dedup.substring_dedup(d.limit(0)).count() == 0
 
 
+def test_longest_repeats(spark):
+    import random
+
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(230)]
+    own = lambda n: [f"o{rng.randrange(10**9)}" for _ in range(n)]
+    texts = [own(30) + shared, shared + own(7), own(5) + shared[:120], own(90), shared[:60] + own(40), shared[:60] + own(40)]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc_id"], r["length"]): r["n_starts"] for r in substring_dedup.longest_repeats(d, 50).collect()}
+    want = {}
+    for size in (50, 100, 200):
+        for i, w in enumerate(texts):
+            windows = [tuple(w[k : k + size]) for k in range(len(w) - size + 1)]
+            others = {tuple(v[k : k + size]) for j, v in enumerate(texts) if j != i for k in range(len(v) - size + 1)}
+            n = sum(x in others for x in windows)
+            want |= {(i, size): n} if n else {}
+    assert got == want and (0, 200) in got
+
+
 def test_components_of_a_chain(spark):
     n = 200
     edges = spark.range(n).select(((F.col("id") * 73) % 211).alias("a"), (((F.col("id") + 1) * 73) % 211).alias("b"))
