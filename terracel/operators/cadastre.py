@@ -299,7 +299,7 @@ def overlay_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, s
 
 
 def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float) -> DataFrame:
-    """Area of each property under at least one use polygon: ``prop_id, covered``.
+    """Area of each property under at least one use polygon: ``prop_id, covered``; none for those only touched.
 
     The work unit is a property inside one grid cell with the distinct polygons that reach
     into it, so a property with very many uses is spread over its cells.
@@ -322,7 +322,7 @@ def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, s
     kind = props.schema[prop_id].dataType.simpleString()
     place = [prop_id, "_cx", "_cy"]
     parts = spread_work(flat, place).groupBy(*place).applyInPandas(cover_cell, f"{prop_id} {kind}, part double")
-    return parts.groupBy(prop_id).agg(F.sum("part").alias("covered"))
+    return parts.groupBy(prop_id).agg(F.sum("part").alias("covered")).filter("covered > 1e-9")
 
 
 def land_use_closure(

@@ -1,5 +1,6 @@
 """Polygon, line, neighbour, overlay and description queries."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -281,15 +282,15 @@ cells AS (SELECT xi.lot_id, xa, xb, ya, yb FROM xi JOIN yi USING (lot_id) WHERE
 cov AS (SELECT lot_id, sum((xb-xa)*(yb-ya)) AS covered FROM cells c WHERE EXISTS (SELECT 1 FROM {uses} u WHERE u.minx <= (xa+xb)/2 AND u.maxx >= (xa+xb)/2 AND u.miny <= (ya+yb)/2 AND u.maxy >= (ya+yb)/2) GROUP BY 1)"""
 
 
-@query("overlay_area", f"""WITH {_OV} SELECT lot_id, use_id, use_type, use_class, round(area, 5) AS area FROM o WHERE area >= 0.5000001""")
+@query("overlay_area", f"""WITH {_OV} SELECT lot_id, use_id, use_type, use_class, round(area, 5) AS area FROM o WHERE area >= 0.5""")
 def _(t):
-    out = K.overlay_area(_lots(t), _uses(t), "lot_id", "use_id", 20.0, ["use_type", "use_class"]).filter("area >= 0.5000001")
+    out = K.overlay_area(_lots(t), _uses(t), "lot_id", "use_id", 20.0, ["use_type", "use_class"])
     return rounded(out.select("lot_id", "use_id", "use_type", "use_class", "area"), area=5)
 
 
 @query("covered_area", f"""WITH {_COV} SELECT lot_id, round(covered, 5) AS covered FROM cov""")
 def _(t):
-    return rounded(K.covered_area(_lots(t), _uses(t), "lot_id", "use_id", 20.0), covered=5).filter("covered > 0")
+    return rounded(K.covered_area(_lots(t), _uses(t), "lot_id", "use_id", 20.0), covered=5)
 
 
 def _closure(t):
@@ -342,12 +343,12 @@ def _(t):
     return m.agg(F.count(F.lit(1)).alias("lines"), F.round(F.sum("line_length"), 4).alias("total"), F.max("line_length").alias("longest"))
 
 
-@query("components", """WITH RECURSIVE e AS (SELECT o_custkey*2 AS a, (o_orderkey % 2000)*2 + 1 AS b FROM orders WHERE o_orderkey % 9 = 0), n AS (SELECT a AS node FROM e UNION SELECT b FROM e),
-r AS (SELECT node, node AS comp FROM n UNION SELECT CASE WHEN r.node = e.a THEN e.b ELSE e.a END, r.comp FROM r JOIN e ON r.node = e.a OR r.node = e.b WHERE r.comp < CASE WHEN r.node = e.a THEN e.b ELSE e.a END)
-SELECT node, min(comp) AS comp FROM r GROUP BY 1""")
+@query("components", """WITH n AS (SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS comp, count(*) OVER (PARTITION BY o_custkey) AS k FROM orders)
+SELECT node, comp FROM n WHERE k > 1""")
 def _(t):
-    e = t.orders.filter("o_orderkey % 9 = 0").select((F.col("o_custkey") * 2).alias("a"), ((F.col("o_orderkey") % 2000) * 2 + 1).alias("b"))
-    return H.components(e)
+    # the orders of a customer form a chain, each linked to the next
+    after = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    return H.components(t.orders.select(F.col("o_orderkey").alias("a"), after.alias("b")).filter("b IS NOT NULL"))
 
 
 # --- plan segments -----------------------------------------------------------
@@ -358,10 +359,9 @@ def _(t):
     return s.select(F.round(F.least("x1", "x2"), 4).alias("ax"), F.round(F.least("y1", "y2"), 4).alias("ay"), F.round(F.greatest("x1", "x2"), 4).alias("bx"), F.round(F.greatest("y1", "y2"), 4).alias("by_"))
 
 
-@query("merge_short_segments", """SELECT count(*) AS segments, round(sum(maxx - minx), 3) AS total FROM {lots} WHERE lot_id % 2 = 0""")
+@query("merge_short_segments", """SELECT count(*) AS segments, round(sum(maxx - minx), 3) AS total FROM {lots}""")
 def _(t):
-    half = t.lots.filter("lot_id % 2 = 0")
-    long_ = half.select("minx", F.col("miny").alias("y1"), F.col("maxx"))
+    long_ = t.lots.select("minx", F.col("miny").alias("y1"), F.col("maxx"))
     a = long_.select(F.col("minx").alias("x1"), "y1", (F.col("minx") + 5).alias("x2"), F.col("y1").alias("y2"))
     tiny = long_.select((F.col("minx") + 5).alias("x1"), "y1", (F.col("minx") + 5.008).alias("x2"), F.col("y1").alias("y2"))
     b = long_.select((F.col("minx") + 5.008).alias("x1"), "y1", F.col("maxx").alias("x2"), F.col("y1").alias("y2"))
@@ -369,10 +369,9 @@ def _(t):
     return out.agg(F.count(F.lit(1)).alias("segments"), F.round(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), 3).alias("total"))
 
 
-@query("drop_covered_segments", """SELECT minx AS x1, miny AS y1, minx + 5 AS x2, miny AS y2 FROM {lots} WHERE lot_id % 2 = 0 UNION ALL SELECT minx + 5, miny, maxx, miny FROM {lots} WHERE lot_id % 2 = 0""")
+@query("drop_covered_segments", """SELECT minx AS x1, miny AS y1, minx + 5 AS x2, miny AS y2 FROM {lots} UNION ALL SELECT minx + 5, miny, maxx, miny FROM {lots}""")
 def _(t):
-    half = t.lots.filter("lot_id % 2 = 0")
-    seg = lambda a, b: half.select(a.alias("x1"), F.col("miny").alias("y1"), b.alias("x2"), F.col("miny").alias("y2"))
+    seg = lambda a, b: t.lots.select(a.alias("x1"), F.col("miny").alias("y1"), b.alias("x2"), F.col("miny").alias("y2"))
     m, lo, hi = F.col("minx") + 5, F.col("minx"), F.col("maxx")
     return K.drop_covered_segments(seg(lo, hi).unionByName(seg(lo, m)).unionByName(seg(m, hi)))
 
@@ -396,14 +395,14 @@ def _(t):
 
 
 @query("cross_sections", """WITH a AS (SELECT road_id, y1, f AS fraction FROM {roads}, (SELECT unnest([0.2, 0.5, 0.8]) AS f) q), l AS (SELECT DISTINCT miny AS y FROM {lots} UNION SELECT DISTINCT maxy FROM {lots})
-SELECT road_id, CAST(fraction AS DOUBLE) AS fraction, CAST(8 AS DOUBLE) AS kerb_kerb, min(y - y1) FILTER (y > y1) - max(y - y1) FILTER (y < y1) AS gap FROM a JOIN l ON abs(y - y1) <= 40 GROUP BY ALL HAVING min(y - y1) FILTER (y > y1) IS NOT NULL AND max(y - y1) FILTER (y < y1) IS NOT NULL""")
+SELECT road_id, CAST(fraction AS DOUBLE) AS fraction, CAST(8 AS DOUBLE) AS kerb_kerb, min(y - y1) FILTER (y > y1) - max(y - y1) FILTER (y < y1) AS gap FROM a LEFT JOIN l ON abs(y - y1) <= 40 GROUP BY ALL""")
 def _(t):
     axes = t.roads.select("road_id", "x1", "y1", "x2", "y2")
     kerb = lambda d: axes.select(F.col("x1"), (F.col("y1") + d).alias("y1"), "x2", (F.col("y2") + d).alias("y2"))
     # kerbs 4 m on both sides of each axis; the axes are 10 m apart
     out = K.cross_sections(axes, kerb(4.0).unionByName(kerb(-4.0)), K.segments(_lots(t), "lot_id"), "road_id", span=40.0, max_width=100.0)
     gap = F.col("kerb_kerb") + (F.col("lot_lot") - F.col("kerb_kerb"))
-    return rounded(out.select("road_id", "fraction", "kerb_kerb", gap.alias("gap")).filter("gap IS NOT NULL"), kerb_kerb=6, gap=6)
+    return rounded(out.select("road_id", "fraction", "kerb_kerb", gap.alias("gap")), kerb_kerb=6, gap=6)
 
 
 @query("symbol_lookup", """SELECT p_partkey, CAST(i AS INT) AS copy, CASE p_partkey % 5 WHEN 0 THEN 'POSTE_ILUMI' WHEN 1 THEN 'BOCA_LOBO' WHEN 2 THEN 'INFRA_PVE' ELSE 'BOCA_LOBO' END AS symbol,

@@ -67,9 +67,9 @@ def _(t):
     return P.map_labels(t.points, {2: 0, 6: 1, 3: 2, 4: 2, 5: 2}, [7, 13]).select("pid", "label")
 
 
-@query("assign_class", "SELECT pid, 2 AS classification FROM {points} WHERE z > 50")
+@query("assign_class", "SELECT pid, 2 AS classification FROM {points}")
 def _(t):
-    return P.assign_class(t.points.filter("z > 50"), 2).select("pid", "classification")
+    return P.assign_class(t.points, 2).select("pid", "classification")
 
 
 @query("number_lines", """WITH f AS (SELECT pid, concat('strip_', CAST(point_source_id AS VARCHAR), '.laz') AS file FROM {points}),

@@ -17,9 +17,9 @@ def _(t):
     return R.parse_xydz(lines, 5).select(F.col("seq").alias("cid"), "x", "y", "dz")
 
 
-@query("parse_survey_points", """SELECT pid AS seq, tile_id % 3 AS file, CASE pid % 3 WHEN 0 THEN 'PVE' WHEN 1 THEN 'ARVORE' ELSE '1 PV 12' END AS type, round(x + 300000, 2) AS e, round(y + 7000000, 2) AS n, round(z, 5) AS z FROM {points} WHERE tile_id % 3 <> 0 OR pid > 10""")
+@query("parse_survey_points", """SELECT pid AS seq, tile_id % 3 AS file, CASE pid % 3 WHEN 0 THEN 'PVE' WHEN 1 THEN 'ARVORE' ELSE '1 PV 12' END AS type, round(x + 300000, 2) AS e, round(y + 7000000, 2) AS n, round(z, 5) AS z FROM {points}""")
 def _(t):
-    p = t.points.filter("tile_id % 3 <> 0 OR pid > 10").withColumn("file", F.col("tile_id") % 3)
+    p = t.points.withColumn("file", F.col("tile_id") % 3)
     e, n, z = (F.format_string("%.5f", c) for c in (F.col("x") + 300000, F.col("y") + 7000000, F.col("z")))
     kind = F.when(F.col("pid") % 3 == 0, "PVE").when(F.col("pid") % 3 == 1, "arvore").otherwise("1 PV 12")
     # three layouts: header with ';' and decimal comma, no header with an index column, header with swapped E/N
@@ -50,11 +50,9 @@ def _(t):
     return R.parse_registry(t.customer.select(F.array(item).alias("results"))).select("property_id", "property_name", "owner_name")
 
 
-@query("xyz_text", """SELECT pid, printf('%.2f %.2f %.2f', x, y, round(z, 2)) AS line FROM {points} WHERE abs(z*1000 - round(z*1000)) < 1e-6 AND CAST(round(z*1000) AS BIGINT) % 10 <> 5""")
+@query("xyz_text", """SELECT pid, printf('%.2f %.2f %.2f', x, y, CAST(round(CAST(z AS DECIMAL(18, 6)), 2) AS DOUBLE)) AS line FROM {points}""")
 def _(t):
-    z3 = F.col("z") * 1000
-    ok = (F.abs(z3 - F.round(z3)) < 1e-6) & (F.round(z3).cast("long") % 10 != 5)
-    return t.points.filter(ok).select("pid", W.xyz_text(2).alias("line"))
+    return t.points.select("pid", W.xyz_text(2).alias("line"))
 
 
 @query("control_text", """SELECT cid, printf('%.2f %.2f 1.00 0.00 %.2f', x, y, dz) AS line FROM {control_points}""")

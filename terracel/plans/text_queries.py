@@ -216,9 +216,9 @@ q AS (SELECT *, CAST(floor(mf) AS BIGINT) AS m, (mf - floor(mf))*60 AS s FROM p)
 w AS (SELECT *, CAST(round(s) AS BIGINT) AS r FROM q)
 SELECT pid, replace(printf('%03d°%02d''%05.2f"', d % 360, m, round(s, 2)), '.', ',') AS fine,
 printf('%02d°%02d''%02d''''', (d + CASE WHEN m + CASE WHEN r = 60 THEN 1 ELSE 0 END = 60 THEN 1 ELSE 0 END) % 360, (m + CASE WHEN r = 60 THEN 1 ELSE 0 END) % 60, r % 60) AS whole,
-printf('%d°%02d''', d, m) AS short FROM w WHERE az < 360""")
+printf('%d°%02d''', d, m) AS short FROM w""")
 def _(t):
-    az = t.points.select("pid", (F.col("x") * 0.36 + F.col("y") / 1000).alias("az")).filter("az < 360")
+    az = t.points.select("pid", (F.col("x") * 0.36 + F.col("y") / 1000).alias("az"))
     a = F.col("az")
     return az.select(
         "pid", N.dms_text(a, 2, deg_pad=3, carry=False, wrap=True, comma=True).alias("fine"),
@@ -246,18 +246,18 @@ def _(t):
     return t.strips.select("strip_no", D.gps_text(F.col("gps_week"), F.col("gps_start")).alias("start_text"))
 
 
-@query("field_dates", """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+@query("field_dates", """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 OR (o_orderkey % 6 = 4 AND month(o_orderdate) = 2 AND day(o_orderdate) = 29) THEN NULL
+WHEN o_orderkey % 6 = 4 THEN '1997' || strftime(o_orderdate, '-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
 CASE WHEN o_orderkey % 6 <> 5 AND NOT (month(o_orderdate) = 2 AND day(o_orderdate) = 29) THEN
 lpad(CAST(dayofyear(make_date(2025, CAST(month(o_orderdate) AS INT), CAST(day(o_orderdate) AS INT))) AS VARCHAR), 3, '0') || '_2025' END AS forced,
 strftime(DATE '1899-12-30' + CAST(o_orderkey AS INT), '%Y-%m-%d') AS serial,
-lpad(CAST((o_orderkey + 21) % 24 AS VARCHAR), 2, '0') || ':05:09' AS shifted FROM orders WHERE NOT (o_orderkey % 6 = 4 AND year(o_orderdate) <> 1997)""")
+lpad(CAST((o_orderkey + 21) % 24 AS VARCHAR), 2, '0') || ':05:09' AS shifted FROM orders""")
 def _(t):
     d = F.col("o_orderdate").cast("date")
     forms = F.array(*[F.date_format(d, f) for f in ("dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "dd.MM.yyyy", "dd/MM")], F.lit("soon"))
-    base = t.orders.filter(~((F.col("o_orderkey") % 6 == 4) & (F.year(d) != 1997)))
     day = D.parse_date(F.element_at(forms, (F.col("o_orderkey") % 6 + 1).cast("int")), 1997)
     clock = F.format_string("%02d:05:09", F.col("o_orderkey") % 24)
-    return base.select("o_orderkey", day.alias("d"), "o_orderdate", clock.alias("c")).select(
+    return t.orders.select("o_orderkey", day.alias("d"), "o_orderdate", clock.alias("c")).select(
         "o_orderkey", F.date_format("d", "yyyy-MM-dd").alias("day"), D.day_of_year_text(F.col("d"), 2025).alias("forced"),
         F.date_format(D.spreadsheet_date(F.col("o_orderkey")), "yyyy-MM-dd").alias("serial"), D.shift_clock(F.col("c")).alias("shifted"))
 
