@@ -3,6 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..core.grid import pairs_within
+from ..core.lineage import cut
 from ..functions import geometry as G
 from ..operators import cadastre as K
 from ..operators import graph as H
@@ -428,6 +430,28 @@ def _(t):
     return H.conflict_groups(t.footprints, edges, "fid")
 
 
+@query("thin_by_distance_valid", """SELECT classification AS cls, count(*) AS points, CAST(0 AS BIGINT) AS too_close, CAST(0 AS BIGINT) AS left_out FROM {points} GROUP BY 1""")
+def _(t):
+    # what thinning promises: accepted points keep their distance, every other point is close to one of them
+    pts = t.points.select("pid", "x", "y", "z", F.col("classification").alias("cls"))
+    taken = cut(H.thin_by_distance(pts, 50.0, "z", "pid", ["cls"]))
+    spots = taken.select("cls", F.col("pid").alias("_pid"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+    near = pairs_within(pts, spots, 50.0, ("x", "y"), ("_x", "_y"), ["pid"], keys=["cls"]).filter("_d < 50")
+    seen = near.groupBy("cls", "pid").agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("pid") == F.col("_pid")).alias("own"))
+    all_ = pts.join(seen, ["cls", "pid"], "left")
+    return all_.groupBy("cls").agg(
+        F.count(F.lit(1)).alias("points"), F.count_if(F.col("own") & (F.col("n") > 1)).alias("too_close"), F.count_if(F.col("n").isNull()).alias("left_out"))
+
+
+@query("conflict_groups_valid", """SELECT count(*) AS nodes, CAST(0 AS BIGINT) AS conflicts FROM {footprints}""")
+def _(t):
+    edges = cut(S.footprint_overlaps(t.footprints, "fid", 10.0))
+    groups = cut(H.conflict_groups(t.footprints, edges, "fid"))
+    side = lambda c: groups.select(F.col("fid").alias(c), F.col("grp").alias(f"_{c}"))
+    inside = edges.join(side("a"), "a").join(side("b"), "b").agg(F.count_if(F.col("_a") == F.col("_b")).alias("conflicts"))
+    return groups.agg(F.count(F.lit(1)).alias("nodes")).crossJoin(F.broadcast(inside))  # one row each
+
+
 @query("convex_hull", """WITH d AS (SELECT DISTINCT point_source_id, x, y FROM {points}), e AS (SELECT point_source_id, max(x + y) AS ne, min(x + y) AS sw, max(x - y) AS se, min(x - y) AS nw, min(x) AS minx, max(y) AS maxy FROM d GROUP BY 1)
 SELECT point_source_id, round(ne, 4) AS ne, round(sw, 4) AS sw, round(se, 4) AS se, round(nw, 4) AS nw, minx, maxy FROM e""")
 def _(t):
