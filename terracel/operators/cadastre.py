@@ -287,6 +287,11 @@ def frontage_vertex(
         "ring", F.when(F.col("_dx").isNull(), r).otherwise(G.rotate_ring(r, start))).drop("_dx", "_dy")
 
 
+def sorted_report(detail: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows of a report: those with a positive ``value``, ordered by ``keys`` (a distributed range sort)."""
+    return detail.filter(F.col(value) > 0).orderBy(*keys)
+
+
 # --- overlays ----------------------------------------------------------------
 
 def overlay_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float, attrs: Sequence[str] = ()) -> DataFrame:

@@ -430,6 +430,13 @@ def _(t):
     return H.conflict_groups(t.footprints, edges, "fid")
 
 
+@query("sorted_report", """SELECT n_name AS holder, c_mktsegment AS use_class, round(sum(c_acctbal), 2) AS amount FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2 HAVING sum(c_acctbal) > 0""")
+def _(t):
+    totals = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+        F.col("n_name").alias("holder"), F.col("c_mktsegment").alias("use_class")).agg(F.sum("c_acctbal").alias("amount"))
+    return rounded(K.sorted_report(totals, ["holder", "use_class"], "amount"), amount=2)
+
+
 @query("thin_by_distance_valid", """SELECT classification AS cls, count(*) AS points, CAST(0 AS BIGINT) AS too_close, CAST(0 AS BIGINT) AS left_out FROM {points} GROUP BY 1""")
 def _(t):
     # what thinning promises: accepted points keep their distance, every other point is close to one of them
