@@ -122,7 +122,43 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
     return m.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)).drop("one")
 
 
-@query("op3_quality_rules")
+def rules_sql(rules=RULES) -> str:
+    """The rule table as one SQL expression: names of broken rules, joined by commas."""
+    cases = []
+    for r in rules:
+        sides = [f"{r.metric} * 100 < {r.of} * {r.low}"] * (r.low is not None) + [f"{r.metric} * 100 > {r.of} * {r.high}"] * (r.high is not None)
+        cases.append(f"CASE WHEN {' OR '.join(sides)} THEN '{r.name}' END")
+    return f"concat_ws(',', {', '.join(cases)})"
+
+
+OP3_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), v AS (
+  SELECT doc_id, unnest(windows) AS win, generate_subscripts(windows, 1) AS i
+  FROM (SELECT doc_id, list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) AS windows FROM w WHERE len(words) >= 5)
+), r AS (
+  SELECT doc_id, i FROM v QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(5) t(k) GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(list_filter(words, lambda x: list_contains({stop}, lower(rtrim(x, '.,:;!?'))))) AS BIGINT) AS n_stop_words,
+         CAST(len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS BIGINT) AS n_letter_words,
+         CAST(len(regexp_extract_all(text, '\p{Lu}')) AS BIGINT) AS n_capitals, 1 AS one
+  FROM w LEFT JOIN c ON c.doc_id = w.doc_id
+), b AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {rules} AS broken FROM m
+)
+SELECT * EXCLUDE (one), NOT base_failed AND broken = '' AS kept FROM b
+""".replace("{stop}", str(sorted(set(STOP_WORDS)))).replace("{rules}", rules_sql())
+
+
+@query("op3_quality_rules", OP3_SQL)
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality rules on all documents."""
     return quality(read_table(spark, folder, "documents")).withColumn("broken", F.array_join("broken", ","))
