@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -114,9 +115,14 @@ def running_sum(
     return running_sums(df, group, slice_col, order, {out: value})
 
 
-def slices_for(n_rows: int, rows_per_slice: int = 50_000) -> int:
-    """Number of slices that keeps a slice near ``rows_per_slice`` rows even if all rows are one group."""
-    return max(1, -(-n_rows // rows_per_slice))
+def slice_rows(n_rows: int) -> int:
+    """Rows of a slice: the square root of all rows, so that neither a slice nor the number of slices grows faster."""
+    return max(1_000, isqrt(n_rows))
+
+
+def slices_for(n_rows: int) -> int:
+    """Number of slices of ``slice_rows`` rows, even if all rows are one group."""
+    return max(1, -(-n_rows // slice_rows(n_rows)))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

@@ -8,15 +8,13 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, read_table, running_sum, slices_for, stage, word_count, words_of
+from .common import hot_join, read_table, running_sum, slice_rows, slices_for, stage, word_count, words_of
 from .registry import query
 
 #: Fractional part of the golden ratio: slot i draws the point frac(i * GOLDEN).
 GOLDEN = Fraction(isqrt(5 * 10**60) - 10**30, 2 * 10**30)
 BLOCK_WORDS = 64
 MAX_REPEATS = 3
-#: Consecutive slots that are ranked together.
-SLOT_RUN = 1 << 16
 
 
 def golden_point(slot: Column, low_bits: int = 20) -> Column:
@@ -91,7 +89,7 @@ def mix_plan(
     spread = spread.withColumn("until", F.when(F.row_number().over(top) == 1, F.lit(2.0)).otherwise(F.col("upto")))
     slots = slots.join(
         spread.select("cell", "name", "nameless", "source_size", "after", "until"), "cell"
-    ).filter("u >= after and u < until").select("id", "name", "nameless", "source_size", F.lit(1).alias("one"), F.floor(F.col("id") / SLOT_RUN).alias("run"))
+    ).filter("u >= after and u < until").select("id", "name", "nameless", "source_size", F.lit(1).alias("one"), F.floor(F.col("id") / slice_rows(n_slots)).alias("run"))
     slots = running_sum(stage(slots, "slots"), ["name", "nameless"], "run", ["id"], "one", "block")
     # the repeated stream ends after max_repeats passes
     slots = slots.filter(F.col("block") * block_words < F.col("source_size") * max_repeats)
