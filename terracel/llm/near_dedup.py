@@ -83,8 +83,11 @@ def _sets(k: int):
             for part in rows_of(batch):
                 found = [shingles(t, k, memo, powers) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                    names=["node", "size", "items"],
+                    [
+                        part.column(0), pa.array([len(s) for s in found], pa.int64()),
+                        pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())), part.column(2),
+                    ],
+                    names=["node", "size", "items", "several"],
                 )
 
     return run
@@ -178,9 +181,14 @@ def near_duplicates(
     pairs = stage(star_pairs(members), "stars")
     wanted = members.select(F.col("node").alias("row")).distinct()
     found = sketch.select("row", "doc_id", "text_hash").join(wanted, "row", "left_semi")
-    found = found.select(F.col("row").alias("node"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    found = found.join(same.select(F.col("first.row").alias("row"), (F.col("n_docs") > 1).alias("several")), "row")
+    found = found.select(F.col("row").alias("node"), "several", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     texts = given.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    sets = stage(texts.select("node", "text").mapInArrow(_sets(k), "node long, size long, items array<long>"), "sets")
+    read = texts.select("node", "text", "several").mapInArrow(_sets(k), "node long, size long, items array<long>, several boolean")
+    read = stage(read, "sets")
+    # a row given twice is read twice under one node; only digests of several rows can hold such rows
+    once = stage(read.filter("several").dropDuplicates(["node"]), "sets_once")
+    sets = read.filter("NOT several").unionByName(once).select("node", "size", "items")
     links = stage(confirmed(pairs, sets, per_cent), "links")
     first = stage(components(links), "first_components")
     at = members.join(first, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))

@@ -84,6 +84,31 @@ def test_near_hard_family(spark):
     assert {r[0]: r[1:] for r in found(out, "doc_id", "n_shingles", "component_id", "kept")} == brute.near(rows, 3, 85)
 
 
+def test_near_repeated_rows_in_an_open_bucket(spark):
+    # the centre is like none of its bucket, so the two that are alike meet in the prefix filter only
+    hashing = near_dedup.MinMax(2, 1)
+
+    def bands(words):
+        s = near_dedup.shingles(" ".join(words), 1, near_dedup.WordHashes(), near_dedup.Powers())
+        return hashing.band_hashes(s).tolist()
+
+    for i in range(200):
+        shared = [f"s{i}x{j}" for j in range(95)]
+        a, b = (shared + [f"{c}{i}x{j}" for j in range(5)] for c in "ab")
+        centre = shared[:40]
+        if bands(a) == bands(b) == bands(centre):
+            break
+    else:
+        raise AssertionError("no words found")
+    rows = [(0, " ".join(centre))] + [(1, " ".join(a))] * 2 + [(2, " ".join(b))]
+    for given in (rows, rows + rows[-1:], [rows[0], *[(None, t) for _, t in rows[1:3]], rows[3]]):
+        d = spark.createDataFrame(given, "doc_id long, text string").coalesce(1)
+        out = found(near_dedup.near_duplicates(d, k=1, per_cent=85, bands=2, rows=1), "doc_id", "component_id", "keeper")
+        least = given[1][0]
+        assert sorted((o[:2] for o in out), key=str) == sorted(((i, 0 if i == 0 else least) for i, _ in given), key=str)
+        assert sum(o[2] for o in out) == 2
+
+
 def test_near_ties_and_nulls(spark):
     d = spark.createDataFrame([(4, "a b c d"), (4, "a b c d"), (None, "A b c d"), (5, None), (6, ""), (7, "x")], "doc_id long, text string")
     out = near_dedup.near_duplicates(d, k=3, per_cent=85)
