@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from .lineage import cut
 from .skew import HOT_ROWS, hot_keys
 
 
@@ -67,3 +68,24 @@ def number_rows(
         .drop("_rn", "_shift", "_slice")
     )
     return ranked.drop("_all") if whole else ranked
+
+
+def range_slices(df: DataFrame, order: Sequence[str], out: str = "_slice") -> DataFrame:
+    """Adds the number of a row's range of ``order`` (nulls first, any type); ranges hold about equally many rows.
+
+    Rows equal in ``order`` may lie in neighbouring ranges.  Ranges come from a sample, so the rows are written once with them.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order, "_tie")
+    return cut(dealt.withColumn(out, F.spark_partition_id()).drop("_tie"))
+
+
+def number_sorted(df: DataFrame, order: Sequence[str], out: str = "rn") -> DataFrame:
+    """1-based position of each row of the whole table by ``order``, nulls first, whatever its distribution."""
+    sliced = range_slices(df, order)
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_c"))  # one row per slice
+    shifts = counts.select("_slice", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"))
+    inside = sliced.withColumn("_rn", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
+    numbered = inside.join(F.broadcast(shifts), "_slice").withColumn(out, (F.col("_rn") + F.col("_shift")).cast("long"))
+    return numbered.drop("_slice", "_rn", "_shift")

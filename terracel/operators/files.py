@@ -193,13 +193,12 @@ def folder_name_overlap(files: DataFrame, root: str) -> DataFrame:
         .distinct()
     )
     # folders sharing one stem: pairs of folders, not of files
-    per_stem = stems.groupBy("project", "stem").agg(F.collect_set("folder").alias("_f")).filter(F.size("_f") > 1)
-    folders = F.array_sort("_f")
-    pairs = F.flatten(F.transform(folders, lambda a: F.transform(
-        F.filter(folders, lambda b: b > a), lambda b: F.struct(a.alias("folder_a"), b.alias("folder_b")))))
+    a, b = (stems.withColumnRenamed("folder", f"folder_{s}").alias(s) for s in "ab")
+    # null project or stem is a group of its own
+    same = F.col("a.project").eqNullSafe(F.col("b.project")) & F.col("a.stem").eqNullSafe(F.col("b.stem"))
     return (
-        per_stem.select("project", F.explode(pairs).alias("_p"))
-        .groupBy("project", "_p.folder_a", "_p.folder_b")
+        a.join(b, same & (F.col("folder_a") < F.col("folder_b")))
+        .groupBy("a.project", "folder_a", "folder_b")
         .agg(F.count(F.lit(1)).alias("shared"))
     )
 

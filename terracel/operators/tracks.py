@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..core.numbering import number_rows
+
 
 def _simplify(x: np.ndarray, y: np.ndarray, tol: float) -> np.ndarray:
     """Positions kept by the farthest-point rule with an explicit stack."""
@@ -29,19 +31,29 @@ def _simplify(x: np.ndarray, y: np.ndarray, tol: float) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def _timed(points: DataFrame, track: str, time: str) -> DataFrame:
+    """``track, _t, x, y`` with time in seconds; rows without a numeric time drop out."""
+    when = dict(points.dtypes)[time]
+    if when.startswith("timestamp"):
+        t = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
+    else:
+        t = F.col(time).try_cast("double")
+    return points.select(track, t.alias("_t"), "x", "y").filter("_t IS NOT NULL")
+
+
+def line_vertices(points: DataFrame, track: str, time: str) -> DataFrame:
+    """Track points in time order as rows ``track, seq, x, y``, seq from 1; no task holds a whole track."""
+    return number_rows(_timed(points, track, time), [track], "_t", ["x", "y"], "seq").select(track, "seq", "x", "y")
+
+
 def points_to_line(points: DataFrame, track: str, time: str, tol: float = 0.0, piece_seconds: float = 600.0) -> DataFrame:
     """Track points in time order as a line, simplified with a tolerance: ``track, line``.
 
     Long tracks are simplified in time pieces first (piece ends stay), so a task holds one piece;
     the joined line then carries corner points only.  Rows without a numeric time drop out.
+    The line is one array: with no tolerance it holds the whole track, for which ``line_vertices`` gives rows.
     """
-    when = dict(points.dtypes)[time]
-    if when.startswith("timestamp"):
-        t = F.unix_micros(F.col(time).cast("timestamp")) / 1e6
-    else:
-        t = F.col(time).try_cast("double")
-    p = points.select(track, t.alias("_t"), "x", "y").filter("_t IS NOT NULL")
-    p = p.withColumn("_piece", F.floor(F.col("_t") / piece_seconds))
+    p = _timed(points, track, time).withColumn("_piece", F.floor(F.col("_t") / piece_seconds))
     kind = points.schema[track].dataType.simpleString()
 
     def piece(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -235,9 +235,11 @@ def _(t):
 
 @query("points_to_line", """SELECT track_id, count(*) AS n, round(arg_min(x, {'t': ts, 'x': x}), 2) AS x0, round(arg_max(x, {'t': ts, 'x': x}), 2) AS x1 FROM {track_points} GROUP BY 1""")
 def _(t):
-    from ..operators.tracks import points_to_line
-    line = points_to_line(t.track_points, "track_id", "ts")
-    return line.select("track_id", F.size("line").cast("long").alias("n"), F.round(F.element_at("line", 1)["x"], 2).alias("x0"), F.round(F.element_at("line", -1)["x"], 2).alias("x1"))
+    from ..operators.tracks import line_vertices
+    ends = line_vertices(t.track_points, "track_id", "ts").groupBy("track_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("x", "seq").alias("x0"), F.max_by("x", "seq").alias("x1")
+    )
+    return ends.select("track_id", "n", F.round("x0", 2).alias("x0"), F.round("x1", 2).alias("x1"))
 
 
 @query("simplified_tracks")

@@ -36,11 +36,10 @@ def write_report(rows: DataFrame, path: str, fields: Sequence[str]) -> None:
 
 def side_by_side(left: DataFrame, right: DataFrame, name: str, labels: Sequence[str]) -> DataFrame:
     """Two name lists of different length as two columns in name order."""
-    from ..core.numbering import number_rows
+    from ..core.numbering import number_sorted
 
     def ranked(df, label):
-        keyed = df.select(F.col(name).alias(label)).withColumn("_o", F.ascii(F.col(label)) * 256 + F.ascii(F.substr(F.col(label), F.lit(2))))
-        return number_rows(keyed, [], "_o", [label], "row").drop("_o")
+        return number_sorted(df.select(F.col(name).alias(label)), [label], "row")
 
     return ranked(left, labels[0]).join(ranked(right, labels[1]), "row", "full")
 

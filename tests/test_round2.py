@@ -148,3 +148,37 @@ def test_weighted_sample_takes_exactly_n(spark):
     out = evaluation.weighted_sample(rows, "w", 120, "k", alpha=0.0)
     assert out.count() == 120 and out.filter("w = 0").count() == 0 and out.columns == rows.columns
     assert evaluation.weighted_sample(rows, "w", 450, "k", alpha=0.0).count() == 450
+
+
+def test_line_vertices_are_rows_in_time_order(spark):
+    from terracel.operators.tracks import line_vertices
+
+    rows = [(k % 2, float(k * 7 % 50), float(k), 0.0) for k in range(50)] + [(0, None, 1.0, 1.0)]
+    out = line_vertices(spark.createDataFrame(rows, "g int, t double, x double, y double"), "g", "t")
+    want = []
+    for g in (0, 1):
+        line = sorted(r[1:] for r in rows if r[0] == g and r[1] is not None)
+        want += [(g, i + 1, x, y) for i, (_, x, y) in enumerate(line)]
+    assert sorted(tuple(r) for r in out.collect()) == want
+
+
+def test_names_that_begin_alike_are_numbered_in_ranges(spark):
+    from terracel.core.numbering import number_sorted, range_slices
+    from terracel.sources.sinks import side_by_side
+
+    names = [f"ES_L{k * 37 % 1000:04d}" for k in range(1000)] + [None, "ES_L0000"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    assert range_slices(df, ["name"]).groupBy("_slice").count().agg({"count": "max"}).first()[0] < 600
+    got = sorted((r["rn"], r["name"]) for r in number_sorted(df, ["name"]).collect())
+    assert got == list(enumerate(sorted(names, key=lambda n: (n is not None, n)), 1))
+    both = side_by_side(df.filter("name < 'ES_L0005'"), df.filter("name > 'ES_L0997'"), "name", ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in both)[:3] == [(1, "ES_L0000", "ES_L0998"), (2, "ES_L0000", "ES_L0999"), (3, "ES_L0001", None)]
+
+
+def test_folder_pairs_come_from_a_join(spark):
+    from terracel.operators.files import folder_name_overlap
+
+    paths = [f"/d/P/{f}/{s}.las" for f, stems in (("a", "xyz"), ("b", "xy"), ("c", "Xw"), ("e", "v")) for s in stems]
+    out = folder_name_overlap(spark.createDataFrame([(p,) for p in paths], "path string"), "/d")
+    assert sorted(tuple(r) for r in out.collect()) == [("P", "/d/P/a", "/d/P/b", 2), ("P", "/d/P/a", "/d/P/c", 1), ("P", "/d/P/b", "/d/P/c", 1)]
+    assert "collect_set" not in out._jdf.queryExecution().toString()
