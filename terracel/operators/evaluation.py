@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core.numbering import number_rows
+from ..core.numbering import number_rows, number_sorted
 from ..core.quantiles import exact_quantiles
 from ..core.skew import salted_join
 from ..functions.color import clip, piecewise
@@ -135,10 +135,11 @@ def weighted_sample(rows: DataFrame, weight: str, n: int, key: str, alpha: float
     w = F.col(weight) + alpha
     top = rows.agg(F.max(w).alias("_top"))  # one row
     eff = F.when(F.col("_top") <= 0, 1.0).otherwise(F.greatest(w, F.lit(0.0)))
-    draw = F.when(F.col("_w") > 0, F.log(_uniform(seed, key)) / F.col("_w")).otherwise(float("-inf"))
-    # numbered over slices of the draw, so a large sample is never gathered in one task
-    drawn = rows.crossJoin(F.broadcast(top)).withColumn("_w", eff).withColumn("_o", 1.0 - F.exp(draw))
-    return number_rows(drawn, [], "_o", [key], "_n").filter(F.col("_n") <= n).drop("_top", "_w", "_o", "_n")
+    # log(u) / w keeps its order at any weight; zero weights go last
+    draw = F.when(F.col("_w") > 0, -F.log(_uniform(seed, key)) / F.col("_w")).otherwise(float("inf"))
+    # numbered over ranges of the draw, so a large sample is never gathered in one task
+    drawn = rows.crossJoin(F.broadcast(top)).withColumn("_w", eff).withColumn("_o", draw)
+    return number_sorted(drawn, ["_o", key], "_n").filter(F.col("_n") <= n).drop("_top", "_w", "_o", "_n")
 
 
 def split_sizes(n: int, train: float, val: float, test: float) -> tuple[int, int, int]:

@@ -182,3 +182,12 @@ def test_folder_pairs_come_from_a_join(spark):
     out = folder_name_overlap(spark.createDataFrame([(p,) for p in paths], "path string"), "/d")
     assert sorted(tuple(r) for r in out.collect()) == [("P", "/d/P/a", "/d/P/b", 2), ("P", "/d/P/a", "/d/P/c", 1), ("P", "/d/P/b", "/d/P/c", 1)]
     assert "collect_set" not in out._jdf.queryExecution().toString()
+
+
+def test_weighted_sample_with_small_weights(spark):
+    from terracel.operators.evaluation import weighted_sample
+
+    # lower keys have the lower weights: none, then a thousandth, then ten times that
+    rows = spark.createDataFrame([(k, 0.0 if k < 300 else 0.001 if k < 600 else 0.01) for k in range(900)], "k int, w double")
+    drawn = [r["k"] for r in weighted_sample(rows, "w", 300, "k", alpha=0.0).collect()]
+    assert len(drawn) == 300 and min(drawn) >= 300 and sum(k >= 600 for k in drawn) > 200
