@@ -232,26 +232,25 @@ def strongest(runs: Column) -> Column:
     return F.aggregate(runs, none, lambda best, r: F.when(better(best, r), r).otherwise(best))
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """``text``, or for ids whose crc32 ends in 0 its words repeated in turn from a place and with a period that the id sets.
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``; for ids whose crc32 ends in 0 the words are repeated in turn from a place and with a period that the id sets.
 
     A null id leaves its text as it is.
     """
-    h = F.crc32(doc_id.cast("string"))
-    words = words_of(text)
-    n = F.size(words).cast("long")
-    g = F.floor(h / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    turned = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(turned, " ")).otherwise(text)
+    h, n, a, p = (F.col(c) for c in ("_h", "_n", "_a", "_p"))
+    # step by step: in one expression the words would be split again for each of them
+    d = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("_h"))
+    d = d.withColumn("_words", F.when(h % 10 == 0, words_of(F.col("text"))))
+    d = d.withColumn("_n", F.nullif(F.size("_words").cast("long"), F.lit(0))).withColumn("_a", F.floor(h / 10) % n)
+    d = d.withColumn("_p", 1 + F.floor((n - a) / (3 + F.floor(h / 10) % 8)))
+    turned = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("_words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    return d.select("doc_id", F.when(n > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
 
 
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of all documents, a tenth of them with planted ones."""
-    docs = read_table(spark, folder, "documents")
-    found = periodic_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    found = periodic_runs(planted(read_table(spark, folder, "documents")))
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
     told = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
     best = found.withColumn("best", strongest(F.col("runs")))
