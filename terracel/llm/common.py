@@ -51,8 +51,10 @@ def lower_ascii(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """Array of words ``[^\\x20\\x09-\\x0D]+`` of ``text``; empty for null."""
-    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[ \\t-\\r]+"))
+    whole = F.coalesce(text, F.lit(""))
+    # white space becomes blanks, mostly line breaks only, as splitting at one character needs no pattern
+    blanks = F.when(F.regexp_like(whole, F.lit("[\\t\\x0b-\\r]")), F.translate(whole, SPACE[1:], " " * 5)).otherwise(F.replace(whole, F.lit("\n"), F.lit(" ")))
+    return F.array_remove(F.split(blanks, " "), "")
 
 
 def word_count(text: Column) -> Column:

@@ -46,27 +46,64 @@ RULES = (
 )
 
 
-def repeated_window_words(words: Column, keys: Column) -> Column:
-    """Words in windows of WINDOW words found at least twice; ``keys`` holds one hash per window, in order.
+def any_of(words) -> str:
+    """Pattern of ``words``, which are letters only: words with a first part in common branch after it."""
+    branches: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        branches.setdefault(w[:1], []).append(w[1:])
+    one = [head + any_of(tails) for head, tails in branches.items() if head]
+    whole = one[0] if len(one) == 1 else f"(?:{'|'.join(one)})"
+    if "" not in branches:
+        return whole
+    return f"(?:{whole})?" if one else ""
+
+
+def window_keys(df: DataFrame, hashes: str, size: int, out: str) -> DataFrame:
+    """``out``: one number per window of ``size`` consecutive ``hashes``, each shifted by its place, all combined bit by bit.
+
+    Windows of two, four, ... are made from those of half their size, and the rest is put together
+    from windows of such sizes.  Texts with fewer words have no window.
+    """
 
-    Texts without a repeated hash stop at a hash set; in the others equal hashes meet by sorting, and
+    def joined(first: str, then: str, by: int):
+        n = F.greatest(F.size(then) - by, F.lit(0))
+        return F.zip_with(F.slice(first, F.lit(1), n), F.slice(then, F.lit(by + 1), n), lambda x, y: x.bitwiseXOR(F.shiftleft(y, by)))
+
+    keys, done, part, span = None, 0, hashes, 1
+    while size:
+        if size & 1:
+            if keys is None:
+                df = df.withColumn(out, F.col(part))
+            else:
+                df = df.withColumn(out, joined(out, part, done))
+            keys, done = out, done + span
+        size >>= 1
+        if size:
+            df = df.withColumn(f"{out}_{2 * span}", joined(part, part, span))
+            part, span = f"{out}_{2 * span}", 2 * span
+    return df
+
+
+def repeated_window_words(df: DataFrame, keys: str, out: str) -> DataFrame:
+    """``out``: words in windows of WINDOW words found at least twice; ``keys`` holds one number per window, in order.
+
+    Texts without a repeated key stop at a hash set; in the others equal keys meet by sorting, and
     each repeated window adds the words that the one before it does not hold.
     """
-    pairs = F.array_sort(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    hashes = F.transform(pairs, lambda p: p["h"])
-    same_as_next = F.zip_with(hashes, F.slice(hashes, F.lit(2), F.greatest(F.size(hashes), F.lit(0))), lambda a, b: F.coalesce(a == b, F.lit(False)))
-    marks = F.zip_with(
-        same_as_next, F.concat(F.array(F.lit(False)), F.slice(same_as_next, F.lit(1), F.size(hashes) - 1)), lambda a, b: a | b
-    )
-    at = F.array_sort(
-        F.filter(F.zip_with(pairs, marks, lambda p, m: F.when(m, p["i"])), lambda i: i.isNotNull())
+    none = F.array().cast("array<int>")
+    pairs = F.sort_array(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    no_pair = F.array().cast("array<struct<h:bigint,i:int>>")
+    df = df.withColumn("_pairs", F.when(F.size(F.array_distinct(keys)) == F.size(keys), no_pair).otherwise(pairs))
+    both = F.zip_with(
+        "_pairs", F.slice("_pairs", F.lit(2), F.size("_pairs")), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(none)
     )
+    df = df.withColumn("_at", F.sort_array(F.array_distinct(F.flatten(both))))
     grown = F.aggregate(
-        at, F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+        "_at", F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
         lambda acc, i: F.struct((acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")),
         lambda acc: acc["n"],
     )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(grown)
+    return df.withColumn(out, grown)
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,23 +111,23 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"), words_of(F.col(text_col)).alias("_words"))
     n = F.size("_words")
-    windows = F.when(
-        n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))
-    ).otherwise(F.array().cast("array<bigint>"))
+    split = split.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    split = repeated_window_words(window_keys(split, "_hashes", WINDOW, "_windows"), "_windows", "_repeats")
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
-    split = split.select("*", windows.alias("_windows"), lines.alias("_lines"))
+    split = split.select("*", lines.alias("_lines"))
     count = lambda pattern: F.regexp_count("_text", F.lit(pattern)).cast("long")
-    # a stop word counts in any case and with marks after it; the list becomes one hash set
-    stop_words = F.filter("_words", lambda w: F.lower(F.rtrim(w, F.lit(MARKS))).isin(*sorted(set(STOP_WORDS))))
-    # words without a letter are few and found in one pass over the text
-    letterless = count(r"(?<![^ \t-\r])[^\p{L} \t-\r]++(?![^ \t-\r])")
+    # whole words by what stands around them: a blank in front of the text spares looking back at every character
+    in_words = lambda pattern: F.regexp_count(F.concat(F.lit(" "), "_text"), F.lit(rf"[ \t-\r]{pattern}(?![^ \t-\r])")).cast("long")
+    # a stop word counts in any case and with marks after it
+    stop_words = in_words(rf"(?i:{any_of(STOP_WORDS)})[{MARKS}]*+")
+    letterless = in_words(r"[^\p{L} \t-\r]++")
     return split.select(
         "doc_id", n.cast("long").alias("n_words"), F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         count(SYMBOLS).alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeated_window_words(F.col("_words"), F.col("_windows")).cast("long").alias("n_repeat_words"),
+        F.col("_repeats").cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
-        F.size(stop_words).cast("long").alias("n_stop_words"),
+        stop_words.alias("n_stop_words"),
         (n - letterless).cast("long").alias("n_letter_words"),
         count(r"\p{Lu}").alias("n_capitals"),
         F.lit(1).cast("long").alias("one"),
