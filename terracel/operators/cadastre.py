@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.grid import box_pairs, cell, cover
@@ -15,7 +13,8 @@ from ..core.numbering import number_rows
 from ..core.skew import salted_join
 from ..functions import geometry as G
 from .graph import chain_rings, thin_by_distance
-from .spatial import BOX, ENDS, axis, polygon_pairs, shared_areas, slab_area, spread_work, with_box
+from .overlay import covered_sums, feature_area, overlay_sums, ring_rows
+from .spatial import BOX, ENDS, with_box
 from .vertical import sample_raster
 
 SLIVER = 0.5
@@ -295,39 +294,15 @@ def sorted_report(detail: DataFrame, keys: Sequence[str], value: str) -> DataFra
 # --- overlays ----------------------------------------------------------------
 
 def overlay_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float, attrs: Sequence[str] = ()) -> DataFrame:
-    """Shared area of each property and use polygon, slivers left out: ``prop_id, use_id, attrs, area``."""
-    pairs = polygon_pairs(props, uses, prop_id, use_id, size)
-    out = shared_areas(pairs, [prop_id, use_id]).filter(F.col("area") >= SLIVER)
-    out = out.select(prop_id, use_id, "area")
+    """Shared area of each property and use, slivers left out: ``prop_id, use_id, attrs, area``.  Parts and holes count (see ``overlay``)."""
+    out = overlay_sums(props, uses, prop_id, use_id, size).filter(F.col("area") >= SLIVER)
     # a plain join: counting hot keys first would compute the areas twice; AQE splits a hot use
-    return out.join(uses.select(use_id, *attrs), use_id) if attrs else out
+    return out.join(uses.select(use_id, *attrs), use_id).select(prop_id, use_id, *attrs, "area") if attrs else out
 
 
 def covered_area(props: DataFrame, uses: DataFrame, prop_id: str, use_id: str, size: float) -> DataFrame:
-    """Area of each property under at least one use polygon: ``prop_id, covered``; none for those only touched.
-
-    The work unit is a property inside one grid cell with the distinct polygons that reach
-    into it, so a property with very many uses is spread over its cells.
-    """
-    pairs = polygon_pairs(props, uses, prop_id, use_id, size)
-    inner = lambda c, f: f(F.col(f"_p.{c}"), F.col(f"_u.{c}"))
-    boxed = pairs.withColumn("_p", G.ring_box(F.col("ring"))).withColumn("_u", G.ring_box(F.col("_ring")))
-    cells = cover(boxed, inner("minx", F.greatest), inner("miny", F.greatest), inner("maxx", F.least), inner("maxy", F.least), size)
-    work = cells.select(prop_id, "_cx", "_cy", "ring", "_ring").dropDuplicates([prop_id, "_cx", "_cy", "_ring"])
-
-    flat = work.select(prop_id, "_cx", "_cy", *[axis(r, a).alias(f"{r}_{a}") for r in ("ring", "_ring") for a in "xy"])
-
-    def cover_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["_cx"].iloc[0]), int(pdf["_cy"].iloc[0])
-        own = np.column_stack([pdf["ring_x"].iloc[0], pdf["ring_y"].iloc[0]])
-        others = [np.column_stack(p) for p in zip(pdf["_ring_x"], pdf["_ring_y"])]
-        area = slab_area((i * size, j * size, (i + 1) * size, (j + 1) * size), own, others)
-        return pd.DataFrame({prop_id: [pdf[prop_id].iloc[0]], "part": [area]})
-
-    kind = props.schema[prop_id].dataType.simpleString()
-    place = [prop_id, "_cx", "_cy"]
-    parts = spread_work(flat, place).groupBy(*place).applyInPandas(cover_cell, f"{prop_id} {kind}, part double")
-    return parts.groupBy(prop_id).agg(F.sum("part").alias("covered")).filter("covered > 1e-9")
+    """Area of each property under at least one use: ``prop_id, covered``; none for those only touched.  Parts and holes count."""
+    return covered_sums(props, uses, prop_id, use_id, size).withColumnRenamed("area", "covered").filter("covered > 1e-9")
 
 
 def land_use_closure(
@@ -339,7 +314,7 @@ def land_use_closure(
     max(0.5 m², 0.01 % of the area) count as zero.
     """
     ha = 10000.0
-    total = props.select(prop_id, G.ring_area(F.col("ring")).alias("total"))
+    total = feature_area(props, prop_id).withColumnRenamed("area", "total")
     by_class = overlay.groupBy(prop_id, *attrs).agg(F.sum("area").alias("area"))
     sums = overlay.groupBy(prop_id).agg(F.sum("area").alias("used"))
     tol = F.greatest(F.lit(AREA_TOLERANCE), F.col("total") * AREA_TOLERANCE_SHARE)
@@ -363,17 +338,55 @@ def land_use_closure(
     return detail, check, overlaps
 
 
-def boundary_edges(features: DataFrame, poly_id: str, key: str, tol: float = 0.01) -> DataFrame:
-    """Edges of a coverage that are not shared inside their ``key`` group, counter-clockwise."""
-    oriented = features.withColumn("ring", G.orient(F.col("ring"), False))
-    e = segments(oriented.select(poly_id, key, "ring"), poly_id).withColumn("_k", edge_key(tol))
-    once = e.groupBy(key, "_k").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*ENDS)).alias("_e")).filter("_n = 1")
-    return once.select(key, "_e.*")
+def node_at_vertices(edges: DataFrame, key: str, tol: float, size: float) -> DataFrame:
+    """Edges of each ``key`` cut at the vertices of that key that lie on them: ``key, x1, y1, x2, y2``, directed as before.
 
+    Coordinates are snapped to a grid of ``tol``; a vertex within ``tol`` of the inside of an edge becomes one of its
+    corners, so borders that are shared in part end up as equal pieces.
+    """
+    from .flight import cells_along
 
-def dissolve(features: DataFrame, poly_id: str, key: str, tol: float = 0.01) -> DataFrame:
+    snap = lambda c: G.vertex_key(F.col(c), tol) * F.lit(tol)
+    e = edges.select(key, *[snap(c).alias(c) for c in ENDS]).filter("x1 <> x2 OR y1 <> y2").withColumn("eid", F.monotonically_increasing_id())
+    e = cut(e)
+    ends = [F.col(c) for c in ENDS]
+    corners = e.select(key, F.col("x1").alias("x"), F.col("y1").alias("y")).distinct()
+    corners = corners.withColumns({"_cx": cell(F.col("x"), size), "_cy": cell(F.col("y"), size)})
+    near = cells_along(e, size).join(corners, [key, "_cx", "_cy"])
+    t = G.project_fraction(F.col("x"), F.col("y"), *ends)
+    on = G.segment_distance(F.col("x"), F.col("y"), *ends) <= tol
+    off_ends = (F.hypot(F.col("x") - ends[0], F.col("y") - ends[1]) > tol) & (F.hypot(F.col("x") - ends[2], F.col("y") - ends[3]) > tol)
+    cuts = near.filter(on & off_ends).select(key, "eid", t.alias("t"), "x", "y")
+    first = e.select(key, "eid", F.lit(0.0).alias("t"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    last = e.select(key, "eid", F.lit(1.0).alias("t"), F.col("x2").alias("x"), F.col("y2").alias("y"))
+    along = Window.partitionBy("eid").orderBy("t", "x", "y")
+    steps = first.unionByName(cuts).unionByName(last).select(
+        key, F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(along).alias("x2"), F.lead("y").over(along).alias("y2"))
+    return steps.filter("x2 IS NOT NULL AND (x1 <> x2 OR y1 <> y2)")
+
+
+def boundary_edges(features: DataFrame, poly_id: str, key: str, tol: float = 0.01, size: float = 10.0) -> DataFrame:
+    """Edges of a coverage that are not shared inside their ``key`` group, with the inside on their left.
+
+    Borders need not match edge by edge: edges are cut at the corners that lie on them, and pieces that two
+    polygons run through in opposite directions cancel.  Polygons of a group must not overlap; they may have
+    ``holes`` or ``parts``.
+    """
+    rings = ring_rows(features.withColumn("_fk", F.struct(poly_id, key)), "_fk")
+    oriented = rings.select(F.col(f"_fk.{key}").alias(key), F.col(f"_fk.{poly_id}").alias(poly_id), "role", "ring")
+    turned = oriented.withColumn("ring", F.when((G.signed_area(F.col("ring")) >= 0) == (F.col("role") > 0), F.col("ring")).otherwise(F.reverse("ring")))
+    e = turned.select(key, F.explode(G.ring_edges(F.col("ring"))).alias("_e")).select(key, "_e.*")
+    pieces = node_at_vertices(e, key, tol, size).withColumn("_k", edge_key(tol))
+    a, b = G.xy(F.col("x1"), F.col("y1")), G.xy(F.col("x2"), F.col("y2"))
+    net = pieces.groupBy(key, "_k").agg(F.sum(F.when(a < b, 1).otherwise(-1)).alias("_n"), F.min(F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))).alias("_e"))
+    p, q = (F.when(F.col("_n") > 0, F.col(f"_e.{x}")).otherwise(F.col(f"_e.{y}")) for x, y in ("ab", "ba"))
+    left = net.filter("_n <> 0").select(key, p.alias("_p"), q.alias("_q"))
+    return left.select(key, F.col("_p.x").alias("x1"), F.col("_p.y").alias("y1"), F.col("_q.x").alias("x2"), F.col("_q.y").alias("y2"))
+
+
+def dissolve(features: DataFrame, poly_id: str, key: str, tol: float = 0.01, size: float = 10.0) -> DataFrame:
     """Union of the polygons of each key in a coverage as ring vertices: ``key, ring_id, seq, x, y``."""
-    return chain_rings(boundary_edges(features, poly_id, key, tol), key, tol)
+    return chain_rings(boundary_edges(features, poly_id, key, tol, size), key, tol)
 
 
 # --- segments of a plan ------------------------------------------------------

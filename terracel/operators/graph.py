@@ -6,12 +6,14 @@ stops when a round changes nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..core.grid import cell
 from ..core.lineage import cut
@@ -20,15 +22,57 @@ from ..core.skew import salted_join
 from ..functions import geometry as G
 
 
+#: Undecided rows that one task settles in order.
+ROWS_AT_ONCE = 50_000
+#: Undecided points of a neighbouring cell that are looked at one by one.
+LOOK_AT = 64
+
+
+def _settle(pts: pd.DataFrame, d: float) -> np.ndarray:
+    """Which points of a block can be accepted now: rows by rank (``x, y, core``), the others wait or are too close to one.
+
+    A point is accepted if every better point within ``d`` is known to be out, and waits if one of them waits; points
+    outside the core wait always.  Of a cell of diagonal below ``d`` at most one is accepted, and behind one that
+    waits all others wait.
+    """
+    side = d / 1.4143
+    ci, cj = np.floor(pts["x"].to_numpy() / side).astype(np.int64).tolist(), np.floor(pts["y"].to_numpy() / side).astype(np.int64).tolist()
+    accepted: dict[tuple[int, int], tuple[float, float]] = {}
+    waiting: dict[tuple[int, int], list[tuple[float, float]]] = {}
+    out = np.zeros(len(pts), bool)
+    near = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)]
+    for n, (x, y, core, i, j) in enumerate(zip(pts["x"].tolist(), pts["y"].tolist(), pts["core"].tolist(), ci, cj, strict=True)):
+        if (i, j) in accepted:
+            continue
+        close = [(i + a, j + b) for a, b in near]
+        if any(c in accepted and math.hypot(x - accepted[c][0], y - accepted[c][1]) < d for c in close):
+            continue
+        wait = not core or (i, j) in waiting
+        for c in close if not wait else ():
+            others = waiting.get(c, ())
+            if len(others) > LOOK_AT or any(math.hypot(x - u, y - v) < d for u, v in others):
+                wait = True
+                break
+        if wait:
+            waiting.setdefault((i, j), []).append((x, y))
+        else:
+            accepted[i, j] = (x, y)
+            out[n] = True
+    return out
+
+
 def thin_by_distance(
-    points: DataFrame, d: float, score: str, point_id: str, keys: Sequence[str] = (), top_n: int | None = None
+    points: DataFrame, d: float, score: str, point_id: str, keys: Sequence[str] = (), top_n: int | None = None,
+    rows_at_once: int = ROWS_AT_ONCE, rounds: list | None = None,
 ) -> DataFrame:
     """Points taken by score descending (then id), none closer than ``d`` to an accepted one.
 
-    Cells have a diagonal below ``d``, so a cell holds at most one accepted point and only the
-    best undecided point per cell competes, with the best of the cells around.  A point
-    meets at most the accepted points of 24 cells: crowding never produces pairs.
-    The outcome equals taking the points one after another.
+    In the first rounds the best undecided point of each cell competes with the best of the cells around: cells
+    have a diagonal below ``d``, so a cell holds at most one accepted point and crowds are gone at once.  Then
+    blocks of cells that hold at most ``rows_at_once`` undecided points, with a border of ``d`` around them, are settled in
+    order, each by one task; what hangs on points beyond a border waits.  As fewer points remain, blocks grow
+    until one holds them all, so a chain of points that depend on each other takes rounds by the logarithm of
+    its length.  The outcome equals taking the points one after another.  ``rounds`` collects the undecided of each round.
     """
     keys = list(keys)
     side = d / 1.4143
@@ -42,17 +86,58 @@ def thin_by_distance(
         return df.withColumn("_di", F.explode(span)).withColumn("_dj", F.explode(span)).withColumn(
             "_i", F.col("_i") + F.col("_di")).withColumn("_j", F.col("_j") + F.col("_dj")).drop("_di", "_dj")
 
-    taken = None
-    while True:
+    id_type = points.schema[point_id].dataType
+    nested = isinstance(id_type, StructType)
+    id_kind = "string" if nested else id_type.simpleString()  # travels as text where it is a struct
+    key_kinds = "".join(f"`{k}` {points.schema[k].dataType.simpleString()}, " for k in keys)
+
+    def by_cells(open_):
         best = cut(open_.groupBy(*place).agg(F.min_by(F.struct("x", "y", point_id), rank).alias("_p"), F.min(rank).alias("_r")))
-        if best.isEmpty():
-            break
         # strongest rival among the best points of the surrounding cells
         rivals = around(best.select(*place, "_r")).groupBy(*place).agg(F.min("_r").alias("_top"))
-        won = cut(
-            best.join(rivals, place).filter(F.col("_r") <= F.col("_top"))
-            .select(*place, F.col("_p.x").alias("_ax"), F.col("_p.y").alias("_ay"), F.col(f"_p.{point_id}").alias("_aid"))
-        )
+        return best.join(rivals, place).filter(F.col("_r") <= F.col("_top")).select(
+            *place, F.col("_p.x").alias("_ax"), F.col("_p.y").alias("_ay"), F.col(f"_p.{point_id}").alias("_aid"))
+
+    def by_blocks(open_, wide):
+        # a border of three cells is at least d wide
+        rows = open_.select(*keys, "_i", "_j", "x", "y", (-F.col(score)).alias("_s"), F.col(point_id).alias("_aid"))
+        block = lambda c, at: F.floor((F.col(c) + at) / F.lit(wide)).cast("long")
+        spread = rows.withColumn("_bi", F.explode(F.sequence(block("_i", -3), block("_i", 3)))).withColumn("_bj", F.explode(F.sequence(block("_j", -3), block("_j", 3))))
+        spread = spread.withColumn("core", (F.col("_bi") == block("_i", 0)) & (F.col("_bj") == block("_j", 0)))
+        ranked = spread.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_bi", "_bj").orderBy("_s", "_aid"))).drop("_s")
+        if nested:
+            ranked = ranked.withColumn("_aid", F.to_json("_aid"))
+
+        def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("_rank").reset_index(drop=True)
+            return pdf[_settle(pdf, d)][[*keys, "_i", "_j", "x", "y", "_aid"]]
+
+        won = ranked.groupBy(*keys, "_bi", "_bj").applyInPandas(settle, f"{key_kinds}_i long, _j long, x double, y double, _aid {id_kind}")
+        won = won.withColumnsRenamed({"x": "_ax", "y": "_ay"})
+        return won.withColumn("_aid", F.from_json("_aid", id_type)) if nested else won
+
+    taken, wide, round_no = None, 8, 0
+    while True:
+        n = open_.count()
+        if rounds is not None:
+            rounds.append(n)
+        if not n:
+            break
+        wide_enough = None
+        if round_no >= 2:
+            while True:  # the widest blocks that a task can settle
+                block = lambda c, w: F.floor(F.col(c) / F.lit(w)).cast("long")
+                busiest = open_.groupBy(*keys, block("_i", wide), block("_j", wide)).count().agg(F.max("count")).first()[0]
+                if busiest > rows_at_once:
+                    wide //= 2
+                    break
+                wide_enough = wide
+                if busiest == n or wide >= 1 << 40:
+                    break
+                wide *= 4 if busiest * 16 <= rows_at_once else 2
+        won = cut(by_cells(open_) if wide_enough is None else by_blocks(open_, wide_enough))
+        wide = max(wide, 8)
+        round_no += 1
         taken = won if taken is None else taken.unionByName(won)
         near = around(won).groupBy(*place).agg(F.collect_list(F.struct("_ax", "_ay")).alias("_acc"))  # at most 25
         close = F.exists("_acc", lambda a: F.hypot(F.col("x") - a["_ax"], F.col("y") - a["_ay"]) < d)
@@ -70,12 +155,43 @@ def thin_by_distance(
     return out
 
 
-def claim_lots(candidates: DataFrame, seq: str, lot: str, dist: str = "dist") -> DataFrame:
+def _serve(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of ``seq`` one after another, each with its nearest free lot."""
+    taken, out = set(), []
+    for seq, group in pdf.sort_values(["seq", "dist", "lot"], kind="stable").groupby("seq", sort=False):
+        for lot, dist in zip(group["lot"], group["dist"], strict=True):
+            if lot not in taken:
+                taken.add(lot)
+                out.append((seq, lot, dist))
+                break
+    return pd.DataFrame(out, columns=["seq", "lot", "dist"])
+
+
+def claim_lots(candidates: DataFrame, seq: str, lot: str, dist: str = "dist", rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
     """Rows in ``seq`` order, each takes its nearest lot that is still free: ``seq, lot, dist``.
 
-    Rounds of proposals: a row asks its nearest lot that has not turned it down, a lot
-    holds the earliest asker.  All lots prefer the earlier row, so the stable outcome is the
-    one of serving the rows one by one.
+    Rows that compete for a lot, directly or through others, form a component; components of at most ``rows_at_once``
+    candidates are served row by row, each by one task.  In larger ones rows propose in rounds.
+    """
+    c = cut(candidates.select(F.col(seq).alias("seq"), F.col(lot).alias("lot"), F.col(dist).cast("double").alias("dist")))
+    node = lambda kind, of: F.concat(F.lit(kind), F.col(of).cast("string"))
+    group = components(c.select(node("s", "seq").alias("a"), node("l", "lot").alias("b")).distinct())
+    placed = cut(c.withColumn("node", node("l", "lot")).join(group, "node").drop("node"))
+    sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
+    sized = placed.join(sizes, "comp")
+    kinds = {x: c.schema[x].dataType.simpleString() for x in ("seq", "lot")}
+    served = sized.filter(F.col("_n") <= rows_at_once).groupBy("comp").applyInPandas(
+        lambda pdf: _serve(pdf[["seq", "lot", "dist"]]), f"seq {kinds['seq']}, lot {kinds['lot']}, dist double")
+    large = cut(sized.filter(F.col("_n") > rows_at_once).select("seq", "lot", "dist"))
+    if not large.isEmpty():
+        served = served.unionByName(_claim_by_rounds(large, "seq", "lot", "dist").select("seq", "lot", "dist"))
+    return served.select(F.col("seq").alias(seq), F.col("lot").alias(lot), F.col("dist").alias(dist))
+
+
+def _claim_by_rounds(candidates: DataFrame, seq: str, lot: str, dist: str) -> DataFrame:
+    """Rounds of proposals: a row asks its nearest lot that has not turned it down, a lot holds the earliest asker.
+
+    All lots prefer the earlier row, so the stable outcome is the one of serving the rows one by one.
     """
     left = cut(candidates.select(seq, lot, dist))
     while True:
@@ -142,6 +258,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     )
     nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
+    mark = None
     while True:
         ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
         both = e.select(F.explode(ways).alias("_w")).select("_w.*")
@@ -155,9 +272,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
             .unionByName(low2.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         )
-        changed = not (nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty())
-        e = nxt
-        if not changed:
+        e, before = nxt, mark
+        mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if mark == before:
             break
     return nodes.join(e.select(F.col("u").alias("node"), F.col("v").alias("comp")), "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
@@ -210,15 +327,82 @@ def chain_rings(edges: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
         key, F.col("low").alias("ring_id"), F.col("steps").alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y"))
 
 
+def _darts(segments: DataFrame, key: str, tol: float) -> DataFrame:
+    """Both directions of every distinct segment: ``key, dart, back, p, q``; a dart is the pair of its vertices on a grid of ``tol``."""
+    v = lambda x, y: F.struct(G.vertex_key(F.col(x), tol).alias("x"), G.vertex_key(F.col(y), tol).alias("y"))
+    e = segments.select(key, v("x1", "y1").alias("_a"), v("x2", "y2").alias("_b"), G.xy(F.col("x1"), F.col("y1")).alias("_p"), G.xy(F.col("x2"), F.col("y2")).alias("_q"))
+    e = e.filter(F.col("_a") != F.col("_b"))
+    way = lambda a, b, p, q: F.struct(F.struct(F.col(a).alias("a"), F.col(b).alias("b")).alias("dart"), F.col(p).alias("p"), F.col(q).alias("q"))
+    both = e.select(key, F.explode(F.array(way("_a", "_b", "_p", "_q"), way("_b", "_a", "_q", "_p"))).alias("_w")).select(key, "_w.*")
+    # copies of a segment are one
+    return both.groupBy(key, "dart").agg(F.min("p").alias("p"), F.min("q").alias("q"))
+
+
+def _reverse(dart: str) -> Column:
+    return F.struct(F.col(f"{dart}.b").alias("a"), F.col(f"{dart}.a").alias("b"))
+
+
+def _double(state: DataFrame, key: str) -> DataFrame:
+    """Pointers ``jump`` of darts doubled until they end: ``last`` (dart at the end), ``steps`` to it and ``low``, the least vertex passed.
+
+    Darts whose ``jump`` is still set are on closed chains, for which ``low`` is the least vertex of the whole.  The
+    number of rounds is the logarithm of the longest chain.
+    """
+    state = cut(state.withColumns({"last": F.col("dart"), "steps": F.when(F.col("jump").isNull(), 0).otherwise(1).cast("long"), "low": F.least("dart.a", "dart.b")}))
+    while True:
+        ahead = state.select(key, F.col("dart").alias("jump"), F.col("jump").alias("_j"), F.col("last").alias("_t"), F.col("steps").alias("_s"), F.col("low").alias("_l"))
+        moving = state.filter("jump IS NOT NULL").join(ahead, [key, "jump"]).select(
+            key, "dart", F.col("_j").alias("jump"), F.col("_t").alias("last"), (F.col("steps") + F.col("_s")).alias("steps"),
+            F.least("low", "_l").alias("low"), (F.col("_j").isNull() | (F.col("_l") < F.col("low"))).alias("_changed"))
+        state = cut(moving.unionByName(state.filter("jump IS NULL").withColumn("_changed", F.lit(False))))
+        if state.filter("_changed").isEmpty():
+            return state.drop("_changed")
+        state = state.drop("_changed")
+
+
+def merge_chains(segments: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
+    """Segments of one key merged where exactly two of them meet: ``key, line_id, seq, x1, y1, x2, y2, closed``.
+
+    One row per segment, in the direction of its line and numbered from 0; vertices where three or more segments
+    meet end lines, as free ends do, so a Y stays three lines.  A line without an end starts at its least
+    vertex.  ``line_id`` is its first segment.  Copies of a segment count once; segments shorter than ``tol`` drop out.
+
+    Every segment stands for both of its directions, each knows the one after it, and pointers are doubled.
+    Of the two ways to go along a line the one with the lesser last segment is kept.
+    """
+    darts = cut(_darts(segments, key, tol))
+    leaving = darts.groupBy(key, F.col("dart.a").alias("_v")).agg(F.count(F.lit(1)).alias("_n"), F.min("dart").alias("_d0"), F.max("dart").alias("_d1")).filter("_n = 2")
+    pair = lambda a, b: F.struct(_reverse(a).alias("dart"), F.col(b).alias("jump"))
+    nxt = leaving.select(key, F.explode(F.array(pair("_d0", "_d1"), pair("_d1", "_d0"))).alias("_w")).select(key, "_w.dart", "_w.jump")
+    linked = cut(darts.select(key, "dart").join(nxt, [key, "dart"], "left"))
+    ranked = _double(linked, key)
+    open_ = ranked.filter("jump IS NULL").select(key, "dart", "last", "steps", F.lit(False).alias("closed"))
+    loops = cut(ranked.filter("jump IS NOT NULL").select(key, "dart", "low"))
+    if not loops.isEmpty():
+        opened = linked.join(loops, [key, "dart"]).select(key, "dart", F.when(F.col("dart.b") != F.col("low"), F.col("jump")).alias("jump"))
+        open_ = cut(open_.unionByName(_double(opened, key).select(key, "dart", "last", "steps", F.lit(True).alias("closed"))))
+    firsts = open_.groupBy(key, "last").agg(F.max_by("dart", "steps").alias("line_id"), F.max("steps").alias("_most"))
+    kept = firsts.filter(F.col("last") < _reverse("line_id"))
+    out = open_.join(kept, [key, "last"]).join(darts, [key, "dart"])
+    return out.select(
+        key, "line_id", (F.col("_most") - F.col("steps")).alias("seq"), F.col("p.x").alias("x1"), F.col("p.y").alias("y1"),
+        F.col("q.x").alias("x2"), F.col("q.y").alias("y2"), "closed",
+    )
+
+
+def chain_vertices(chains: DataFrame, key: str) -> DataFrame:
+    """Vertices of merged lines in order: ``key, line_id, seq, x, y``; the last vertex of a closed line repeats its first."""
+    ends = chains.groupBy(key, "line_id").agg(F.max_by(F.struct(F.col("seq"), F.col("x2").alias("x"), F.col("y2").alias("y")), "seq").alias("_e"))
+    starts = chains.select(key, "line_id", "seq", F.col("x1").alias("x"), F.col("y1").alias("y"))
+    return starts.unionByName(ends.select(key, "line_id", (F.col("_e.seq") + 1).alias("seq"), F.col("_e.x").alias("x"), F.col("_e.y").alias("y")))
+
+
 def merge_lines(segments: DataFrame, key: str, tol: float = 0.01) -> DataFrame:
-    """Touching segments of one key as lines: every segment with its ``line_id`` and ``line_length``."""
-    vertex = lambda x, y: F.concat_ws(":", F.col(key).cast("string"), G.vertex_key(F.col(x), tol), G.vertex_key(F.col(y), tol))
-    e = segments.withColumn("_a", vertex("x1", "y1")).withColumn("_b", vertex("x2", "y2"))
-    comp = components(e.select("_a", "_b"), "_a", "_b")
-    tagged = salted_join(e, comp.select(F.col("node").alias("_a"), F.col("comp").alias("line_id")), ["_a"], ["x1", "y1"]).drop("_a", "_b")
+    """Rows of ``merge_chains`` with the length of their line: ``line_length``."""
+    tagged = cut(merge_chains(segments, key, tol))
     length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    totals = tagged.groupBy("line_id").agg(F.sum(length).alias("line_length"))
-    return salted_join(tagged, totals, ["line_id"], ["x1", "y1"])
+    totals = tagged.groupBy(key, "line_id").agg(F.sum(length).alias("line_length"))
+    return salted_join(tagged, totals, [key, "line_id"], ["x1", "y1"])
 
 
 # --- hulls -------------------------------------------------------------------

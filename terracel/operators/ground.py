@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..core.grid import cell, pairs_within
+from ..core.grid import cell
+from ..core.knn import mean_nearest
 from ..core.lineage import cut
 from ..core.skew import salted_join
 from .raster import complete, focal, neighbours
@@ -36,13 +37,11 @@ def low_noise(points: DataFrame, size: float = 10.0, threshold: float = 1.0, til
     return salted_join(points, flagged, [tile, "pid"], ["pid"], "left").withColumn("noise", F.coalesce("noise", F.lit(False)))
 
 
-def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None = None, dense: int = 64) -> DataFrame:
+def mean_neighbour_distance(points: DataFrame, k: int = 12) -> DataFrame:
     """``x, y, z, copies, mean_d``: mean distance to the ``k`` nearest other points in space.
 
-    Copies of a position are one row with a count (they are neighbours at distance 0).  The
-    search starts at a radius at which the most crowded cell holds about ``dense`` positions and
-    doubles for positions that have too few neighbours, so crowded places are settled
-    while the radius is small.
+    Copies of a position are one row with a count (they are neighbours at distance 0).  The search goes through
+    a tree of cells (``core.knn``), so that neither crowds nor lonely points meet more than they need to.
     """
     every = cut(points.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("copies")))
     # a coordinate that is missing or no number has no distance to anything
@@ -50,39 +49,13 @@ def mean_neighbour_distance(points: DataFrame, k: int = 12, start: float | None
     for c in "xyz":
         placed = placed & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
     spots, odd = every.filter(placed), every.filter(~placed).withColumn("mean_d", F.lit(None).cast("double"))
-    total = spots.agg(F.sum("copies").alias("n"), F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
-    need = min(k, (total["n"] or 1) - 1)
+    total = spots.agg(F.sum("copies")).first()[0] or 0
+    need = min(k, total - 1)
     if need <= 0:
         return spots.withColumn("mean_d", F.lit(0.0)).unionByName(odd)
-    radius = start or max(total[1] or 1.0, total[2] or 1.0) / 4
-    while start is None and radius > 1e-6:
-        busiest = spots.groupBy(cell(F.col("x"), radius), cell(F.col("y"), radius)).count().agg(F.max("count")).first()[0]
-        if busiest <= dense:
-            break
-        radius /= 2
-    settled = spots.filter(F.col("copies") > need).withColumn("mean_d", F.lit(0.0))
-    open_ = cut(spots.filter(F.col("copies") <= need).withColumn("sid", F.struct("x", "y", "z")))
-    right = spots.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("z").alias("_z"), F.col("copies").alias("_c"))
-    reach = 2 * math.hypot(total[1] or 1.0, total[2] or 1.0) + 1e9
-    while not open_.isEmpty():
-        near = pairs_within(open_.select("sid", "x", "y", "z", "copies"), right, radius, ("x", "y"), ("_x", "_y"), ["sid"])
-        d = F.hypot(F.col("_d"), F.col("z") - F.col("_z"))
-        # the position's own copies count without itself
-        own = F.when((F.col("_d") == 0) & (F.col("z") == F.col("_z")), F.col("_c") - 1).otherwise(F.col("_c"))
-        near = near.select("sid", d.alias("_d3"), own.alias("_n")).filter((F.col("_d3") <= radius) & (F.col("_n") > 0))
-        w = Window.partitionBy("sid").orderBy("_d3", "_n")
-        top = near.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= need)
-        upto = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-        take = F.least(F.col("_n"), F.greatest(F.lit(need) - (F.col("_u") - F.col("_n")), F.lit(0)))
-        got = top.withColumn("_u", upto).withColumn("_t", take).groupBy("sid").agg(
-            F.sum("_t").alias("_have"), (F.sum(F.col("_t") * F.col("_d3")) / need).alias("mean_d")).filter(F.col("_have") >= need)
-        done = cut(open_.join(got.select("sid", "mean_d"), "sid"))
-        settled = settled.unionByName(done.select("x", "y", "z", "copies", "mean_d"))
-        open_ = cut(open_.join(done.select("sid"), "sid", "left_anti"))
-        radius *= 2
-        if radius > reach:
-            break
-    return settled.unionByName(odd).unionByName(open_.select("x", "y", "z", "copies", F.lit(None).cast("double").alias("mean_d")))
+    doubles = spots.select(*[F.col(c).cast("double").alias(c) for c in "xyz"], "copies")
+    found = mean_nearest(doubles, need)
+    return found.select(*[F.col(c).cast(points.schema[c].dataType).alias(c) for c in "xyz"], "copies", "mean_d").unionByName(odd)
 
 
 def statistical_outliers(points: DataFrame, k: int = 12, mult: float = 2.5) -> DataFrame:

@@ -8,15 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..core.grid import box_pairs, cell, cover
 from ..core.skew import salted_join
 from ..functions import geometry as G
+from .overlay import overlay_sums, points_in_features
 
 BOX = ("minx", "miny", "maxx", "maxy")
 ENDS = ("x1", "y1", "x2", "y2")
@@ -126,11 +124,16 @@ def crop_points(
     """Points inside each polygon; ``keys`` (lot, block) must agree after normalising.
 
     Filter the result by class for the classed and ground products: all three share this join.
+    Polygons may have ``holes``, or ``parts`` with holes, instead of one ``ring``.
     """
     from ..functions.text import normal_key
 
-    p = polys.select(poly_id, "ring", *[normal_key(F.col(k).cast("string")).alias(f"_p_{k}") for k in keys])
-    out = points_in_polygons(points, p, size, "pid")
+    shape = [c for c in ("ring", "holes", "parts") if c in polys.columns]
+    p = polys.select(poly_id, *shape, *[normal_key(F.col(k).cast("string")).alias(f"_p_{k}") for k in keys])
+    if shape == ["ring"]:
+        out = points_in_polygons(points, p, size, "pid")
+    else:
+        out = points_in_features(points, p, size, "pid", [poly_id, *[f"_p_{k}" for k in keys]])
     for k in keys:
         out = out.filter(normal_key(F.col(k).cast("string")) == F.col(f"_p_{k}"))
     return out.drop(*[f"_p_{k}" for k in keys])
@@ -178,123 +181,12 @@ def lot_candidates(points, lots, point_id, lot_id, buffer, max_dist, size) -> Da
     return near.select(point_id, lot_id, d.alias("dist"))
 
 
-def polygon_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float) -> DataFrame:
-    """Pairs of polygons whose boxes meet: ``left_id, right_id, ring, _ring``."""
-    a = with_box(left).select(left_id, "ring", *BOX)
-    b = with_box(right).select(right_id, F.col("ring").alias("_ring"), *[F.col(c).alias(f"_{c}") for c in BOX])
-    return box_pairs(a, b, BOX, [f"_{c}" for c in BOX], size, [left_id]).select(left_id, right_id, "ring", "_ring")
-
-
-def slab_area(box: tuple, first: np.ndarray, others: list[np.ndarray]) -> float:
-    """Area of ring ``first`` covered by any of ``others`` inside a box, by exact vertical slabs.
+def largest_building(lots: DataFrame, buildings: DataFrame, lot_id: str, building_id: str, size: float) -> DataFrame:
+    """Building with the largest shared area in each lot: ``lot_id, building_id, area``.
 
-    Between two neighbouring x events all borders are straight and do not cross, so the covered
-    length at the middle times the width is exact.  Rings are ``(n, 2)`` arrays.
+    Areas are rounded to 1e-6 before they are compared; of equal ones the lowest id wins.
     """
-    x0, y0, x1, y1 = box
-    rings = [first, *others]
-    e = np.concatenate([np.hstack([r, np.roll(r, -1, 0)]) for r in rings])
-    owner = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
-    flip = e[:, 0] > e[:, 2]
-    e[flip] = e[flip][:, [2, 3, 0, 1]]
-    use = (e[:, 2] > x0) & (e[:, 0] < x1) & (e[:, 2] > e[:, 0])
-    e, owner = e[use], owner[use]
-    if not len(e):
-        return 0.0
-    lo, hi = e[:, 0], e[:, 2]
-    slope = (e[:, 3] - e[:, 1]) / (hi - lo)
-    base = e[:, 1] - slope * lo
-    with np.errstate(divide="ignore", invalid="ignore"):
-        meet = (base[None, :] - base[:, None]) / (slope[:, None] - slope[None, :])
-        meet = meet[(meet > np.maximum(lo[:, None], lo[None, :])) & (meet < np.minimum(hi[:, None], hi[None, :]))]
-        level = np.concatenate([(y0 - base) / slope, (y1 - base) / slope])
-    xs = np.concatenate([[x0, x1], lo, hi, meet, level])
-    xs = np.unique(xs[np.isfinite(xs) & (xs >= x0) & (xs <= x1)])
-    total = 0.0
-    for a, b in zip(xs[:-1], xs[1:]):
-        mid = (a + b) / 2
-        live = (lo <= mid) & (hi >= mid)
-        ys, who = np.clip(slope[live] * mid + base[live], y0, y1), owner[live]
-        inside, count, last = set(), 0, y0
-        for i in np.argsort(ys, kind="stable"):
-            if 0 in inside and len(inside) > 1:
-                total += (b - a) * (ys[i] - last)
-            inside ^= {int(who[i])}
-            last = ys[i]
-    return total
-
-
-def _convex(ring: list) -> int:
-    """1 or -1 for a convex ring by its direction, 0 otherwise."""
-    sign = 0
-    for i in range(len(ring)):
-        (ax, ay), (bx, by), (cx, cy) = ring[i - 2], ring[i - 1], ring[i]
-        turn = (bx - ax) * (cy - by) - (by - ay) * (cx - bx)
-        if turn:
-            if sign and (turn > 0) != (sign > 0):
-                return 0
-            sign = 1 if turn > 0 else -1
-    return sign
-
-
-def clipped_area(ring: list, clip: list, sign: int) -> float:
-    """Area of a ring inside a convex one, cutting by one edge of ``clip`` after another."""
-    out = ring
-    for i in range(len(clip)):
-        (ax, ay), (bx, by) = clip[i - 1], clip[i]
-        ex, ey = (bx - ax) * sign, (by - ay) * sign
-        kept = [(x, y, ex * (y - ay) - ey * (x - ax)) for x, y in out]
-        out = []
-        for j, (x, y, d) in enumerate(kept):
-            px, py, pd_ = kept[j - 1]
-            if (d >= 0) != (pd_ >= 0):
-                t = pd_ / (pd_ - d)
-                out.append((px + t * (x - px), py + t * (y - py)))
-            if d >= 0:
-                out.append((x, y))
-        if len(out) < 3:
-            return 0.0
-    ox, oy = out[0]
-    twice = sum((out[k][0] - ox) * (out[k + 1][1] - oy) - (out[k + 1][0] - ox) * (out[k][1] - oy) for k in range(len(out) - 1))
-    return abs(twice) / 2
-
-
-@F.pandas_udf(T.DoubleType())
-def _pair_area(ax: pd.Series, ay: pd.Series, bx: pd.Series, b_y: pd.Series) -> pd.Series:
-    out = []
-    for x1, y1, x2, y2 in zip(ax, ay, bx, b_y):
-        box = (max(min(x1), min(x2)), max(min(y1), min(y2)), min(max(x1), max(x2)), min(max(y1), max(y2)))
-        if box[0] >= box[2] or box[1] >= box[3]:
-            out.append(0.0)
-            continue
-        a, b = list(zip(x1.tolist(), y1.tolist())), list(zip(x2.tolist(), y2.tolist()))
-        sign = _convex(b)
-        if sign:
-            out.append(clipped_area(a, b, sign))
-            continue
-        sign = _convex(a)
-        out.append(clipped_area(b, a, sign) if sign else slab_area(box, np.column_stack([x1, y1]), [np.column_stack([x2, y2])]))
-    return pd.Series(out, dtype=float)
-
-
-def axis(ring: str, name: str) -> Column:
-    return F.transform(F.col(ring), lambda p: p[name])
-
-
-def spread_work(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Costly rows over all tasks: a fixed partition count keeps small inputs from being merged."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
-def shared_areas(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds ``area``: what ``ring`` and ``_ring`` share (concave rings included)."""
-    area = _pair_area(axis("ring", "x"), axis("ring", "y"), axis("_ring", "x"), axis("_ring", "y"))
-    return spread_work(pairs, keys).withColumn("area", area)
-
-
-def largest_building(lots: DataFrame, buildings: DataFrame, lot_id: str, building_id: str, size: float) -> DataFrame:
-    """Building with the largest shared area in each lot: ``lot_id, building_id, area``."""
-    pairs = shared_areas(polygon_pairs(lots, buildings, lot_id, building_id, size), [lot_id, building_id]).filter("area > 1e-9")
+    pairs = overlay_sums(lots, buildings, lot_id, building_id, size).withColumn("area", F.round("area", 6)).filter("area > 1e-6")
     best = pairs.groupBy(lot_id).agg(F.max(F.struct(F.col("area"), (-F.col(building_id)).alias("_i"), building_id)).alias("_b"))
     return best.select(lot_id, F.col(f"_b.{building_id}").alias(building_id), F.col("_b.area").alias("area"))
 

@@ -7,7 +7,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..core.lineage import cut
 from ..core.numbering import number_rows
+from ..core.skew import checked_join
+
+#: Points of an interval that one task simplifies.
+ROWS_AT_ONCE = 20_000
 
 
 def _simplify(x: np.ndarray, y: np.ndarray, tol: float) -> np.ndarray:
@@ -46,31 +51,62 @@ def line_vertices(points: DataFrame, track: str, time: str) -> DataFrame:
     return number_rows(_timed(points, track, time), [track], "_t", ["x", "y"], "seq").select(track, "seq", "x", "y")
 
 
-def points_to_line(points: DataFrame, track: str, time: str, tol: float = 0.0, piece_seconds: float = 600.0) -> DataFrame:
-    """Track points in time order as a line, simplified with a tolerance: ``track, line``.
+def simplified_vertices(points: DataFrame, track: str, time: str, tol: float, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """Corners of each track after the farthest-point rule over the whole of it, as rows ``track, seq, x, y`` (seq in the full track).
 
-    Long tracks are simplified in time pieces first (piece ends stay), so a task holds one piece;
-    the joined line then carries corner points only.  Rows without a numeric time drop out.
-    The line is one array: with no tolerance it holds the whole track, for which ``line_vertices`` gives rows.
+    The rule splits the interval between two kept points at its farthest point while that is more than ``tol`` off.
+    Intervals of at most ``rows_at_once`` points are finished as groups; only longer ones are split in rounds, in each
+    of which every one finds its farthest point by a partial aggregate.  The result does not depend on
+    ``rows_at_once``, and no task or row holds more than so many points.  Of equally far points the first counts.
     """
-    p = _timed(points, track, time).withColumn("_piece", F.floor(F.col("_t") / piece_seconds))
+    v = line_vertices(points, track, time)
+    ends = v.groupBy(track).agg(*[f(F.struct("seq", "x", "y")).alias(c) for f, c in ((F.min, "_lo"), (F.max, "_hi"))])
+    ends = cut(ends)
+    kept = ends.select(track, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_v")).select(track, "_v.*")
     kind = points.schema[track].dataType.simpleString()
 
-    def piece(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", "x", "y"], kind="stable")
-        k = _simplify(pdf["x"].to_numpy(), pdf["y"].to_numpy(), tol)
-        return pdf.iloc[k][[track, "_t", "x", "y"]]
-
-    corners = p if tol <= 0 else p.groupBy(track, "_piece").applyInPandas(piece, f"{track} {kind}, _t double, x double, y double")
-    lines = corners.groupBy(track).agg(F.array_sort(F.collect_list(F.struct("_t", "x", "y"))).alias("_l"))
-
-    @F.pandas_udf("array<int>")
-    def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([_simplify(np.asarray(a), np.asarray(b), tol) for a, b in zip(xs, ys)])
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        first, last = pdf.iloc[0], pdf.iloc[-1]
+        x = np.concatenate([[first["_lx"]], pdf["x"], [last["_hx"]]])
+        y = np.concatenate([[first["_ly"]], pdf["y"], [last["_hy"]]])
+        return pdf.iloc[_simplify(x, y, tol)[1:-1] - 1][[track, "seq", "x", "y"]]
+
+    spans = ends.select(track, F.col("_lo.seq").alias("_ls"), *[F.col(f"_{n}.{c}").alias(f"_{n[0]}{c}") for n in ("lo", "hi") for c in "xy"], (F.col("_hi.seq") - F.col("_lo.seq") - 1).alias("_n"))
+    open_ = v.join(spans.filter("_n > 0"), track).filter("seq > _ls AND seq <= _ls + _n")
+    columns = [track, "seq", "x", "y", "_ls", "_lx", "_ly", "_hx", "_hy", "_n"]
+    open_ = cut(open_.select(*columns))
+    dx, dy = F.col("_hx") - F.col("_lx"), F.col("_hy") - F.col("_ly")
+    px, py = F.col("x") - F.col("_lx"), F.col("y") - F.col("_ly")
+    share = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * dx + py * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)))), F.lit(0.0))
+    off = F.hypot(px - share * dx, py - share * dy)
+    while True:
+        small = open_.filter(F.col("_n") <= rows_at_once)
+        kept = kept.unionByName(small.groupBy(track, "_ls").applyInPandas(finish, f"{track} {kind}, seq long, x double, y double"))
+        large = open_.filter(F.col("_n") > rows_at_once)
+        far = large.groupBy(track, "_ls").agg(F.max(F.struct(off.alias("d"), (-F.col("seq")).alias("s"), F.col("x").alias("x"), F.col("y").alias("y"))).alias("_f"))
+        far = cut(far.filter(F.col("_f.d") > tol).select(track, "_ls", (-F.col("_f.s")).alias("_s"), F.col("_f.x").alias("_x"), F.col("_f.y").alias("_y")))
+        n = far.count()
+        if not n:
+            return kept
+        kept = kept.unionByName(far.select(track, F.col("_s").alias("seq"), F.col("_x").alias("x"), F.col("_y").alias("y")))
+        split = checked_join(large, far, n, [track, "_ls"], ["seq"]).filter("seq <> _s")
+        before = F.col("seq") < F.col("_s")
+        side = lambda a, b: F.when(before, a).otherwise(b)
+        open_ = cut(split.select(
+            track, "seq", "x", "y", side(F.col("_ls"), F.col("_s")).alias("_ls"),
+            side(F.col("_lx"), F.col("_x")).alias("_lx"), side(F.col("_ly"), F.col("_y")).alias("_ly"),
+            side(F.col("_x"), F.col("_hx")).alias("_hx"), side(F.col("_y"), F.col("_hy")).alias("_hy"),
+            side(F.col("_s") - F.col("_ls") - 1, F.col("_n") - (F.col("_s") - F.col("_ls"))).alias("_n"),
+        ))
+
+
+def points_to_line(points: DataFrame, track: str, time: str, tol: float = 0.0) -> DataFrame:
+    """Track points in time order as a line, simplified with a tolerance: ``track, line``.
 
-    axis = lambda n: F.transform("_l", lambda q: q[n])
-    plain = F.transform("_l", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y")))
-    if tol <= 0:
-        return lines.select(track, plain.alias("line"))
-    out = lines.select(track, plain.alias("_p"), kept(axis("x"), axis("y")).alias("_k"))
-    return out.select(track, F.transform("_k", lambda i: F.get("_p", i)).alias("line"))
+    Rows without a numeric time drop out.  The line is one array of all its corners, of all points with no
+    tolerance; ``line_vertices`` and ``simplified_vertices`` give the same as rows.
+    """
+    corners = line_vertices(points, track, time) if tol <= 0 else simplified_vertices(points, track, time, tol)
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
+    return corners.groupBy(track).agg(F.transform(ordered, lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y"))).alias("line"))

@@ -119,12 +119,12 @@ def _(t):
     return S.crop_points(pts, sheets, 100.0, "sheet_id", ["lote"]).filter("classification = 2").select("pid", "sheet_id")
 
 
-@query("points_in_mask", """SELECT 'covers' AS mode, pid FROM {points} p JOIN {lots} l ON x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy WHERE lot_id % 7 = 0
-UNION SELECT 'within', pid FROM {points} p JOIN {lots} l ON x > minx AND x < maxx AND y > miny AND y < maxy WHERE lot_id % 7 = 0
-UNION SELECT 'grown', pid FROM {points} p JOIN {lots} l ON x BETWEEN minx-2 AND maxx+2 AND y BETWEEN miny-2 AND maxy+2 AND sqrt(greatest(minx-x, x-maxx, 0)**2 + greatest(miny-y, y-maxy, 0)**2) <= 2.000000001 WHERE lot_id % 7 = 0
-UNION SELECT 'shrunk', pid FROM {points} p JOIN {lots} l ON x BETWEEN minx+0.999999999 AND maxx-0.999999999 AND y BETWEEN miny+0.999999999 AND maxy-0.999999999 WHERE lot_id % 7 = 0""")
+@query("points_in_mask", """SELECT 'covers' AS mode, pid FROM {points} p JOIN {plots} l ON x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy
+UNION SELECT 'within', pid FROM {points} p JOIN {plots} l ON x > minx AND x < maxx AND y > miny AND y < maxy
+UNION SELECT 'grown', pid FROM {points} p JOIN {plots} l ON x BETWEEN minx-2 AND maxx+2 AND y BETWEEN miny-2 AND maxy+2 AND sqrt(greatest(minx-x, x-maxx, 0)**2 + greatest(miny-y, y-maxy, 0)**2) <= 2.000000001
+UNION SELECT 'shrunk', pid FROM {points} p JOIN {plots} l ON x BETWEEN minx+0.999999999 AND maxx-0.999999999 AND y BETWEEN miny+0.999999999 AND maxy-0.999999999""")
 def _(t):
-    mask = _lots(t).filter("lot_id % 7 = 0")
+    mask = S.with_ring(t.plots)
     out = None
     for tag, mode, buf in (("covers", "covers", 0.0), ("within", "within", 0.0), ("grown", "covers", 2.0 + 1e-9), ("shrunk", "covers", -1.0 + 1e-9)):
         part = S.points_in_mask(t.points, mask, 10.0, "pid", mode, buf).select(F.lit(tag).alias("mode"), "pid")
@@ -133,18 +133,17 @@ def _(t):
 
 
 @query("clip_lines", """WITH l AS (SELECT CAST(tile_id AS VARCHAR) AS path, pid AS seq, pid % 10 <> 0 AS is_point, x, y FROM {points})
-SELECT path, seq, is_point FROM l WHERE NOT is_point OR EXISTS (SELECT 1 FROM {sheets} s WHERE sheet_id % 2 = 0 AND x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy)""")
+SELECT path, seq, is_point FROM l WHERE NOT is_point OR EXISTS (SELECT 1 FROM {clips} s WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy)""")
 def _(t):
     text = F.when(F.col("pid") % 10 == 0, "# note").otherwise(F.concat_ws(" ", F.col("x").cast("string"), F.col("y").cast("string"), F.col("z").cast("string")))
     lines = t.points.select(F.col("tile_id").cast("string").alias("path"), F.col("pid").alias("seq"), text.alias("value"))
-    return S.clip_lines(lines, S.with_ring(t.sheets).filter("sheet_id % 2 = 0"), 100.0).select("path", "seq", "is_point")
+    return S.clip_lines(lines, S.with_ring(t.clips), 100.0).select("path", "seq", "is_point")
 
 
-@query("clip_counts", """SELECT CAST(tile_id AS VARCHAR) AS path, count(*) AS total, count(*) FILTER (x <= 400 AND y <= 400) AS kept FROM {points} GROUP BY 1""")
+@query("clip_counts", """SELECT CAST(tile_id AS VARCHAR) AS path, count(*) AS total, count(*) FILTER (EXISTS (SELECT 1 FROM {clips} s WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy)) AS kept FROM {points} GROUP BY 1""")
 def _(t):
     lines = t.points.select(F.col("tile_id").cast("string").alias("path"), F.col("pid").alias("seq"), F.concat_ws(";", F.col("x").cast("string"), F.col("y").cast("string")).alias("value"))
-    mask = S.with_ring(t.sheets).filter("maxx <= 400 AND maxy <= 400")
-    return S.clip_counts(lines, S.clip_lines(lines, mask, 100.0))
+    return S.clip_counts(lines, S.clip_lines(lines, S.with_ring(t.clips), 100.0))
 
 
 @query("tiles_for_polygons", """SELECT s.sheet_id, f.fid, CASE WHEN f.fid IS NULL THEN 'no_tiles' ELSE 'ok' END AS status FROM {sheets} s LEFT JOIN {footprints} f
@@ -177,21 +176,24 @@ def _(t):
     return rounded(H.claim_lots(cand, "cid", "lot_id"), dist=6)
 
 
-@query("largest_building", """WITH o AS (SELECT lot_id, use_id, greatest(least(l.maxx, u.maxx)-greatest(l.minx, u.minx), 0)*greatest(least(l.maxy, u.maxy)-greatest(l.miny, u.miny), 0) AS area
+_LARGEST = """WITH o AS (SELECT lot_id, use_id, greatest(least(l.maxx, u.maxx)-greatest(l.minx, u.minx), 0)*greatest(least(l.maxy, u.maxy)-greatest(l.miny, u.miny), 0) AS area
 FROM {lots} l JOIN {uses} u ON l.minx <= u.maxx AND u.minx <= l.maxx AND l.miny <= u.maxy AND u.miny <= l.maxy)
-SELECT lot_id, arg_max(use_id, {'a': round(area, 6), 'i': -use_id}) AS use_id, round(max(area), 5) AS area FROM o WHERE area > 1e-6 GROUP BY 1""")
-def _(t):
-    # areas are rounded on both sides before ties go to the lower id
-    pairs = S.shared_areas(S.polygon_pairs(_lots(t), _uses(t), "lot_id", "use_id", 20.0), ["lot_id", "use_id"])
-    best = pairs.withColumn("area", F.round("area", 6)).filter("area > 1e-6").groupBy("lot_id").agg(F.max(F.struct("area", (-F.col("use_id")).alias("i"))).alias("b"))
-    return rounded(best.select("lot_id", (-F.col("b.i")).alias("use_id"), F.col("b.area").alias("area")), area=5)
+SELECT lot_id, arg_max(use_id, {'a': round(area, 6), 'i': -use_id}) AS use_id, round(max(area), 5) AS area FROM o WHERE area > 1e-6 GROUP BY 1"""
 
 
-@query("largest_building_in_lot")
+@query("largest_building", _LARGEST)
 def _(t):
     return rounded(S.largest_building(_lots(t), _uses(t), "lot_id", "use_id", 20.0), area=5)
 
 
+@query("largest_building_in_lot", _LARGEST)
+def _(t):
+    # with features of parts and holes, here of one part each
+    parts = F.array(F.struct("ring", F.slice(F.array("ring"), 1, 0).alias("holes")))
+    lots, uses = (f.withColumn("parts", parts).drop("ring") for f in (_lots(t), _uses(t)))
+    return rounded(S.largest_building(lots, uses, "lot_id", "use_id", 20.0), area=5)
+
+
 @query("largest_inner_building", """WITH c AS (SELECT lot_id, use_id, round((u.maxx-u.minx)*(u.maxy-u.miny), 6) AS area FROM {lots} l JOIN {uses} u ON (u.minx+u.maxx)/2 BETWEEN l.minx-1e-9 AND l.maxx+1e-9 AND (u.miny+u.maxy)/2 BETWEEN l.miny-1e-9 AND l.maxy+1e-9)
 SELECT lot_id, max(area) AS area FROM c GROUP BY 1""")
 def _(t):
@@ -199,9 +201,9 @@ def _(t):
 
 
 @query("road_name_at", """WITH c AS (SELECT cid, road_name, abs(y - y1) AS d FROM {control_points} JOIN {roads} ON y1 BETWEEN y - 15 AND y + 15)
-SELECT cid, round(min(d), 6) AS dist FROM c GROUP BY 1""")
+SELECT cid, arg_min(road_name, {'d': round(d, 9), 'n': road_name}) AS road_name, round(min(d), 6) AS dist FROM c GROUP BY 1""")
 def _(t):
-    return rounded(S.road_name_at(t.control_points, t.roads, "cid", "road_name").select("cid", "dist"), dist=6)
+    return rounded(S.road_name_at(t.control_points, t.roads, "cid", "road_name").select("cid", "road_name", "dist"), dist=6)
 
 
 @query("local_direction", """SELECT cid, CASE WHEN x < 1000 AND EXISTS (SELECT 1 FROM {roads} WHERE abs(y - y1) <= 3) THEN CAST(0 AS DOUBLE) END AS angle FROM {control_points}""")
@@ -323,6 +325,69 @@ def _(t):
     return rounded(_closure(t)[2].select("lot_id", "overlap_ha"), overlap_ha=8)
 
 
+# features with holes and several parts: lots with a yard in the middle, uses in two places of which one has a hole
+
+def _box(minx, miny, maxx, maxy):
+    return G.box_ring(*[F.col(c) + d for c, d in (("minx", minx), ("miny", miny), ("maxx", maxx), ("maxy", maxy))])
+
+
+def _yards(t):
+    """Clockwise hole in a counter-clockwise lot; every other lot has its hole in the other direction."""
+    hole = _box(2, 5, -3, -10)
+    hole = F.when(F.col("lot_id") % 2 == 0, F.reverse(hole)).otherwise(hole)
+    return t.lots.select("lot_id", "block_id", F.array(F.struct(_box(0, 0, 0, 0).alias("ring"), F.array(hole).alias("holes"))).alias("parts"))
+
+
+def _places(t):
+    first = F.struct(_box(0, 0, 0, 0).alias("ring"), F.array(_box(1, 2, -1, -2)).alias("holes"))
+    second = F.struct(_box(20, 30, 20, 30).alias("ring"), F.slice(F.array(_box(0, 0, 0, 0)), 1, 0).alias("holes"))
+    return t.uses.select("use_id", "use_type", "use_class", F.array(first, second).alias("parts"))
+
+
+# signed rectangles of both sides; their overlaps add up
+_SIGNED = """lr AS (SELECT lot_id, 1 AS s, minx, miny, maxx, maxy FROM {lots} UNION ALL SELECT lot_id, -1, minx+2, miny+5, maxx-3, maxy-10 FROM {lots}),
+ur AS (SELECT use_id, use_type, use_class, 1 AS s, minx, miny, maxx, maxy FROM {uses} UNION ALL SELECT use_id, use_type, use_class, -1, minx+1, miny+2, maxx-1, maxy-2 FROM {uses}
+UNION ALL SELECT use_id, use_type, use_class, 1, minx+20, miny+30, maxx+20, maxy+30 FROM {uses}),
+o AS (SELECT lot_id, use_id, use_type, use_class, sum(l.s*u.s*(least(l.maxx, u.maxx)-greatest(l.minx, u.minx))*(least(l.maxy, u.maxy)-greatest(l.miny, u.miny))) AS area
+FROM lr l JOIN ur u ON l.minx < u.maxx AND u.minx < l.maxx AND l.miny < u.maxy AND u.miny < l.maxy GROUP BY ALL)"""
+# cells between all borders that reach into a lot, each in or out of the lot and of some use
+_SIGNED_COV = """q AS (SELECT l.lot_id, use_id, u.s, u.minx, u.miny, u.maxx, u.maxy FROM {lots} l JOIN ur u ON l.minx < u.maxx AND u.minx < l.maxx AND l.miny < u.maxy AND u.miny < l.maxy),
+xs AS (SELECT DISTINCT lot_id, x FROM (SELECT lot_id, unnest([minx, minx+2, maxx-3, maxx]) AS x FROM {lots} UNION ALL SELECT lot_id, unnest([greatest(l.minx, q.minx), least(l.maxx, q.maxx)]) FROM {lots} l JOIN q USING (lot_id)) z),
+ys AS (SELECT DISTINCT lot_id, y FROM (SELECT lot_id, unnest([miny, miny+5, maxy-10, maxy]) AS y FROM {lots} UNION ALL SELECT lot_id, unnest([greatest(l.miny, q.miny), least(l.maxy, q.maxy)]) FROM {lots} l JOIN q USING (lot_id)) z),
+xi AS (SELECT lot_id, x AS xa, lead(x) OVER (PARTITION BY lot_id ORDER BY x) AS xb FROM xs), yi AS (SELECT lot_id, y AS ya, lead(y) OVER (PARTITION BY lot_id ORDER BY y) AS yb FROM ys),
+cells AS (SELECT xi.lot_id, xa, xb, ya, yb, (xa+xb)/2 AS x, (ya+yb)/2 AS y FROM xi JOIN yi USING (lot_id) WHERE xb IS NOT NULL AND yb IS NOT NULL),
+inl AS (SELECT c.* FROM cells c JOIN {lots} l USING (lot_id) WHERE NOT (x BETWEEN minx+2 AND maxx-3 AND y BETWEEN miny+5 AND maxy-10)),
+hit AS (SELECT lot_id, xa, xb, ya, yb, use_id FROM inl c JOIN q USING (lot_id) WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy GROUP BY ALL HAVING sum(s) > 0),
+cov AS (SELECT lot_id, sum((xb-xa)*(yb-ya)) AS covered FROM (SELECT DISTINCT lot_id, xa, xb, ya, yb FROM hit) z GROUP BY 1)"""
+
+
+@query("overlay_area_parts", f"""WITH {_SIGNED} SELECT lot_id, use_id, use_type, round(area, 5) AS area FROM o WHERE area >= 0.5""")
+def _(t):
+    out = K.overlay_area(_yards(t), _places(t), "lot_id", "use_id", 20.0, ["use_type"])
+    return rounded(out, area=5)
+
+
+@query("covered_area_parts", f"""WITH {_SIGNED}, {_SIGNED_COV} SELECT lot_id, round(covered, 5) AS covered FROM cov""")
+def _(t):
+    return rounded(K.covered_area(_yards(t), _places(t), "lot_id", "use_id", 20.0), covered=5)
+
+
+@query("land_use_check_parts", f"""WITH {_SIGNED}, {_SIGNED_COV}, us AS (SELECT lot_id, sum(area) AS used FROM o WHERE area >= 0.5 GROUP BY 1),
+c AS (SELECT lot_id, 200.0 AS total, coalesce(used, 0) AS used, CASE WHEN used > 0 THEN coalesce(covered, 0) ELSE 0 END AS covered FROM {{lots}} LEFT JOIN us USING (lot_id) LEFT JOIN cov USING (lot_id))
+SELECT lot_id, round(total/10000, 8) AS total_ha, round(used/10000, 8) AS used_ha, round(CASE WHEN abs(total - covered) <= 0.5 THEN 0 ELSE total - covered END/10000, 8) AS gap_ha,
+round(greatest(used - covered, 0)/10000, 8) AS overlap_ha FROM c""")
+def _(t):
+    lots, uses = _yards(t), _places(t)
+    ov = K.overlay_area(lots, uses, "lot_id", "use_id", 20.0, ["use_type", "use_class"])
+    check = K.land_use_closure(lots, ov, K.covered_area(lots, uses, "lot_id", "use_id", 20.0), "lot_id", ["use_type", "use_class"])[1]
+    return rounded(check.select("lot_id", "total_ha", "used_ha", "gap_ha", "overlap_ha"), total_ha=8, used_ha=8, gap_ha=8, overlap_ha=8)
+
+
+@query("crop_points_parts", """SELECT pid, lot_id FROM {points} JOIN {lots} ON x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy AND NOT (x > minx+2 AND x < maxx-3 AND y > miny+5 AND y < maxy-10)""")
+def _(t):
+    return S.crop_points(t.points, _yards(t), 20.0, "lot_id").select("pid", "lot_id")
+
+
 @query("dissolve", f"""WITH {_KEYED}, g AS (SELECT block_id, ax, ay, bx, b_y FROM k GROUP BY ALL HAVING count(*) = 1),
 a AS (SELECT block_id, round(sum((maxx-minx)*(maxy-miny)), 4) AS area FROM {{lots}} GROUP BY 1)
 SELECT block_id, area, count(*) AS vertices, round(sum(bx - ax + b_y - ay), 4) AS perimeter FROM g JOIN a USING (block_id) GROUP BY ALL""")
@@ -338,6 +403,38 @@ def _(t):
     return rounded(out, area=4, perimeter=4)
 
 
+@query("dissolve_uneven", f"""WITH {_KEYED}, g AS (SELECT block_id, ax, ay, bx, b_y FROM k GROUP BY ALL HAVING count(*) = 1)
+SELECT block_id, area, perimeter FROM (SELECT block_id, round(sum(bx - ax + b_y - ay), 4) AS perimeter FROM g GROUP BY 1) p
+JOIN (SELECT block_id, round(sum((maxx-minx)*(maxy-miny)), 4) AS area FROM {{lots}} GROUP BY 1) a USING (block_id)""")
+def _(t):
+    """Lots cut in three whose borders meet in the middle of each other's edges; their union is that of the lots."""
+    third = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _box(*d).alias("ring")) for i, d in enumerate(((0, 0, -6, 0), (4, 0, 0, -15), (4, 10, 0, 0)))]))
+    cut_lots = t.lots.select("lot_id", "block_id", third.alias("p")).select(F.struct("lot_id", "p.i").alias("part_id"), "block_id", "p.ring")
+    v = K.dissolve(cut_lots, "part_id", "block_id")
+    w = Window.partitionBy("block_id", "ring_id").orderBy("seq")
+    e = v.withColumns({"nx": F.coalesce(F.lead("x").over(w), F.first("x").over(w)), "ny": F.coalesce(F.lead("y").over(w), F.first("y").over(w))})
+    out = e.groupBy("block_id").agg(F.sum((F.col("x") * F.col("ny") - F.col("nx") * F.col("y")) / 2).alias("area"), F.sum(F.hypot(F.col("nx") - F.col("x"), F.col("ny") - F.col("y"))).alias("perimeter"))
+    return rounded(out, area=4, perimeter=4)
+
+
+# borders of lots as a net: lines run from one corner where three or more borders meet to the next
+_NET = _KEYED + """, u AS (SELECT DISTINCT ax, ay, bx, b_y FROM k), d AS (SELECT ax AS x1, ay AS y1, bx AS x2, b_y AS y2 FROM u UNION ALL SELECT bx, b_y, ax, ay FROM u),
+n AS (SELECT x1 AS x, y1 AS y, count(*) AS n FROM d GROUP BY 1, 2),
+r AS (SELECT x1 AS fx, y1 AS fy, x2 AS gx, y2 AS gy, 0 AS seq, x1, y1, x2, y2 FROM d JOIN n ON n.x = x1 AND n.y = y1 WHERE n.n <> 2
+  UNION ALL SELECT r.fx, r.fy, r.gx, r.gy, r.seq + 1, d.x1, d.y1, d.x2, d.y2 FROM r JOIN n ON n.x = r.x2 AND n.y = r.y2 AND n.n = 2
+  JOIN d ON d.x1 = r.x2 AND d.y1 = r.y2 AND NOT (d.x2 = r.x1 AND d.y2 = r.y1)),
+l AS (SELECT *, max(seq) OVER (PARTITION BY fx, fy, gx, gy) AS most FROM r),
+keep AS (SELECT * FROM (SELECT fx, fy, gx, gy, x1 AS tx1, y1 AS ty1, x2 AS tx2, y2 AS ty2 FROM l WHERE seq = most) z WHERE (tx1, ty1, tx2, ty2) < (gx, gy, fx, fy))"""
+
+
+@query("merge_chains", f"WITH RECURSIVE {_NET} SELECT fx, fy, gx, gy, CAST(seq AS BIGINT) AS seq, x1, y1, x2, y2 FROM l JOIN keep USING (fx, fy, gx, gy)")
+def _(t):
+    segs = _segs(t).select(F.lit(0).alias("net"), "x1", "y1", "x2", "y2")
+    first = lambda a, b: F.col(f"line_id.{a}.{b}") * 0.01
+    out = H.merge_chains(segs, "net").filter("NOT closed")
+    return out.select(first("a", "x").alias("fx"), first("a", "y").alias("fy"), first("b", "x").alias("gx"), first("b", "y").alias("gy"), "seq", "x1", "y1", "x2", "y2")
+
+
 @query("merge_lines", """SELECT count(*) AS lines, round(sum(2*(maxx-minx) + 2*(maxy-miny)), 4) AS total, max(2*(maxx-minx) + 2*(maxy-miny)) AS longest FROM {lots}""")
 def _(t):
     segs = _segs(t).select(F.col("lot_id").alias("name"), "x1", "y1", "x2", "y2")

@@ -244,6 +244,6 @@ def _(t):
 
 @query("simplified_tracks")
 def _(t):
-    from ..operators.tracks import points_to_line
-    line = points_to_line(t.track_points, "track_id", "ts", 50.0, 86400.0)
-    return line.select("track_id", F.size("line").alias("n"))
+    from ..operators.tracks import simplified_vertices
+    kept = simplified_vertices(t.track_points, "track_id", "ts", 50.0)
+    return kept.groupBy("track_id").agg(F.count(F.lit(1)).alias("n"))

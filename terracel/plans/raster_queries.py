@@ -83,7 +83,7 @@ def _(t):
 
 @query("spot_points")
 def _(t):
-    out = R.spot_points(t.dem, 20.0, win=3, sigma=0.5, min_dist=100.0, top_n=50, mask=S.with_ring(t.sheets).filter("sheet_id % 2 = 0"))
+    out = R.spot_points(t.dem, 20.0, win=3, sigma=0.5, min_dist=100.0, top_n=50, mask=S.with_ring(t.clips))
     return rounded(out.select("kind", "x", "y", "score"), score=6)
 
 
@@ -96,7 +96,7 @@ def _(t):
 @query("long_isolines")
 def _(t):
     segs = R.isolines(t.dem, 50.0, 20.0)
-    out = R.long_isolines(segs, 100.0, S.with_ring(t.sheets).filter("sheet_id % 2 = 0"), 100.0)
+    out = R.long_isolines(segs, 100.0, S.with_ring(t.clips), 100.0)
     return out.groupBy("level").agg(F.count(F.lit(1)).alias("segments"), F.round(F.max("line_length"), 4).alias("longest"))
 
 
@@ -106,31 +106,28 @@ def _(t):
     return rounded(R.sample_along(t.roads.withColumn("line", line)).select("road_id", "pos", "x", "y"), x=6)
 
 
-_SHEET0 = "sheet_id IN (6, 7)"
-
-
-@query("clip_raster", """WITH i AS (SELECT c.tile_id, c.band, c.row_i, c.col_i, CASE WHEN EXISTS (SELECT 1 FROM {sheets} s WHERE sheet_id IN (6, 7) AND (col_i+0.5)*25 BETWEEN minx AND maxx AND (row_i+0.5)*25 BETWEEN miny AND maxy) THEN v ELSE -1 END AS v,
-EXISTS (SELECT 1 FROM {sheets} s WHERE sheet_id IN (6, 7) AND (col_i+0.5)*25 BETWEEN minx AND maxx AND (row_i+0.5)*25 BETWEEN miny AND maxy) AS ins FROM {band_cells} c),
+@query("clip_raster", """WITH i AS (SELECT c.tile_id, c.band, c.row_i, c.col_i, CASE WHEN EXISTS (SELECT 1 FROM {clips} s WHERE (col_i+0.5)*25 BETWEEN minx AND maxx AND (row_i+0.5)*25 BETWEEN miny AND maxy) THEN v ELSE -1 END AS v,
+EXISTS (SELECT 1 FROM {clips} s WHERE (col_i+0.5)*25 BETWEEN minx AND maxx AND (row_i+0.5)*25 BETWEEN miny AND maxy) AS ins FROM {band_cells} c),
 b AS (SELECT min(row_i) AS r0, max(row_i) AS r1, min(col_i) AS c0, max(col_i) AS c1 FROM i WHERE ins)
 SELECT tile_id, band, row_i, col_i, v, bool_and(v <> -1) OVER (PARTITION BY tile_id, row_i, col_i) AS mask FROM i, b WHERE band <= 3 AND row_i BETWEEN r0 AND r1 AND col_i BETWEEN c0 AND c1""")
 def _(t):
-    return R.clip_raster(t.band_cells, S.with_ring(t.sheets).filter(_SHEET0), 25.0, -1.0, max_bands=3).select("tile_id", "band", "row_i", "col_i", "v", "mask")
+    return R.clip_raster(t.band_cells, S.with_ring(t.clips), 25.0, -1.0, max_bands=3).select("tile_id", "band", "row_i", "col_i", "v", "mask")
 
 
 @query("already_clipped", """SELECT tile_id, tile_id % 2 = 0 AS clipped FROM {band_cells} GROUP BY 1""")
 def _(t):
-    poly = S.with_ring(t.sheets).filter(_SHEET0)
-    x, y = (F.col("col_i") + 0.5) * 25, (F.col("row_i") + 0.5) * 25
-    outside = ~(x.between(200, 600) & y.between(200, 400))
+    poly = S.with_ring(t.clips)
+    x, y = (F.col("col_i") + 0.5) * 25 % 200, (F.col("row_i") + 0.5) * 25 % 200
+    outside = ~(x.between(30, 150) & y.between(20, 160))
     cells = t.band_cells.withColumn("v", F.when(outside & (F.col("tile_id") % 2 == 0), -1.0).otherwise(F.col("v")))
     return R.already_clipped(cells, poly, 25.0, -1.0)
 
 
-@query("tile_relation", """WITH c AS (SELECT CAST(row_i//10 AS BIGINT) AS tile_id, row_i, col_i, v FROM {dem}), i AS (SELECT *, EXISTS (SELECT 1 FROM {sheets} s WHERE miny < 500 AND (col_i+0.5)*20 BETWEEN minx AND maxx AND (row_i+0.5)*20 BETWEEN miny AND maxy) AS ins FROM c)
+@query("tile_relation", """WITH c AS (SELECT CAST(row_i//2 AS BIGINT) AS tile_id, row_i, col_i, v FROM {dem}), i AS (SELECT *, EXISTS (SELECT 1 FROM {belts} s WHERE (col_i+0.5)*20 BETWEEN minx AND maxx AND (row_i+0.5)*20 BETWEEN miny AND maxy) AS ins FROM c)
 SELECT tile_id, CASE WHEN NOT bool_or(ins) THEN 'outside' WHEN bool_and(ins) THEN 'inside' ELSE 'partial' END AS relation FROM i GROUP BY 1""")
 def _(t):
-    cells = t.dem.withColumn("tile_id", F.floor(F.col("row_i") / 10))
-    return R.tile_relation(cells, S.with_ring(t.sheets).filter("miny < 500"), 20.0, -9999.0)
+    cells = t.dem.withColumn("tile_id", F.floor(F.col("row_i") / 2))
+    return R.tile_relation(cells, S.with_ring(t.belts), 20.0, -9999.0)
 
 
 @query("mosaic", """SELECT row_i, col_i, arg_min(v, tile_id) AS v, min(tile_id) AS tile_id FROM {band_cells} WHERE band = 1 AND v <> 0 GROUP BY 1, 2""")

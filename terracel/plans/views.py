@@ -66,6 +66,13 @@ SELECT n_nationkey AS sheet_id, n_name AS code, n_regionkey AS lote,
        FLOOR(n_nationkey/CAST(5 AS DOUBLE))*CAST(200 AS DOUBLE) AS miny,
        FLOOR(n_nationkey/CAST(5 AS DOUBLE))*CAST(200 AS DOUBLE) + 200 AS maxy
 FROM {nation}""",
+    # parts of every sheet and of every lot that leave gaps between them, and belts over the whole width
+    "clips": """
+SELECT sheet_id, minx + 30 AS minx, maxx - 50 AS maxx, miny + 20 AS miny, maxy - 40 AS maxy FROM {sheets}""",
+    "plots": """
+SELECT lot_id, minx + 2 AS minx, maxx - 3 AS maxx, miny + 5 AS miny, maxy - 10 AS maxy FROM {lots}""",
+    "belts": """
+SELECT sheet_id, minx, maxx, miny + 40 AS miny, maxy - 60 AS maxy FROM {sheets}""",
     "roads": """
 SELECT s_suppkey AS road_id, s_name AS road_name, CAST(0 AS DOUBLE) AS x1, CAST(1000 AS DOUBLE) AS x2,
        (s_suppkey % 100)*CAST(10 AS DOUBLE) + 3 AS y1, (s_suppkey % 100)*CAST(10 AS DOUBLE) + 3 AS y2
@@ -165,6 +172,8 @@ def with_views(sql: str) -> str:
         return plain(sql)
     heads = ",\n".join(f"{name} AS ({plain(VIEWS[name])})" for name in order)
     body = plain(sql).strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {heads},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {heads},\n{body[5:]}"
     return f"WITH {heads}\n{body}"
