@@ -108,7 +108,7 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, records_
 
 
 def parse_records(stream):
-    """(headers, block) of each record of an uncompressed archive; header names in lower case."""
+    """(headers, block) of each record of an uncompressed archive; header names in lower case, each with all its values."""
     while True:
         line = stream.readline()
         if not line:
@@ -117,19 +117,19 @@ def parse_records(stream):
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"not a record: {line[:60]!r}")
-        head: dict[str, str] = {}
+        head: dict[str, list[str]] = {}
         while (line := stream.readline()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
-            head[name.strip().lower()] = value.strip()
-        size = int(head["content-length"])
+            head.setdefault(name.strip().lower(), []).append(value.strip())
+        size = int(head["content-length"][0])
         block = stream.read(size)
         if len(block) != size:
-            raise ValueError(f"record {head.get('warc-record-id')} is cut off")
+            raise ValueError(f"record {head.get('warc-record-id', [None])[0]} is cut off")
         yield head, block
 
 
 RECORD = pa.schema([
-    ("kind", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()),
+    ("kind", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()),
     ("stated_digest", pa.string()), ("head", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
 ])
 
@@ -144,13 +144,14 @@ def _records(with_payload: bool):
                     stream = io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 18)
                 rows: list[tuple] = []
                 held = 0
-                for head, block in parse_records(stream):
+                for fields, block in parse_records(stream):
+                    head = {name: values[0] for name, values in fields.items()}
                     kind = head.get("warc-type")
                     http = head.get("content-type", "").startswith("application/http")
                     first, _, payload = block.partition(b"\r\n\r\n") if http else (block, b"", b"")
                     full = kind == "response"
                     rows.append((
-                        kind, head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-concurrent-to"), head.get("warc-refers-to"),
+                        kind, head.get("warc-record-id"), head.get("warc-target-uri"), fields.get("warc-concurrent-to", []), head.get("warc-refers-to"),
                         head.get("warc-payload-digest"), first.decode("utf-8", "replace"), payload if full and with_payload else None,
                         len(payload) if full else None, b32encode(hashlib.sha1(payload).digest()).decode() if full else None,
                     ))
@@ -169,33 +170,39 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInArrow(
         _records(with_payload),
-        "kind string, record_id string, target_uri string, concurrent_to string, refers_to string, stated_digest string, "
+        "kind string, record_id string, target_uri string, concurrent_to array<string>, refers_to string, stated_digest string, "
         "head string, payload binary, payload_bytes long, payload_digest string",
     )
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: record_id, kind, target_uri, refers_to, digest, response, request, metadata.
+    """One nested row per capture: record_id, kind, target_uri, refers_to, digest, response, requests, metadata.
 
-    Requests and metadata join the response or revisit that they are concurrent to; a capture without them has
-    nulls, and sides without a capture belong to none.  Records repeated with one id keep a row each.
+    A capture is a response or revisit.  Requests and metadata records, all of them, belong to the captures that
+    they name as concurrent or that name them; both are arrays of (record_id, head) by record_id, empty
+    where there is none.  Sides without a capture belong to none, captures repeated with one id keep a row
+    each, sides repeated with one id and head count once, records without an id have no sides.  Very long
+    payloads stay in their row.  ``records`` is read three times: stage it if it is costly.
     """
-    main = records.filter(F.col("kind").isin("response", "revisit")).select(
+    main = records.filter(F.col("kind").isin("response", "revisit"))
+    sides = records.filter(F.col("kind").isin("request", "metadata")).select("kind", "concurrent_to", F.struct("record_id", "head").alias("side"))
+    named = sides.select(F.explode("concurrent_to").alias("capture"), "kind", "side")
+    asked = main.select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("wanted"))
+    answered = asked.join(sides.select("kind", "side", F.col("side.record_id").alias("wanted")), "wanted").select("capture", "kind", "side")
+    of = lambda kind: F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("side"))))
+    found = named.unionByName(answered).groupBy(F.col("capture").alias("record_id")).agg(of("request").alias("requests"), of("metadata").alias("metadata"))
+    captures = main.select(
         "record_id", "kind", "target_uri", "refers_to", F.regexp_replace("stated_digest", "^sha1:", "").alias("digest"),
         F.struct("head", "payload", "payload_bytes", "payload_digest").alias("response"),
-    )
-    side = records.filter(F.col("kind").isin("request", "metadata") & F.col("concurrent_to").isNotNull())
-    side = side.groupBy(F.col("concurrent_to").alias("record_id")).agg(
-        F.min(F.when(F.col("kind") == "request", F.struct("record_id", "head"))).alias("request"),
-        F.min(F.when(F.col("kind") == "metadata", F.struct("record_id", "head"))).alias("metadata"),
-    )
-    return main.join(side, "record_id", "left")
+    ).join(found, "record_id", "left")
+    none = F.array().cast("array<struct<record_id:string,head:string>>")
+    return captures.withColumns({c: F.coalesce(c, none) for c in ("requests", "metadata")})
 
 
 def page_id_of(metadata: Column) -> Column:
-    """The page id that a capture's metadata names."""
-    found = F.regexp_extract(metadata["head"], r"(?m)^page-id: (-?\d+)\r?$", 1)
-    return F.when(found != "", found).cast("long")
+    """The page id that the first of a capture's metadata records names that names one."""
+    ids = F.transform(metadata, lambda m: F.regexp_extract(m["head"], r"(?m)^page-id: (-?\d+)\r?$", 1))
+    return F.get(F.filter(ids, lambda x: x != ""), F.lit(0)).cast("long")
 
 
 def capture_pages(captures: DataFrame) -> DataFrame:
@@ -240,4 +247,5 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as archives, read back and assembled."""
     path = scratch_path(spark, "warc")
     write_warc(read_table(spark, folder, "pages"), path)
-    return capture_pages(stage(assemble(read_records(spark, path, with_payload=False)), "captures"))
+    records = stage(read_records(spark, path, with_payload=False), "records")
+    return capture_pages(stage(assemble(records), "captures"))
