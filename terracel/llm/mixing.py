@@ -8,7 +8,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, read_table, running_sum, slice_rows, slices_for, stage, word_count, words_of
+from .common import hot_join, read_table, running_sum, slice_rows, slices_for, stage, word_count
 from .registry import query
 
 #: Fractional part of the golden ratio: slot i draws the point frac(i * GOLDEN).
@@ -129,31 +129,28 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: a row of ``docs`` for each pass that takes it, text being the words taken in that pass.
+    """The mixed corpus: a row of ``docs``, unchanged, for each pass that takes it.
 
-    Blocks of a source are taken from its first on, so at most one text of a source is cut; its words are joined by
-    spaces.  n_chars, if there, follows the text.  Rows equal in doc_id, text and source are interchangeable.
+    Blocks of a source are taken from its first on, so at most one text of a source is taken in part; it stays whole
+    if at least half of its words are taken, else it goes, so that a source is off by half a text at most.  Null
+    and empty texts are never taken.  Rows equal in doc_id, text and source are interchangeable; ids may be
+    null or of any type; an empty table gives no rows; every column of ``docs`` is returned as it was.
     """
     placed, segments = mix_plan(docs, **options)
     taken = segments.groupBy("row", "pass").agg(F.sum("words").alias("words"))
-    keys = ["_id", "_hash", "_source"]
-    parts = placed.join(taken, "row").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_hash"),
-        F.coalesce("source", F.lit("")).alias("_source"), "size", "words",
-    ).groupBy(*keys).agg(F.collect_list(F.struct("size", "words")).alias("_parts"))
-    keyed = docs.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": F.xxhash64("text"), "_source": F.coalesce("source", F.lit("")),
-    })
-    # partitioned like the join, so texts move once
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id"))
-    rows = keyed.join(parts, keys).withColumn("_nth", first).filter("_nth = 1").withColumn("_part", F.explode("_parts"))
-    text = F.when(F.col("_part.words") >= F.col("_part.size"), F.col("text")).otherwise(
-        F.array_join(F.slice(words_of(F.col("text")), F.lit(1), F.col("_part.words").cast("int")), " ")
+    keys = ["id", "hash", "source"]
+    parts = placed.join(taken, "row").filter(F.col("words") * 2 >= F.col("size")).select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("text_hash").alias("hash"), F.coalesce("source", F.lit("")).alias("source"),
+    ).groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
+    # the given columns travel inside one, so no name of theirs is touched
+    given = docs.select(
+        F.struct("*").alias("doc"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64("text").alias("hash"),
+        F.coalesce("source", F.lit("")).alias("source"),
     )
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    # partitioned like the join, so texts move once
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc.doc_id"))
+    rows = given.join(parts, keys).withColumn("nth", first).filter("nth = 1")
+    return rows.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("doc.*")
 
 
 @query("op6_mixing")
