@@ -213,16 +213,22 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text, ...) that are the keeper of their group."""
+    """Rows of ``docs`` (doc_id, text, ...) that are the keeper of their group, every column as it was.
+
+    Null and empty texts are groups of their own and stay, once for rows repeated with one id; of equal ids the
+    least text hash decides; null ids count as the largest; doc_id must be a whole number; an empty table
+    gives no rows.
+    """
     found = near_duplicates(docs.select("doc_id", "text"), **options).filter("keeper")
-    keys = ["_id", "_hash"]
-    found = found.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.col("text_hash").alias("_hash"))
-    keyed = docs.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_hash": F.xxhash64(F.coalesce("text", F.lit(""))),
-    })
+    keys = ["id", "hash"]
+    found = found.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text_hash").alias("hash"))
+    # the given columns travel inside one, so no name of theirs is touched
+    given = docs.select(
+        F.struct("*").alias("doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")
+    )
     # rows repeated with one id and text share a keeper: one of them stays; partitioned like the join, so texts move once
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id"))
-    return keyed.join(found.distinct(), keys).withColumn("_nth", first).filter("_nth = 1").select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("doc.doc_id"))
+    return given.join(found.distinct(), keys).withColumn("nth", first).filter("nth = 1").select("doc.*")
 
 
 def unnull(id_: Column) -> Column:
