@@ -20,6 +20,7 @@ UNKNOWN = "und"
 BINS = 1 << 14
 #: About so many labelled rows of each language train the classifiers: the documented bound of the sample.
 SAMPLE_PER_LANGUAGE = 3_000
+#: The most frequent languages that are learnt.
 MAX_LANGUAGES = 256
 #: A text whose two nearest codewords differ in loss by less than this share of the larger is ambiguous.
 AMBIGUOUS = 0.05
@@ -137,17 +138,18 @@ def _bit_results(shared):
     return run
 
 
-def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
     """Fit on about ``sample_per_language`` rows of each language of ``labelled`` (lang, text, key), drawn by a hash of key.
 
+    Of more than ``max_languages`` languages the most frequent are learnt, the first by name of equally frequent
+    ones; rows of the others, mostly errors in the column, are left out of the sample.
+
     Each bit of the code is a naive-Bayes classifier of the languages on its one side against those on the
     other.  Its margins over the sample give its scale and, by its accuracy, its weight in decoding.  What reaches
     the driver is bounded by the languages, features and bits, and the sample by the parameter.
     """
     spark = labelled.sparkSession
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], codewords(0), np.zeros((BINS, 0)), np.ones(0), np.ones(0))
