@@ -110,6 +110,8 @@ def _read_back(batches):
                 raise ValueError(f"conversation {conv}: the piece at {start} cannot be read back")
             turns.update(f"{unescape_role(found[1])}\n{unescape_text(found[2])}\n".encode())
             if example is not None:
+                if example["context_end"] != chars:
+                    raise ValueError(f"conversation {conv}: the context of the example at {start} does not hold all turns before it")
                 text = unescape_text(piece[example["loss_start"] - start : example["loss_end"] - start])
                 loss.update(text.encode())
                 loss_chars += len(text)
@@ -126,6 +128,8 @@ def _read_back(batches):
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of formatted conversations, read from their pieces and loss spans.
 
+    Every example's context must end where the pieces before it do, else the run fails.
+
     formatted_chars counts each turn once, as it is stored.  A digest of a whole conversation is one sequential
     hash, so its rows pass through one task in order; they are streamed and none is held.
     """
