@@ -13,7 +13,7 @@ from .registry import query
 #: Bits of one filter block; a row's two bits lie in one block.
 BLOCK_BITS = 1 << 16
 BITS_PER_ROW = 16
-#: The filter never grows beyond this; with more rows it lets more of them through to the shuffle, which stays exact.
+#: A filter never grows beyond this; with more rows there are several, each for a part of the digests.
 MAX_FILTER_BYTES = 32 << 20
 
 
@@ -32,13 +32,25 @@ def _mark(n_blocks: int):
     def run(batches):
         seen = np.zeros(0, np.int64)
         twice = np.zeros(0, np.int64)
+        fresh: list[np.ndarray] = []
+
+        def settle():
+            nonlocal seen, twice
+            at, n = np.unique(np.concatenate([seen, *fresh]), return_counts=True)
+            twice = np.union1d(twice, at[n > 1])
+            seen = at
+            fresh.clear()
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             block, one, other = _slots(batch.column("digest").to_pylist(), n_blocks)
-            at, n = np.unique(np.concatenate([block * BLOCK_BITS + one, block * BLOCK_BITS + other]), return_counts=True)
-            twice = np.union1d(twice, np.union1d(at[n > 1], np.intersect1d(seen, at, assume_unique=True)))
-            seen = np.union1d(seen, at)
+            fresh += [block * BLOCK_BITS + one, block * BLOCK_BITS + other]
+            # sorting what has come since only once it is as much as what was sorted before
+            if sum(map(len, fresh)) > max(1 << 18, len(seen)):
+                settle()
+        if fresh:
+            settle()
         for block in np.unique(seen // BLOCK_BITS):
             lo, hi = np.searchsorted(seen, [block * BLOCK_BITS, (block + 1) * BLOCK_BITS])
             lo2, hi2 = np.searchsorted(twice, [block * BLOCK_BITS, (block + 1) * BLOCK_BITS])
@@ -76,6 +88,20 @@ def _probe(n_blocks: int, shared):
     return run
 
 
+def _probed(keys: DataFrame, n_blocks: int) -> DataFrame:
+    """``keys`` (id, digest, row) with ``maybe``: whether another row may have that digest."""
+    spark = keys.sparkSession
+    marks = keys.select("digest").mapInArrow(_mark(n_blocks), "block long, seen binary, twice binary")
+    blocks = marks.groupBy("block").applyInArrow(_merge, "block long, bits binary")
+    held = np.zeros(n_blocks * BLOCK_BITS // 8, np.uint8)
+    for row in blocks.toLocalIterator():
+        at = row["block"] * BLOCK_BITS // 8
+        held[at : at + BLOCK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(held.tobytes())
+    id_type = keys.schema["id"].dataType.simpleString()
+    return stage(keys.mapInArrow(_probe(n_blocks, shared), f"id {id_type}, digest binary, row long, maybe boolean"), "probed")
+
+
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_per_row: int = BITS_PER_ROW,
     max_filter_bytes: int = MAX_FILTER_BYTES,
@@ -84,29 +110,28 @@ def exact_dedup(
 
     Returns one row per input row: id, keep_id, group_size, kept, text_sha256.  Texts are read once and
     never move: digests (32 bytes a row) are staged, pass one fills a Bloom filter of bits set more than
-    once, pass two sends only rows whose two bits are both such bits to the shuffle.  The filter is at
-    most ``max_filter_bytes``, so its broadcast is bounded; false hits cost a shuffled digest, never a wrong answer.
+    once, pass two sends only rows whose two bits are both such bits to the shuffle.  A filter has at
+    most ``max_filter_bytes``, so its broadcast is bounded; with more rows than it has room for, digests are dealt by a
+    hash into parts with a filter each, so that ``bits_per_row`` hold at any size.  False hits cost a shuffled digest,
+    never a wrong answer.  Very long texts enter as digests.
 
     Null text counts as empty; a null id is smaller than any other; rows repeated with the same id and
     text form a group in which one of them stays; an empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     digest = F.unhex(F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), 256))
     keys = docs.select(F.col(id_col).alias("id"), digest.alias("digest"))
     keys = stage(keys.withColumn("row", F.monotonically_increasing_id()), "digests")
     n_rows = keys.count()
-    n_blocks = max(1, min(-(-n_rows * bits_per_row // BLOCK_BITS), max_filter_bytes * 8 // BLOCK_BITS))
-    marks = keys.select("digest").mapInArrow(_mark(n_blocks), "block long, seen binary, twice binary")
-    blocks = marks.groupBy("block").applyInArrow(_merge, "block long, bits binary")
-    held = np.zeros(n_blocks * BLOCK_BITS // 8, np.uint8)
-    for row in blocks.toLocalIterator():
-        at = row["block"] * BLOCK_BITS // 8
-        held[at : at + BLOCK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(held.tobytes())
-    id_type = keys.schema["id"].dataType.simpleString()
-    probed = stage(
-        keys.mapInArrow(_probe(n_blocks, shared), f"id {id_type}, digest binary, row long, maybe boolean"), "probed"
-    )
+    n_parts = max(1, -(-n_rows * bits_per_row // (8 * max_filter_bytes)))
+    parts = [keys]
+    if n_parts > 1:
+        dealt = stage(keys.withColumn("part", F.pmod(F.xxhash64("digest"), F.lit(n_parts)).cast("int")), "parts", by=["part"])
+        parts = [dealt.filter(F.col("part") == k).drop("part") for k in range(n_parts)]
+    n_blocks = max(1, -(-n_rows * bits_per_row // (n_parts * BLOCK_BITS)))
+    probed = None
+    for part in parts:
+        found = _probed(part, n_blocks)
+        probed = found if probed is None else probed.unionByName(found)
     maybe = probed.filter("maybe").drop("maybe")
     groups = maybe.groupBy("digest").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("best")
