@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terracel.llm import mixing, packing, warc
-from terracel.llm.common import scratch_path
+from terracel.llm import mixing, near_dedup, packing, warc
+from terracel.llm.common import scratch_path, stage
 
 
 def mix_rows(shares, seed=1):
@@ -49,9 +49,13 @@ def test_mix(spark, shares):
     assert sorted(out, key=lambda r: r["doc_id"]) == sorted(again, key=lambda r: r["doc_id"])
     texts = mixing.mix(d, block_words=16)
     assert texts.columns == d.columns
-    words = texts.groupBy("doc_id").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()
-    want = {r["doc_id"]: r["taken"] for r in out if r["taken"]}
-    assert {r["doc_id"]: r["n"] for r in words} == want
+    # texts are whole: each pass but the last of a source takes them in full, and the last one is rounded
+    given, times = {r[0]: r[1] for r in rows}, defaultdict(int)
+    for r in texts.collect():
+        assert r["text"] == given[r["doc_id"]] and r["n_chars"] == 0 and (r["block"], r["slot"], r["name"]) == (1, 2, "q")
+        times[r["doc_id"]] += 1
+    for r in out:
+        assert times[r["doc_id"]] == int(r["taken"] / r["size"] + 0.5) if r["size"] else not times[r["doc_id"]]
 
 
 def test_mix_schedule_is_even(spark):
@@ -99,12 +103,36 @@ def test_warc(spark, least):
     assert len(pages) == len(PAGES)
     nested = {warc_page(r): r for r in captures.collect()}
     assert bytes(nested[2]["response"]["payload"]).decode() == PAGES[1][2]
-    assert nested[5]["request"]["head"].startswith("GET /x?y HTTP/1.1\r\nHost: a.example")
+    assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in nested.values())
+    assert nested[5]["requests"][0]["head"].startswith("GET /x?y HTTP/1.1\r\nHost: a.example")
     assert nested[1]["target_uri"] == "bad url%0D%0AX: y" and nested[9]["target_uri"] is None
 
 
 def warc_page(row):
-    return int(row["metadata"]["head"].split("page-id: ")[1].split("\r")[0])
+    return int(row["metadata"][0]["head"].split("page-id: ")[1].split("\r")[0])
+
+
+RECORDS = "kind string, record_id string, target_uri string, concurrent_to array<string>, refers_to string, stated_digest string, head string, payload binary, payload_bytes long, payload_digest string"
+
+
+def test_assemble_keeps_every_side(spark):
+    """Several sides of a capture, a side of several captures, links in either direction, nulls and repeated rows."""
+    rows = [
+        ("response", "r1", ["q2"], "h"), ("revisit", "r2", [], "h"), ("response", "r3", [], "h"), ("response", None, [], "h"),
+        ("request", "q1", ["r1", "r2"], "a"), ("request", "q2", [], "b"), ("metadata", "m1", ["r1"], "c"), ("metadata", "m2", ["r1"], "d"),
+        ("metadata", "m2", ["r1"], "d"), ("metadata", "m3", ["nobody"], "e"), ("metadata", "m4", [], "f"), ("warcinfo", "i", ["r1"], "g"), (None, None, None, None),
+    ]
+    d = spark.createDataFrame([(k, i, None, c, None, None, h, None, None, None) for k, i, c, h in rows], RECORDS)
+    got = {r["record_id"]: ([x["record_id"] for x in r["requests"]], [x["record_id"] for x in r["metadata"]]) for r in warc.assemble(d.withColumn("requests", F.lit(1))).collect()}
+    assert got == {"r1": (["q1", "q2"], ["m1", "m2"]), "r2": (["q1"], []), "r3": ([], []), None: ([], [])}
+    assert warc.assemble(d.limit(0)).count() == 0
+
+
+def test_repeated_header_fields():
+    block = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: <a>\r\nwarc-concurrent-to: <b>\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    import io
+    (head, body), = warc.parse_records(io.BytesIO(block))
+    assert head["warc-concurrent-to"] == ["<a>", "<b>"] and body == b"x"
 
 
 def test_warc_ties_and_empty(spark):
@@ -247,27 +275,94 @@ def test_fast_encoding_gives_the_same_ids():
         assert encoder.encode(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_clashing_columns_stay(spark):
+    """Columns named like internal ones come back as they were from both row filters."""
+    rows = [(i, f"alpha beta gamma delta epsilon zeta {i % 3} " * 5, "s", f"own{i}") for i in range(9)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, _id string")
+    d = d.withColumns({c: F.col("_id") for c in ("_hash", "_source", "_nth", "_part", "id", "hash", "nth", "doc", "times", "row", "dotted.name")})
+    for out in (mixing.mix(d, block_words=4), near_dedup.drop_near_duplicates(d, k=5, per_cent=80)):
+        got = out.collect()
+        assert out.columns == d.columns and got
+        assert all(r[c] == f"own{r['doc_id']}" for r in got for c in d.columns[3:])
+
+
+def test_texts_beyond_the_rank_encoder(spark):
+    """Runs of two million blanks and of two million letters take the tokenizer itself."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = {1: "x" + " " * 2_000_000 + "y", 2: "a" * 2_000_000, 3: "short"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = defaultdict(bytes)
+    for r in packing.pack_documents(d, with_ids=True).orderBy("doc_id", "piece").collect():
+        got[r["doc_id"]] += bytes(r["ids"])
+    tokenizer = Tokenizer.from_file(path)
+    for i, t in texts.items():
+        assert got[i] == np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()
+
+
 def test_pipeline(spark, tmp_path):
-    """Each stage against the plain version of its operator, on what the one before kept."""
+    """Stages chained as in run(), each held against the plain version of its operator on what the one before kept."""
     rng = random.Random(1)
     rows = [r for r in brute.documents(12, 50)]
     rows = [(i, t, "en" if rng.random() < 0.5 else "de", s, n) for i, t, _, s, n in rows]
     rows = [(i, (t or "").replace("alpha", "der die") if lang == "de" and t else t, lang, s, n) for i, t, lang, s, n in rows]
     spark.createDataFrame(rows, brute.SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    steps = dict(corpus_pipeline.STAGES)
-    names = [n for n, _ in corpus_pipeline.STAGES]
-    assert names == ["language_id", "line_dedup", "near_dedup", "mixing", "packing"]
-    kept = {r["doc_id"]: r["text"] for r in steps["language_id"](spark, docs, str(tmp_path)).collect()}
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "mixing", "packing"]
+    columns, kept = docs.columns, {}
+    for name, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, str(tmp_path)), f"test-{name}")
+        kept[name] = docs.collect()
+        assert name == "packing" or docs.columns == columns
+    of = lambda name: [tuple(r) for r in kept[name]]
+    # language ID: documents as they were but for lang; those without a letter go, few others do
+    given = {r[0]: r for r in rows}
     no_letter = {r[0] for r in rows if not any(c.isalpha() for c in r[1] or "")}
-    assert not set(kept) & no_letter and len(kept) >= 0.9 * (len(rows) - len(no_letter))
-    lines = steps["line_dedup"](spark, docs, str(tmp_path))
-    assert lines.columns == docs.columns
-    want = {i: x[2] for i, x in brute.line_dedup(rows).items()}
-    assert {r["doc_id"]: r["text"] for r in lines.collect()} == want
-    near = steps["near_dedup"](spark, docs, str(tmp_path))
-    assert {r["doc_id"] for r in near.collect()} == {i for i, x in brute.near(rows, 5, 80).items() if x[2]} and near.columns == docs.columns
-    mixed = steps["mixing"](spark, docs, str(tmp_path))
-    assert mixed.columns == docs.columns and {r["doc_id"] for r in mixed.collect()} <= {r[0] for r in rows}
-    out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.count() > 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+    assert all(r[1] == given[r[0]][1] and r[3:] == given[r[0]][3:] for r in of("language_id"))
+    assert not {r[0] for r in of("language_id")} & no_letter and len(of("language_id")) >= 0.9 * (len(rows) - len(no_letter))
+    # line dedup: all documents, their other lines
+    want = {i: x[2] for i, x in brute.line_dedup(of("language_id")).items()}
+    assert {r[0]: r[1] for r in of("line_dedup")} == want and all(r[4] == len(r[1]) for r in of("line_dedup"))
+    # near dedup: the keepers, unchanged
+    keepers = {i for i, x in brute.near(of("line_dedup"), 5, 80).items() if x[2]}
+    assert sorted(of("near_dedup"), key=str) == sorted((r for r in of("line_dedup") if r[0] in keepers), key=str)
+    # mixing: whole rows, three times at most, each source near its target
+    times = defaultdict(int)
+    for r in of("mixing"):
+        times[r] += 1
+    before, sizes, longest = set(of("near_dedup")), defaultdict(int), defaultdict(int)
+    assert set(times) <= before and max(times.values()) <= 3
+    for r in before:
+        n = len(brute.words(r[1]))
+        sizes[r[3]] += n
+        longest[r[3]] = max(longest[r[3]], n)
+    for s, t in brute.mix_targets(sizes).items():
+        taken = sum(k * len(brute.words(r[1])) for r, k in times.items() if r[3] == s)
+        assert abs(taken - t) <= 64 * 2 + longest[s] / 2
+    # packing: every row of the mix in full, sequences without gaps
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens, packed, spans = defaultdict(int), defaultdict(int), defaultdict(list)
+    for r in of("mixing"):
+        tokens[r[0]] += len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1
+    for r in kept["packing"]:
+        packed[r["doc_id"]] += r["length"]
+        spans[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert packed == tokens
+    for places in spans.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    # run() does the same
+    again = corpus_pipeline.run(spark, str(tmp_path))
+    plain = lambda rs: sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rs)
+    assert plain(again.collect()) == plain(kept["packing"])
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    spark.createDataFrame([], brute.SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

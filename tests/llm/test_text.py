@@ -135,3 +135,20 @@ def test_features_do_not_cross_texts():
     two = language_id.count_features(["zzz", "abc", "zzz"])[1]
     assert (one == two).all()
     assert hashlib.sha256(one.tobytes()).hexdigest() == hashlib.sha256(language_id.count_features(["ABC"])[0].tobytes()).hexdigest()
+
+
+def test_more_languages_than_are_learnt(spark):
+    """The most frequent languages are learnt, rows of the others are left out."""
+    rows = [("en", "the and of", i) for i in range(9)] + [("de", "der und die", i) for i in range(8)] + [(f"x{i}", "zzz", i) for i in range(300)]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string, key long"), max_languages=2)
+    assert model.languages == ["de", "en"]
+    assert len(language_id.train(spark.createDataFrame(rows, "lang string, text string, key long")).languages) == 256
+
+
+def test_wrong_context_is_seen(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yes")], "conv_id long, turn long, role string, text string")
+    formatted = chat_format.format_chat(turns)
+    wrong = formatted.withColumn("example", F.when(F.col("example").isNotNull(), F.col("example").withField("context_end", F.col("example.context_end") - 1)))
+    assert chat_format.read_back(formatted).count() == 1
+    with pytest.raises(Exception, match="does not hold all turns"):
+        chat_format.read_back(wrong).collect()
