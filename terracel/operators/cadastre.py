@@ -492,15 +492,34 @@ def drop_covered_segments(segs: DataFrame, angle: float = 5.0, line_tol: float =
 
 
 def pick_edge(claims: DataFrame, segs: DataFrame, lot_id: str) -> DataFrame:
-    """Edge for each claimed door: closest unshared edge of the lot, else the closest one.
+    """Edge for each claimed door: ``seq, lot_id, seg_no, dist, px, py``, in ``seq`` order within a lot.
 
-    ``claims`` has ``seq, lot_id, x, y`` (one claim per lot); ``segs`` carries ``copies``.
+    A door takes the closest edge of its lot that no other lot shares and no earlier door has taken; when none is
+    left, the closest edge of all.  ``claims`` has ``seq, lot_id, x, y``; ``segs`` carries ``copies``.  A lot's first doors,
+    as many as it has unshared edges, use them all up, so only these are served one after another, in one row
+    of the lot; however many others there are, they are independent.
     """
     e = [F.col(c) for c in ENDS]
     d = G.segment_distance(F.col("x"), F.col("y"), *e)
-    j = claims.join(segs.select(lot_id, "seg_no", "copies", *ENDS), lot_id)
-    best = j.groupBy("seq", lot_id, "x", "y").agg(F.min(F.struct(
-        (F.col("copies") > 1).alias("shared"), d.alias("d"), F.col("seg_no").alias("seg_no"), *[F.col(c) for c in ENDS])).alias("_b"))
+    numbered = number_rows(claims.select("seq", lot_id, "x", "y"), [lot_id], "seq", ["x", "y"], "_nth")
+    j = numbered.join(segs.select(lot_id, "seg_no", "copies", *ENDS), lot_id)
+    near = j.groupBy("seq", lot_id, "x", "y", "_nth").agg(
+        F.sort_array(F.collect_list(F.struct(d.alias("d"), F.col("seg_no").alias("seg_no"), (F.col("copies") > 1).alias("shared"), *e))).alias("_all"))
+    near = near.withColumn("_free", F.filter("_all", lambda c: ~c["shared"]))
+    rest = near.filter(F.col("_nth") > F.size("_free")).select("seq", lot_id, "x", "y", F.get("_all", F.lit(0)).alias("_b"))
+    first = near.filter(F.col("_nth") <= F.size("_free")).groupBy(lot_id).agg(F.sort_array(F.collect_list(F.struct("_nth", "seq", "x", "y", "_free"))).alias("_doors"))
+    kind = segs.schema["seg_no"].dataType.simpleString()
+    none = F.array().cast(f"array<{kind}>")
+
+    def serve(taken, door):
+        free = F.filter(door["_free"], lambda c: ~F.array_contains(taken, c["seg_no"]))
+        return F.concat(taken, F.array(F.get(free, F.lit(0))["seg_no"]))
+
+    taken = F.aggregate("_doors", none, serve)
+    served = first.withColumn("_taken", taken).select(lot_id, F.posexplode("_doors").alias("_i", "_d"), "_taken")
+    own = F.get(F.filter("_d._free", lambda c: c["seg_no"] == F.get("_taken", F.col("_i"))), F.lit(0))
+    served = served.select("_d.seq", lot_id, "_d.x", "_d.y", own.alias("_b"))
+    best = rest.unionByName(served)
     b = [F.col(f"_b.{c}") for c in ENDS]
     t = G.project_fraction(F.col("x"), F.col("y"), *b)
     return best.select("seq", lot_id, F.col("_b.seg_no").alias("seg_no"), F.col("_b.d").alias("dist"),
@@ -541,43 +560,94 @@ def drainage_arrows(
     return thin_by_distance(arrows, spacing, "_s", "_id").drop("_id", "_s")
 
 
+def section_places(
+    axes: DataFrame, axis_id: str, fractions: Sequence[float] = (0.2, 0.5, 0.8), spacing: float | None = None, most: int = 6,
+    min_len: float = 0.0, min_gap: float = 0.0, by_segment: bool = False, delta: float = 0.02,
+) -> DataFrame:
+    """Where sections cross road axes: ``axis_id, part, fraction, mx, my, nx, ny`` (unit normal of the upright direction).
+
+    Axes are lines ``x1, y1, x2, y2`` or bent ones (``line``, an array of vertices).  Places go by the share of the measured
+    length, kept within 0.05 and 0.95: given ``fractions``, or with ``spacing`` as many as fit, ``most`` at most, evenly
+    from 0.2 to 0.8.  ``by_segment`` takes every segment longer than 0.75 as an axis of its own (``part``).  Axes shorter
+    than ``min_len`` have none, and a place nearer than ``min_gap`` to an earlier one of its axis is left out.  The
+    direction is that between the points ``delta`` of the length before and behind.
+
+    Measures are rows: each segment knows where it starts, and a place finds its segment by a range of measures.
+    """
+    if "line" in axes.columns:
+        segs = line_segments(axes.select(axis_id, "line"))
+    else:
+        segs = axes.select(axis_id, F.lit(1).alias("seg_no"), *ENDS, F.lit(0.0).alias("m"))
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    segs = segs.select(axis_id, F.col("seg_no").cast("int").alias("seg_no"), *ENDS, F.col("m").cast("double").alias("m"), length.alias("_n")).filter("_n > 0")
+    if by_segment:
+        segs = segs.filter("_n > 0.75").withColumns({"part": F.col("seg_no"), "m": F.lit(0.0)})
+    else:
+        segs = segs.withColumn("part", F.lit(0))
+    whole = segs.groupBy(axis_id, "part").agg(F.sum("_n").alias("_len")).filter(F.col("_len") >= min_len)
+    if spacing:
+        n = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.col("_len") / spacing).cast("int")))
+        shares = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(n == 1, F.lit(0.2)).otherwise(0.2 + i * (F.lit(0.6) / (n - 1))))
+    else:
+        shares = F.array(*[F.lit(float(v)) for v in fractions])
+    places = whole.select(axis_id, "part", "_len", F.posexplode(shares).alias("_i", "fraction"))
+    f = F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.col("fraction")))
+    wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), f + k * delta)).alias("f")) for k in (-1, 0, 1)])
+    asked = places.select(axis_id, "part", "_i", "fraction", "_len", F.explode(wanted).alias("_w")).withColumn("_s", F.col("_w.f") * F.col("_len"))
+    # the last segment also takes what rounding leaves
+    met = asked.join(segs, [axis_id, "part"]).filter((F.col("_s") >= F.col("m")) & ((F.col("_s") < F.col("m") + F.col("_n")) | (F.col("m") + F.col("_n") >= F.col("_len") * (1 - 1e-12))))
+    t = F.least(F.lit(1.0), (F.col("_s") - F.col("m")) / F.col("_n"))
+    at = F.struct(F.col("m").alias("m"), (F.col("x1") + t * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + t * (F.col("y2") - F.col("y1"))).alias("y"))
+    of = lambda k: F.max(F.when(F.col("_w.k") == k, at)).alias(f"_p{k + 1}")
+    found = met.groupBy(axis_id, "part", "_i", "fraction").agg(of(-1), of(0), of(1))
+    angle = F.radians(G.upright(F.degrees(F.atan2(F.col("_p2.y") - F.col("_p0.y"), F.col("_p2.x") - F.col("_p0.x")))))
+    out = found.select(axis_id, "part", "_i", "fraction", F.col("_p1.x").alias("mx"), F.col("_p1.y").alias("my"), (-F.sin(angle)).alias("nx"), F.cos(angle).alias("ny"))
+    if min_gap > 0:
+        # at most as many places as an axis may have
+        row = F.struct("_i", "fraction", "mx", "my", "nx", "ny")
+        apart = lambda kept, p: ~F.exists(kept, lambda k: F.hypot(k["mx"] - p["mx"], k["my"] - p["my"]) < min_gap)
+        kind = out.select(row.alias("r")).schema["r"].dataType.simpleString()
+        lists = out.groupBy(axis_id, "part").agg(F.sort_array(F.collect_list(row)).alias("_ps"))
+        kept = F.aggregate("_ps", F.array().cast(f"array<{kind}>"), lambda acc, p: F.when(apart(acc, p), F.concat(acc, F.array(p))).otherwise(acc))
+        out = lists.select(axis_id, "part", F.explode(kept).alias("_p")).select(axis_id, "part", "_p.*")
+    return out.drop("_i")
+
+
 def cross_sections(
     axes: DataFrame, kerbs: DataFrame, lots: DataFrame, axis_id: str, fractions: Sequence[float] = (0.2, 0.5, 0.8),
-    span: float = 30.0, max_width: float = 20.0, equal: float = 0.05, size: float = 20.0,
+    span: float = 30.0, max_width: float = 20.0, equal: float = 0.05, size: float = 20.0, **places,
 ) -> DataFrame:
-    """Widths across road axes at sampled fractions: kerb-kerb, kerb-lot on both sides, lot-lot.
+    """Widths across road axes: kerb-kerb, kerb-lot on both sides, lot-lot; a row per ``axis_id, part, fraction``.
 
     A section needs a kerb on both sides; widths above ``max_width`` are left out, so is a
-    lot-lot width equal to the kerb-kerb one.  Kerbs are looked for up to half the span.
+    lot-lot width equal to the kerb-kerb one.  Kerbs are looked for up to half the span.  Places are those of
+    ``section_places``, which takes the remaining options.
     """
-    f = F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.col("fraction")))
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    a = axes.withColumn("fraction", F.explode(F.array(*[F.lit(float(v)) for v in fractions])))
-    ang = F.radians(G.upright(F.degrees(F.atan2(dy, dx))))
-    a = a.select(axis_id, "fraction", (F.col("x1") + f * dx).alias("mx"), (F.col("y1") + f * dy).alias("my"), (-F.sin(ang)).alias("nx"), F.cos(ang).alias("ny"))
+    a = section_places(axes, axis_id, fractions, **places)
+    at = [axis_id, "part", "fraction"]
 
     def hits(lines, reach, tag):
         probe = a.withColumns({"x1": F.col("mx") - reach * F.col("nx"), "y1": F.col("my") - reach * F.col("ny"),
                                "x2": F.col("mx") + reach * F.col("nx"), "y2": F.col("my") + reach * F.col("ny")})
-        p = segment_pairs(probe, lines.select(*ENDS), 0.0, size, [axis_id, "fraction"])
+        p = segment_pairs(probe, lines.select(*ENDS), 0.0, size, at)
         ex, ey = F.col("r_x2") - F.col("r_x1"), F.col("r_y2") - F.col("r_y1")
         den = G.cross(F.col("nx"), F.col("ny"), ex, ey)
         wx, wy = F.col("r_x1") - F.col("mx"), F.col("r_y1") - F.col("my")
         t = G.cross(wx, wy, ex, ey) / F.nullif(den, F.lit(0.0))
         u = G.cross(wx, wy, F.col("nx"), F.col("ny")) / F.nullif(den, F.lit(0.0))
         ok = (u >= -1e-9) & (u <= 1 + 1e-9) & (F.abs(t) <= reach)
-        return p.withColumn("_t", F.when(ok, t)).groupBy(axis_id, "fraction").agg(
+        return p.withColumn("_t", F.when(ok, t)).groupBy(*at).agg(
             F.min(F.when(F.col("_t") > 0, F.col("_t"))).alias(f"{tag}_pos"), F.max(F.when(F.col("_t") < 0, F.col("_t"))).alias(f"{tag}_neg"))
 
     lot_edges = lots if "x1" in lots.columns else segments(lots, "lot_id")
     k = hits(kerbs, span / 2, "k").filter("k_pos IS NOT NULL AND k_neg IS NOT NULL").filter(F.col("k_pos") - F.col("k_neg") <= max_width)
-    both = k.join(hits(lot_edges, span, "l"), [axis_id, "fraction"], "left")
+    both = k.join(hits(lot_edges, span, "l"), at, "left")
     # lot hits only count when found on both sides
     pair = F.col("l_pos").isNotNull() & F.col("l_neg").isNotNull()
     limit = lambda w: F.when(pair & (w <= max_width), w)
     kk, ll = F.col("k_pos") - F.col("k_neg"), F.col("l_pos") - F.col("l_neg")
     return both.select(
-        axis_id, "fraction", kk.alias("kerb_kerb"), limit(F.abs(F.col("l_neg") - F.col("k_neg"))).alias("kerb_lot_neg"),
+        *at, kk.alias("kerb_kerb"), limit(F.abs(F.col("l_neg") - F.col("k_neg"))).alias("kerb_lot_neg"),
         limit(F.abs(F.col("l_pos") - F.col("k_pos"))).alias("kerb_lot_pos"), F.when(F.abs(ll - kk) > equal, limit(ll)).alias("lot_lot"))
 
 

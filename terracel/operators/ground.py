@@ -80,9 +80,10 @@ def pmf_parameters(size: float, building: float, angle: float, distance: float)
     }
 
 
-def _lowest(points: DataFrame, size: float, tile: str) -> DataFrame:
+def _lowest(points: DataFrame, size: float, tile: str, reach: int) -> DataFrame:
+    """Lowest point of each cell, with the holes that openings of ``reach`` cells in all may look at."""
     low = points.groupBy(tile, cell(F.col("y"), size).alias("row_i"), cell(F.col("x"), size).alias("col_i")).agg(F.min("z").alias("v"))
-    return complete(low, [tile])
+    return complete(low, [tile], reach=reach)
 
 
 def _opened(grid: DataFrame, half: int, tile: str) -> DataFrame:
@@ -106,7 +107,8 @@ def ground_pmf(
             break
         windows.append(w)
         k += 1
-    grid = _lowest(points, size, tile).select(tile, "row_i", "col_i", "v")
+    reach = sum(2 * (w // 2) for w in windows or [3])
+    grid = _lowest(points, size, tile, reach).select(tile, "row_i", "col_i", "v")
     limits = None
     before = 0
     for i, w in enumerate(windows or [3]):
@@ -136,8 +138,9 @@ def ground_smrf(
     objects and take the opened height; points are ground within ``threshold`` plus ``scalar``
     times the local slope of that surface.
     """
-    grid = _lowest(points, size, tile).select(tile, "row_i", "col_i", "v", F.col("v").alias("last"))
-    for radius in range(1, max(1, math.ceil(window / size)) + 1):
+    radii = range(1, max(1, math.ceil(window / size)) + 1)
+    grid = _lowest(points, size, tile, 2 * sum(radii) + 1).select(tile, "row_i", "col_i", "v", F.col("v").alias("last"))
+    for radius in radii:
         g = _opened(grid.withColumn("v", F.col("last")), radius, tile)
         tall = (F.col("last") - F.col("o")) > slope * radius * size
         g = g.withColumn("last", F.when(tall | F.col("last").isNull(), F.col("o")).otherwise(F.col("last")))

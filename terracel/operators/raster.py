@@ -257,17 +257,41 @@ def focal(cells: DataFrame, half: int, stat: str, keys: Sequence[str] = ("tile_i
     return cells.withColumn(out, fn(value).over(along)).withColumn(out, fn(out).over(down))
 
 
-def complete(cells: DataFrame, keys: Sequence[str] = ("tile_id",), value: str = "v") -> DataFrame:
-    """Every position of each raster's extent, holes as null (rasters are stored full anyway)."""
+#: Least side of the blocks in which holes are filled.
+BLOCK = 16
+
+
+def complete(cells: DataFrame, keys: Sequence[str] = ("tile_id",), value: str = "v", reach: int | None = None) -> DataFrame:
+    """Positions of each raster's extent, holes as null: all of them, or those that windows may need.
+
+    With ``reach``, the cells by which a result may look away from a given cell over all its windows, only blocks of
+    that side (BLOCK at least) that hold a cell, and the blocks around them, are filled: whatever lies
+    farther off is a hole that no result at a given cell sees.  A stray cell costs nine blocks and not the box
+    between it and the rest.
+    """
     keys = list(keys)
-    grid = _edges(cells, keys).withColumn("row_i", F.explode(F.sequence("_r0", "_r1"))).withColumn("col_i", F.explode(F.sequence("_c0", "_c1")))
+    edges = _edges(cells, keys)
+    if reach is None:
+        grid = edges.withColumn("row_i", F.explode(F.sequence("_r0", "_r1"))).withColumn("col_i", F.explode(F.sequence("_c0", "_c1")))
+    else:
+        side = max(BLOCK, reach)
+        around = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
+        held = cells.select(*keys, F.floor(F.col("row_i") / side).alias("_i"), F.floor(F.col("col_i") / side).alias("_j")).distinct()
+        blocks = held.withColumn("_di", around).withColumn("_dj", around).select(*keys, (F.col("_i") + F.col("_di")).alias("_i"), (F.col("_j") + F.col("_dj")).alias("_j")).distinct()
+        # blocks out of the extent have an empty range
+        lo = lambda at, edge: F.greatest(F.col(at) * side, F.col(edge).cast("long"))
+        hi = lambda at, edge: F.least((F.col(at) + 1) * side - 1, F.col(edge).cast("long"))
+        kept = blocks.join(edges, keys).filter((lo("_i", "_r0") <= hi("_i", "_r1")) & (lo("_j", "_c0") <= hi("_j", "_c1")))
+        grid = kept.withColumn("row_i", F.explode(F.sequence(lo("_i", "_r0"), hi("_i", "_r1")))).withColumn("col_i", F.explode(F.sequence(lo("_j", "_c0"), hi("_j", "_c1"))))
+        kind = lambda c: F.col(c).cast(cells.schema[c].dataType).alias(c)
+        grid = grid.select(*keys, "_r0", "_r1", "_c0", "_c1", kind("row_i"), kind("col_i"))
     return grid.join(cells.select(*keys, "row_i", "col_i", value), [*keys, "row_i", "col_i"], "left")
 
 
 def local_extrema(cells: DataFrame, win: int, keys: Sequence[str] = ("tile_id",)) -> DataFrame:
     """Adds ``is_peak`` and ``is_pit``: equal to the window extreme, border of ``win // 2`` left out."""
     r = win // 2
-    full = complete(cells.filter(valid_value(F.col("v"))), keys)
+    full = complete(cells.filter(valid_value(F.col("v"))), keys, reach=r)
     f = focal(focal(full, r, "max", keys, "v", "_hi"), r, "min", keys, "v", "_lo").filter("v IS NOT NULL")
     inner = F.col("row_i").between(F.col("_r0") + r, F.col("_r1") - r) & F.col("col_i").between(F.col("_c0") + r, F.col("_c1") - r)
     return f.withColumn("is_peak", inner & (F.col("v") == F.col("_hi"))).withColumn("is_pit", inner & (F.col("v") == F.col("_lo"))).drop(

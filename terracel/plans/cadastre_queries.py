@@ -504,6 +504,16 @@ def _(t):
     return rounded(out.select("road_id", "fraction", "kerb_kerb", gap.alias("gap")), kerb_kerb=6, gap=6)
 
 
+@query("section_places", """WITH s AS (SELECT road_id, x1, y1, CAST(f AS DOUBLE) AS fraction, CAST(f AS DOUBLE) * 604 AS s FROM {roads}, (SELECT unnest([0.2, 0.4, 0.6, 0.8]) AS f) q)
+SELECT road_id, round(fraction, 6) AS fraction, round(x1 + CASE WHEN s < 300 THEN s WHEN s < 304 THEN 300 ELSE s - 4 END, 6) AS mx, round(y1 + CASE WHEN s < 300 THEN 0 WHEN s < 304 THEN s - 300 ELSE 4 END, 6) AS my FROM s""")
+def _(t):
+    """Axes with a step in the middle; four places by spacing."""
+    at = lambda dx, dy: G.xy(F.col("x1") + dx, F.col("y1") + dy)
+    axes = t.roads.select("road_id", F.array(at(0, 0), at(300, 0), at(300, 4), at(600, 4)).alias("line"))
+    out = K.section_places(axes, "road_id", spacing=150.0)
+    return rounded(out.select("road_id", "fraction", "mx", "my"), fraction=6, mx=6, my=6)
+
+
 @query("symbol_lookup", """SELECT p_partkey, CAST(i AS INT) AS copy, CASE p_partkey % 5 WHEN 0 THEN 'POSTE_ILUMI' WHEN 1 THEN 'BOCA_LOBO' WHEN 2 THEN 'INFRA_PVE' ELSE 'BOCA_LOBO' END AS symbol,
 CAST(p_size + i AS DOUBLE) AS x, CASE p_partkey % 5 WHEN 2 THEN 0 ELSE 0 END AS angle FROM part, (SELECT unnest([0, 1, 2]) AS i) q WHERE p_partkey % 5 <> 4 AND i < CASE p_partkey % 5 WHEN 1 THEN 2 WHEN 3 THEN 3 ELSE 1 END""".replace("CASE p_partkey % 5 WHEN 2 THEN 0 ELSE 0 END AS angle", "CAST(0 AS DOUBLE) AS angle"))
 def _(t):

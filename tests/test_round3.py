@@ -225,3 +225,62 @@ def test_hot_quantiles_by_refinement(spark, bound, monkeypatch):
             assert q == pytest.approx(want, abs=1e-12) or (math.isnan(q) and math.isinf(a))
     plain = {r["k"]: r["q"] for r in quantiles.exact_quantiles(df, ["k"], "v", [0.5], "q", 1000).collect()}
     assert {k: q[0] for k, q in plain.items()} == pytest.approx({k: float(np.quantile(v, 0.5)) for k, v in groups.items()})
+
+
+def test_holes_are_filled_where_windows_look(spark):
+    """A stray cell far away costs nine blocks; extrema and ground filters are those of the filled box."""
+    from terracel.operators import ground as D
+    from terracel.operators import raster as R
+
+    rng = np.random.default_rng(9)
+    cells = [(0, int(r), int(c), float(v)) for r, c, v in zip(rng.integers(0, 90, 900), rng.integers(0, 90, 900), rng.integers(0, 40, 900), strict=True)]
+    cells = list({x[:3]: x for x in cells}.values())
+    near = spark.createDataFrame([*cells, (0, 200, 130, 5.0)], "tile_id int, row_i int, col_i int, v double")
+    far = near.unionByName(spark.createDataFrame([(0, 10**6, 10**6, 1.0)], near.schema))
+    assert R.complete(far, reach=5).count() < 90 * 90 + 30 * 16 * 16
+    whole = R.complete(near).groupBy("tile_id").count().first()["count"]
+    assert whole == (200 - min(c[1] for c in cells) + 1) * (130 - min(c[2] for c in cells) + 1) or whole > 20_000
+    keep = lambda df: sorted((r["row_i"], r["col_i"], r["is_peak"], r["is_pit"]) for r in df.collect() if r["row_i"] < 80 and r["col_i"] < 80)
+    full = R.focal(R.focal(R.complete(near), 3, "max", out="hi"), 3, "min", out="lo").filter("v is not null")
+    want = {(r["row_i"], r["col_i"]): (r["v"] == r["hi"], r["v"] == r["lo"]) for r in full.collect()}
+    for r, c, peak, pit in keep(R.local_extrema(far, 7)):
+        if r >= 5 and c >= 5:
+            assert (peak, pit) == want[r, c]
+    pts = near.selectExpr("row_number() over (order by row_i, col_i) as pid", "tile_id", "col_i + 0.5 as x", "row_i + 0.5 as y", "v as z")
+    ground = lambda: {r["pid"]: r["ground"] for r in D.ground_pmf(pts, 1.0, 0.3, 0.5, 3.0, 9).collect()}
+    got = ground()
+    plain = R.complete
+    try:
+        D.complete = lambda cells, keys, value="v", reach=None: plain(cells, keys, value)
+        assert got == ground()
+    finally:
+        D.complete = plain
+
+
+def test_edges_are_taken_once(spark):
+    """Doors of one lot in order: unshared edges first, each once, then the closest of all; many doors on one lot."""
+    square = [(0, 0, 10, 0, 1), (10, 0, 10, 10, 2), (10, 10, 0, 10, 1), (0, 10, 0, 0, 1)]
+    segs = spark.createDataFrame([(lot, i + 1, copies, *map(float, (a, b, c, d))) for lot in (1, 2) for i, (a, b, c, d, copies) in enumerate(square)],
+                                 "lot long, seg_no int, copies long, x1 double, y1 double, x2 double, y2 double")
+    doors = [(1, 1, 5.0, 1.0), (2, 1, 5.0, 0.5), (3, 1, 9.0, 5.0), (4, 1, 9.5, 5.0), (5, 1, 5.0, 0.2), (9, 2, 9.9, 5.0)]
+    doors += [(100 + i, 2, 5.0, 9.0) for i in range(50)]
+    got = {r["seq"]: (r["seg_no"], round(r["dist"], 6), r["px"], r["py"]) for r in K.pick_edge(spark.createDataFrame(doors, "seq long, lot long, x double, y double"), segs, "lot").collect()}
+    # 1 takes edge 1; 2 the next closest free one, 4; 3 edge 3; then all free ones are gone and the shared edge may be the closest
+    assert [got[i][0] for i in (1, 2, 3, 4, 5)] == [1, 4, 3, 2, 1]
+    assert got[3] == (3, 5.0, 9.0, 10.0) and got[4] == (2, 0.5, 10.0, 5.0)
+    assert got[9][0] == 1 and [got[100 + i][0] for i in range(4)] == [3, 4, 3, 3] and len(got) == len(doors)
+
+
+def test_sections_along_bent_axes(spark):
+    pt = lambda r: [{"x": float(x), "y": float(y)} for x, y in r]
+    axes = spark.createDataFrame([(1, pt([(0, 0), (60, 0), (60, 40)])), (2, pt([(0, 0), (0.5, 0), (30, 0)])), (3, pt([(5, 5), (6, 5)]))], "a long, line array<struct<x:double,y:double>>")
+    at = lambda **o: sorted((r["a"], r["part"], round(r["fraction"], 6), round(r["mx"], 6), round(r["my"], 6), round(r["nx"], 6), round(r["ny"], 6)) for r in K.section_places(axes, "a", **o).collect())
+    bent = [x for x in at() if x[0] == 1]
+    assert bent == [(1, 0, 0.2, 20, 0, 0, 1), (1, 0, 0.5, 50, 0, 0, 1), (1, 0, 0.8, 60, 20, -1, 0)]
+    assert [x[2] for x in at(spacing=30.0) if x[0] == 1] == [0.2, 0.5, 0.8] and [x[2] for x in at(spacing=30.0) if x[0] == 3] == [0.2]
+    assert [x[2] for x in at(spacing=1.0, most=4) if x[0] == 1] == [0.2, 0.4, 0.6, 0.8]
+    assert {x[0] for x in at(min_len=10.0)} == {1, 2} and {x[:2] for x in at(by_segment=True)} == {(1, 1), (1, 2), (2, 2), (3, 1)}
+    assert [x[2] for x in at(min_gap=20.0) if x[0] == 2] == [0.2] and [x[2] for x in at(fractions=(0.0, 1.0)) if x[0] == 1] == [0.0, 1.0]
+    kerbs = spark.createDataFrame([(-10.0, 4.0, 56.0, 4.0), (-10.0, -4.0, 64.0, -4.0), (56.0, 4.0, 56.0, 50.0), (64.0, -4.0, 64.0, 50.0)], "x1 double, y1 double, x2 double, y2 double")
+    out = K.cross_sections(axes.filter("a = 1"), kerbs, kerbs, "a", size=10.0).collect()
+    assert [(r["fraction"], round(r["kerb_kerb"], 6)) for r in sorted(out, key=lambda r: r["fraction"])] == [(0.2, 8.0), (0.5, 8.0), (0.8, 8.0)]
