@@ -251,12 +251,15 @@ def along_line_distance(points: DataFrame, lines: DataFrame, point_id: str, line
 
 
 def frontage_vertex(
-    lots: DataFrame, doors: DataFrame, lot_id: str, door_id: str, reach: float | None = None, size: float = 10.0, grow: float = 8.0
+    lots: DataFrame, doors: DataFrame, lot_id: str, door_id: str, reach: float | None = None, size: float = 10.0, grow: float = 8.0,
+    roads: DataFrame | None = None, road: str | None = None,
 ) -> DataFrame:
     """Rings turned to start at the frontage: the more northern end of the edge closest to the nearest door.
 
-    With ``reach``, lots without a door that near keep their start; without it the search widens until
-    every lot has its nearest door.
+    With ``reach``, lots without a door that near go by their access road: ``roads`` are segments with a name in column
+    ``road``, which ``lots`` has too, and the ring starts at the most northern (then most western) corner of the
+    edges that the road of that name meets.  Lots without either keep their start.  Without ``reach`` the search
+    widens until every lot has its nearest door.
     """
     from .spatial import points_near_polygons
 
@@ -279,11 +282,24 @@ def frontage_vertex(
     r = F.col("ring")
     n = F.size(r)
     keyed = F.transform(G.ring_edges(r), lambda e, i: F.struct(
-        G.segment_distance(F.col("_dx"), F.col("_dy"), *[e[c] for c in ENDS]).alias("d"), i.alias("i"),
+        # a corner is as far from both of its edges; rounding must not choose between them
+        F.round(G.segment_distance(F.col("_dx"), F.col("_dy"), *[e[c] for c in ENDS]), 9).alias("d"), i.alias("i"),
         F.when(e["y1"] >= e["y2"], i).otherwise((i + 1) % n).alias("start")))
     start = F.array_min(keyed)["start"].cast("int")
-    return lots.join(door, lot_id, "left").withColumn(
-        "ring", F.when(F.col("_dx").isNull(), r).otherwise(G.rotate_ring(r, start))).drop("_dx", "_dy")
+    found = lots.join(door, lot_id, "left")
+    if roads is None:
+        by_road = F.lit(None).cast("int")
+    else:
+        bare = lots.join(door.select(lot_id), lot_id, "left_anti").filter(F.col(road).isNotNull())
+        edges = segments(bare.select(lot_id, road, F.size("ring").alias("_size"), "ring"), lot_id).select(lot_id, road, "_size", "seg_no", *ENDS)
+        met = segment_pairs(edges, roads.select(road, *ENDS), 0.0, size, [lot_id]).filter(F.col(road) == F.col(f"r_{road}"))
+        met = met.filter(G.segments_cross(*[F.col(c) for c in ENDS], *[F.col(f"r_{c}") for c in ENDS]))
+        corner = lambda x, y, i: F.struct((-F.col(y)).alias("s"), F.col(x).alias("x"), i.alias("i"))
+        ends = met.select(lot_id, F.explode(F.array(corner("x1", "y1", F.col("seg_no") - 1), corner("x2", "y2", F.col("seg_no") % F.col("_size")))).alias("_c"))
+        found = found.join(ends.groupBy(lot_id).agg(F.min("_c")["i"].cast("int").alias("_road_start")), lot_id, "left")
+        by_road = F.col("_road_start")
+    turned = F.when(F.col("_dx").isNotNull(), G.rotate_ring(r, start)).when(by_road.isNotNull(), G.rotate_ring(r, by_road)).otherwise(r)
+    return found.withColumn("ring", turned).drop("_dx", "_dy", "_road_start")
 
 
 def sorted_report(detail: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

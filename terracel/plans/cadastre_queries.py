@@ -269,9 +269,17 @@ def _(t):
     return rounded(K.along_line_distance(pts, lines, "pid", "road_id", "role", 2.000000001), dist=6)
 
 
-@query("frontage_vertex")
-def _(t):
-    out = K.frontage_vertex(_lots(t), t.control_points, "lot_id", "cid", 3.0)
+@query("frontage_vertex", """WITH d AS (SELECT lot_id, cid, x, y, minx, miny, maxx, maxy, sqrt(greatest(minx-x, x-maxx, 0)**2 + greatest(miny-y, y-maxy, 0)**2) AS d
+  FROM {lots} JOIN {control_points} ON x BETWEEN minx-3 AND maxx+3 AND y BETWEEN miny-3 AND maxy+3),
+n AS (SELECT * FROM d WHERE d <= 3 QUALIFY row_number() OVER (PARTITION BY lot_id ORDER BY round(d, 9), cid) = 1),
+e AS (SELECT lot_id, minx, maxx, miny, maxy, greatest(minx-x, x-maxx, 0) AS ox, greatest(miny-y, y-maxy, 0) AS oy, x, y FROM n),
+k AS (SELECT lot_id, minx, maxx, miny, maxy, round(sqrt(ox**2 + (y-miny)**2), 9) AS b, round(sqrt(oy**2 + (x-maxx)**2), 9) AS r, round(sqrt(ox**2 + (y-maxy)**2), 9) AS t, round(sqrt(oy**2 + (x-minx)**2), 9) AS l FROM e)
+SELECT l.lot_id, CASE WHEN k.lot_id IS NULL THEN l.minx WHEN b <= least(r, t, k.l) THEN l.minx WHEN r <= least(t, k.l) OR t <= k.l THEN l.maxx ELSE l.minx END AS x,
+CASE WHEN k.lot_id IS NULL THEN CASE WHEN EXISTS (SELECT 1 FROM {roads} q WHERE q.y1 BETWEEN l.miny AND l.maxy) THEN l.maxy ELSE l.miny END WHEN b <= least(r, t, k.l) THEN l.miny ELSE l.maxy END AS y
+FROM {lots} l LEFT JOIN k ON k.lot_id = l.lot_id""")
+def _(t):
+    access = K.access_roads(_lots(t), t.roads, "lot_id", "road_name").select("lot_id", F.element_at("roads", 1).alias("road_name"))
+    out = K.frontage_vertex(_lots(t).join(access, "lot_id", "left"), t.control_points, "lot_id", "cid", 3.0, roads=t.roads, road="road_name")
     return out.select("lot_id", F.element_at("ring", 1)["x"].alias("x"), F.element_at("ring", 1)["y"].alias("y"))
 
 

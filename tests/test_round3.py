@@ -284,3 +284,12 @@ def test_sections_along_bent_axes(spark):
     kerbs = spark.createDataFrame([(-10.0, 4.0, 56.0, 4.0), (-10.0, -4.0, 64.0, -4.0), (56.0, 4.0, 56.0, 50.0), (64.0, -4.0, 64.0, 50.0)], "x1 double, y1 double, x2 double, y2 double")
     out = K.cross_sections(axes.filter("a = 1"), kerbs, kerbs, "a", size=10.0).collect()
     assert [(r["fraction"], round(r["kerb_kerb"], 6)) for r in sorted(out, key=lambda r: r["fraction"])] == [(0.2, 8.0), (0.5, 8.0), (0.8, 8.0)]
+
+
+def test_lots_without_doors_start_at_their_access_road(spark):
+    sq = lambda x: [{"x": float(a), "y": float(b)} for a, b in ((x, 0), (x + 10, 0), (x + 10, 10), (x, 10))]
+    lots = spark.createDataFrame([(1, "A", sq(0)), (2, "A", sq(20)), (3, "B", sq(40)), (4, None, sq(60)), (5, "C", sq(80))], "lot long, road string, ring array<struct<x:double,y:double>>")
+    doors = spark.createDataFrame([(1, 5.0, 10.5)], "d long, x double, y double")
+    roads = spark.createDataFrame([("A", 0.0, -1.0, 35.0, -1.0), ("A", 30.0, -5.0, 30.0, 4.0), ("B", 0.0, 5.0, 45.0, 5.0), ("C", 0.0, 99.0, 9.0, 99.0)], "road string, x1 double, y1 double, x2 double, y2 double")
+    got = {r["lot"]: (r["ring"][0]["x"], r["ring"][0]["y"]) for r in K.frontage_vertex(lots, doors, "lot", "d", 2.0, roads=roads, road="road").collect()}
+    assert got == {1: (10, 10), 2: (30, 10), 3: (40, 10), 4: (60, 0), 5: (80, 0)}
