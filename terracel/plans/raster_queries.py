@@ -87,7 +87,16 @@ def _(t):
     return rounded(out.select("kind", "x", "y", "score"), score=6)
 
 
-@query("isolines")
+@query("isolines", """WITH q AS (SELECT a.row_i, a.col_i, a.v AS a, b.v AS b, c.v AS c, d.v AS d FROM {dem} a JOIN {dem} b ON b.row_i = a.row_i AND b.col_i = a.col_i + 1
+  JOIN {dem} c ON c.row_i = a.row_i + 1 AND c.col_i = a.col_i + 1 JOIN {dem} d ON d.row_i = a.row_i + 1 AND d.col_i = a.col_i),
+l AS (SELECT *, unnest(range(CAST(floor(least(a, b, c, d)/10) AS BIGINT) + 1, CAST(floor(greatest(a, b, c, d)/10) AS BIGINT) + 1)) AS k FROM q),
+z AS (SELECT *, CAST(k*10 AS DOUBLE) AS z, (col_i + 0.5)*20 AS x0, (row_i + 0.5)*20 AS y0 FROM l),
+p AS (SELECT k, z, (a >= z) = ((a + b + c + d)/4 >= z) AS same, CASE WHEN (a >= z) <> (b >= z) THEN {'x': x0 + (z-a)/(b-a)*20, 'y': y0} END AS p0, CASE WHEN (b >= z) <> (c >= z) THEN {'x': x0 + 20, 'y': y0 + (z-b)/(c-b)*20} END AS p1,
+  CASE WHEN (d >= z) <> (c >= z) THEN {'x': x0 + (z-d)/(c-d)*20, 'y': y0 + 20} END AS p2, CASE WHEN (a >= z) <> (d >= z) THEN {'x': x0, 'y': y0 + (z-a)/(d-a)*20} END AS p3 FROM z),
+h AS (SELECT *, list_filter([p0, p1, p2, p3], lambda x: x IS NOT NULL) AS h FROM p),
+g AS (SELECT k, z, h[1] AS f, h[2] AS t FROM h WHERE len(h) = 2 UNION ALL SELECT k, z, p0, CASE WHEN same THEN p1 ELSE p3 END FROM h WHERE len(h) = 4
+  UNION ALL SELECT k, z, CASE WHEN same THEN p2 ELSE p1 END, CASE WHEN same THEN p3 ELSE p2 END FROM h WHERE len(h) = 4)
+SELECT z AS level, k % 5 = 0 AS master, count(*) AS segments, round(sum(sqrt((t.x-f.x)**2 + (t.y-f.y)**2)), 4) AS length FROM g WHERE f.x <> t.x OR f.y <> t.y GROUP BY ALL""")
 def _(t):
     segs = R.isolines(t.dem, 10.0, 20.0)
     return segs.groupBy("level", "master").agg(F.count(F.lit(1)).alias("segments"), F.round(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), 4).alias("length"))
