@@ -296,7 +296,12 @@ def _(t):
     return rounded(out.select(F.col("t.r").alias("row_i"), F.col("t.c").alias("col_i"), "n", "v"), v=6)
 
 
-@query("control_surface")
+@query("control_surface", """WITH t AS (SELECT DISTINCT CAST(floor(x/10) AS BIGINT) AS col_i, CAST(floor(y/10) AS BIGINT) AS row_i FROM {points}),
+c AS (SELECT t.*, q.cid, q.dz, round(sqrt((q.x - 10*col_i - 5)**2 + (q.y - 10*row_i - 5)**2), 9) AS d FROM t JOIN
+(SELECT q.*, floor(x/10) + i AS ci, floor(y/10) + j AS cj FROM {control_points} q, (VALUES (-1),(0),(1)) a(i), (VALUES (-1),(0),(1)) b(j)) q ON q.ci = col_i AND q.cj = row_i),
+k AS (SELECT * FROM c WHERE d <= 8 QUALIFY row_number() OVER (PARTITION BY col_i, row_i ORDER BY d, cid) <= 4),
+s AS (SELECT row_i, col_i, CASE WHEN min(d) = 0 THEN arg_min(dz, CASE WHEN d = 0 THEN cid END) ELSE sum(dz/nullif(d*d, 0))/sum(1/nullif(d*d, 0)) END AS v FROM k GROUP BY ALL)
+SELECT point_source_id, count(v) AS n_corrected, round(avg(z + coalesce(v, 0)), 6) AS mean_z FROM {points} p LEFT JOIN s ON s.row_i = floor(p.y/10) AND s.col_i = floor(p.x/10) GROUP BY 1""")
 def _(t):
     out = V.control_surface(t.points, t.control_points, 10.0, radius=8.0, max_points=4)
     return V.apply_dz(out).groupBy("point_source_id").agg(
