@@ -7,13 +7,14 @@ a range of point records; with ``headerOnly`` each file gives one row without re
 from __future__ import annotations
 
 import glob
+import math
 import os
 import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 POINTS = (
     "tile_id string, pid long, x double, y double, z double, intensity int, classification int, return_number int, "
@@ -96,6 +97,25 @@ class LasReader(DataSourceReader):
         self.chunk = int(options.get("recordsperpartition", options.get("recordsPerPartition", "2000000")))
         path = options["path"]
         self.paths = sorted(glob.glob(os.path.join(path, "**", "*.las"), recursive=True)) if os.path.isdir(path) else sorted(glob.glob(path))
+        self.bounds = {a: [-math.inf, math.inf] for a in "xyz"}
+
+    def pushFilters(self, filters):
+        """Bounds of x, y and z that the filters set; they skip files and records, and Spark still applies every filter."""
+        for f in [] if self.header_only else filters:
+            axis = f.attribute[0] if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) else None
+            if axis in self.bounds and isinstance(f.value, (int, float)) and f.value == f.value:
+                low, high = self.bounds[axis]
+                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    low = max(low, f.value)
+                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                    high = min(high, f.value)
+                self.bounds[axis] = [low, high]
+        yield from filters
+
+    def misses(self, head: dict) -> bool:
+        """Whether the box of a file lies outside the bounds, by more than the step of its coordinates."""
+        lo, hi, step = head["box"][:3], head["box"][3:], head["scale"]
+        return any(hi[i] + step[i] < low or lo[i] - step[i] > high for i, (low, high) in enumerate(self.bounds.values()))
 
     def partitions(self):
         if self.header_only:
@@ -112,13 +132,20 @@ class LasReader(DataSourceReader):
         if self.header_only:
             yield (part.path, head["count"], *head["box"], head["record"])
             return
+        if self.misses(head):
+            return  # no record is read
         step, (first, count) = 262_144, part.records(head)
         with open(part.path, "rb") as f:
             f.seek(head["offset"] + first * head["record"])
             for done in range(0, count, step):
                 n = min(step, count - done)
                 cols = decode(f.read(n * head["record"]), head)
-                yield self._batch(part.path, (part.file_no << RECORD_BITS) + first + done, n, cols)
+                batch = self._batch(part.path, (part.file_no << RECORD_BITS) + first + done, n, cols)
+                held = np.ones(n, bool)
+                for axis, (low, high) in self.bounds.items():
+                    if low > -math.inf or high < math.inf:
+                        held &= (cols[axis] >= low) & (cols[axis] <= high)
+                yield batch if held.all() else batch.filter(pa.array(held))
 
     @staticmethod
     def _batch(path, first, n, cols):
@@ -147,8 +174,13 @@ class LasSource(DataSource):
 
 
 def read_points(spark: SparkSession, path: str, records_per_partition: int = 2_000_000) -> DataFrame:
-    """Point records of all ``.las`` files below ``path``; ``pid`` is unique over the files: file number in path order, then record."""
+    """Point records of all ``.las`` files below ``path``; ``pid`` is unique over the files: file number in path order, then record.
+
+    Bounds that filters set on x, y and z reach the scan (this switches ``spark.sql.python.filterPushdown.enabled`` on):
+    of files whose header box lies outside only the header is read, and other records outside are not handed to Spark.
+    """
     spark.dataSource.register(LasSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("las").option("recordsPerPartition", records_per_partition).load(path)
 
 

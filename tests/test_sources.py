@@ -27,6 +27,27 @@ def write_las(path, xyz, cls, fmt=1):
     path.write_bytes(bytes(head) + body)
 
 
+def test_bounds_reach_the_point_scan(spark, tmp_path):
+    """Files out of the bounds are not read beyond their header: one here has no records left to read."""
+    rng = np.random.default_rng(1)
+    sets = {}
+    for k in range(4):
+        xyz = np.round(rng.random((40, 3)) * 10 + [100 * k, 0, 0], 2)
+        write_las(tmp_path / f"t{k}.las", xyz, rng.integers(1, 8, 40), 1)
+        sets[f"t{k}.las"] = xyz
+    whole = (tmp_path / "t3.las").read_bytes()
+    pts = las.read_points(spark, str(tmp_path), records_per_partition=15)
+    got = pts.filter("x >= 100.5 AND x < 208 AND y <= 7.25 AND classification <> 3").select("tile_id", "x", "y", "z").collect()
+    plain = pts.select("tile_id", "x", "y", "z", "classification").collect()
+    want = [r for r in plain if 100.5 <= r["x"] < 208 and r["y"] <= 7.25 and r["classification"] != 3]
+    assert sorted((r["tile_id"], r["x"], r["y"], r["z"]) for r in got) == sorted((r["tile_id"], r["x"], r["y"], r["z"]) for r in want) and want
+    edge = float(sets["t1.las"][:, 0].max())
+    assert pts.filter(F.col("x") == edge).count() == int((sets["t1.las"][:, 0] == edge).sum())
+    (tmp_path / "t3.las").write_bytes(whole[:227] + b"\0" * 7)
+    again = las.read_points(spark, str(tmp_path), records_per_partition=15)
+    assert again.filter("x < 290").count() == 120
+
+
 def test_las_points_and_headers(spark, tmp_path):
     rng = np.random.default_rng(0)
     sets = {}
