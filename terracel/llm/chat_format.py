@@ -50,7 +50,7 @@ def format_chat(turns: DataFrame, trainable: str = "assistant") -> DataFrame:
 
     Turns go by turn (nulls first), then role and text; repeated rows are turns of their own; null role
     and text are empty; null conv_id is a conversation like any other; an empty table gives no rows; other
-    columns are ignored.  Places come from sliced running sums, so one conversation may hold most rows.
+    columns are ignored; very long texts are pieces of one row.  Places come from sliced running sums, so one conversation may hold most rows.
     """
     role, text = escape_role(F.coalesce("role", F.lit(""))), escape_text(F.coalesce("text", F.lit("")))
     head = F.concat(F.lit(START), role, F.lit("\n"))

@@ -206,8 +206,8 @@ def _predict(shared):
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and ambiguous, from the whole text alone.
 
-    Null texts and texts without a letter are ``und`` with score 0; repeated rows get equal answers; an
-    empty table gives no rows; other columns pass through, but those named like the new ones are replaced.
+    Null texts and texts without a letter are ``und`` with score 0; repeated rows get equal answers; very long texts
+    are counted whole; an empty table gives no rows; other columns pass through, but those named like the new ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in (text_col, "lang_pred", "score", "ambiguous")]

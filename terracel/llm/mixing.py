@@ -62,7 +62,7 @@ def mix_plan(
     segment is the part of a document in a block: row, slot, block, pass, start, words.
     Documents carry row, doc_id, text_hash, source, size, source_size, target.
 
-    Null text has size 0 and is never taken; null is a source of its own, last in order; repeated rows
+    Null text has size 0 and is never taken; very long texts count whole; null is a source of its own, last in order; repeated rows
     are separate documents; a table without words gives no segments; other columns are ignored.
     """
     spark = docs.sparkSession

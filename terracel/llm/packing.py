@@ -108,7 +108,9 @@ def cut_documents(
 ) -> DataFrame:
     """Token pieces of every document: doc_id, piece, start, length, ids_crc32, ids (null unless ``with_ids``).
 
-    Ids of the whole text, then ``end_id``.  Only longer ones are cut: all pieces but the first are full.
+    Ids of the whole text, then ``end_id``.  Only longer ones are cut: all pieces but the first are full.  Null and empty
+    texts are ``end_id`` alone; repeated rows, null ids and ids of any type keep their pieces; a very long text is
+    encoded whole, in one row of one task; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
