@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from terracel.core.lineage import cut
 
 FOLDER = "/root/testdata/sf0.1"  # planned only: smaller tables may be broadcast whatever is done with them
 
@@ -31,3 +32,12 @@ def broadcast_explodes(df):
 @pytest.mark.parametrize("name", ["best_neighbour", "nearest_line", "road_name_at", "along_line_distance"])
 def test_exploded_rows_are_not_broadcast(spark, name):
     assert broadcast_explodes(entry.queries()[name](spark, FOLDER)) == []
+
+
+def test_checkpoints_of_exploded_rows_are_not_broadcast(spark):
+    rows = spark.range(100).selectExpr("id", "explode(sequence(0, 20)) AS i")
+    keys = cut(rows).groupBy("id").count()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        spark.range(100_000).join(keys, "id").explain()
+    assert "Broadcast" not in text.getvalue()
