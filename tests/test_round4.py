@@ -41,3 +41,12 @@ def test_checkpoints_of_exploded_rows_are_not_broadcast(spark):
     with contextlib.redirect_stdout(text):
         spark.range(100_000).join(keys, "id").explain()
     assert "Broadcast" not in text.getvalue()
+
+
+def test_states_of_chains_are_not_broadcast(spark):
+    darts = spark.range(1000).selectExpr("0 AS net", "explode(array(id, id + 1)) AS dart").distinct()
+    state = cut(darts).groupBy("net", "dart").count()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        cut(darts).join(state, ["net", "dart"]).explain()
+    assert "Broadcast" not in text.getvalue()
