@@ -50,3 +50,21 @@ def test_states_of_chains_are_not_broadcast(spark):
     with contextlib.redirect_stdout(text):
         cut(darts).join(state, ["net", "dart"]).explain()
     assert "Broadcast" not in text.getvalue()
+
+
+def under_broadcasts(df, text):
+    """Lines of the plan with ``text`` below a broadcast."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    found, under = [], None
+    for line in out.getvalue().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        under = under if under is not None and depth > under else depth if "BroadcastExchange" in line else None
+        if under is not None and text in line:
+            found.append(line.strip())
+    return found
+
+
+def test_places_of_sections_are_not_broadcast(spark):
+    assert under_broadcasts(entry.queries()["cross_sections"](spark, FOLDER), "Generate posexplode") == []
