@@ -68,3 +68,7 @@ def under_broadcasts(df, text):
 
 def test_places_of_sections_are_not_broadcast(spark):
     assert under_broadcasts(entry.queries()["cross_sections"](spark, FOLDER), "Generate posexplode") == []
+
+
+def test_lots_without_a_door_are_not_broadcast(spark):
+    assert under_broadcasts(entry.queries()["frontage_vertex"](spark, FOLDER), "LeftAnti") == []
