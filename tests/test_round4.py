@@ -72,3 +72,9 @@ def test_places_of_sections_are_not_broadcast(spark):
 
 def test_lots_without_a_door_are_not_broadcast(spark):
     assert under_broadcasts(entry.queries()["frontage_vertex"](spark, FOLDER), "LeftAnti") == []
+
+
+@pytest.mark.parametrize("name", ["land_use_detail", "land_use_check", "land_use_check_parts"])
+def test_attributes_of_uses_are_not_broadcast(spark, name):
+    # their file is small, their rows are not
+    assert under_broadcasts(entry.queries()[name](spark, FOLDER), "p_partkey") == []
