@@ -78,3 +78,17 @@ def test_lots_without_a_door_are_not_broadcast(spark):
 def test_attributes_of_uses_are_not_broadcast(spark, name):
     # their file is small, their rows are not
     assert under_broadcasts(entry.queries()[name](spark, FOLDER), "p_partkey") == []
+
+
+def test_polygon_tests_are_worked_out_once_a_pair(spark):
+    from terracel.operators.spatial import points_near_polygons
+
+    points = spark.sql("SELECT id AS pid, id / 10.0D AS x, 1.0D AS y FROM range(200)")
+    square = "array(struct(0.0D AS x, 0.0D AS y), struct(9.0D AS x, 0.0D AS y), struct(9.0D AS x, 9.0D AS y), struct(0.0D AS x, 9.0D AS y))"
+    near = points_near_polygons(points, spark.sql(f"SELECT 1 AS lot, {square} AS ring FROM range(1)"), 2.0, 5.0, "pid")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        near.filter("_in OR _d <= 1.0").select("pid", "lot", "_in", "_d").explain()
+    assert out.getvalue().count("aggregate(") == 1
+    rows = {r.pid: (r["_in"], r["_d"]) for r in near.collect()}
+    assert sorted(rows) == list(range(111)) and rows[45] == (True, 0.0) and rows[110] == (False, 2.0)
