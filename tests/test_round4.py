@@ -92,3 +92,22 @@ def test_polygon_tests_are_worked_out_once_a_pair(spark):
     assert out.getvalue().count("aggregate(") == 1
     rows = {r.pid: (r["_in"], r["_d"]) for r in near.collect()}
     assert sorted(rows) == list(range(111)) and rows[45] == (True, 0.0) and rows[110] == (False, 2.0)
+
+
+def test_groups_are_those_of_the_ranks_in_order(spark):
+    from terracel.operators.graph import conflict_groups
+
+    # a hub with more neighbours than one row lists, and a ring around it
+    edges = [(0, i) for i in range(1, 5001)] + [(i, i % 5000 + 1) for i in range(1, 5001)]
+    nodes = spark.range(5002).withColumnRenamed("id", "node")
+    hashed = {r.node: r.h for r in nodes.selectExpr("node", "xxhash64(node) AS h").collect()}
+    near = {i: set() for i in range(5002)}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+    want = {}
+    for i in sorted(near, key=lambda i: (-len(near[i]), hashed[i], i)):
+        taken = {want[j] for j in near[i] if j in want}
+        want[i] = next(g for g in range(1, 10) if g not in taken)
+    got = conflict_groups(nodes, spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.grp for r in got.collect()} == want
