@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lineage import cut
@@ -47,12 +47,22 @@ def exact_quantiles(
     if hot_rows is None:
         result = base.groupBy(*keys).agg(*exact)
         return result.drop("_all") if whole else result
-    hot = hot_keys(base, keys, hot_rows)
+    hot = cut(hot_keys(base, keys, hot_rows))  # at most HOT_TOP rows, counted once
+    if hot.isEmpty():
+        result = base.groupBy(*keys).agg(*exact)
+        return result.drop("_all") if whole else result
     small = base.join(F.broadcast(hot), keys, "left_anti").groupBy(*keys).agg(*exact)
     result = small.unionByName(_hot_quantiles(base, hot, keys, probs, out))
     return result.drop("_all") if whole else result
 
 
+def _place(value: Column, marks: Column) -> Column:
+    """2 for every one of the sorted ``marks`` below ``value``, 1 more if one is equal; halves the marks still open at each step."""
+    halves = F.array(*[F.lit(2**i) for i in range(BUCKETS.bit_length() - 1, -1, -1)])
+    below = F.aggregate(halves, F.lit(0), lambda k, step: k + F.when(F.get(marks, k + step - 1) < value, step).otherwise(0))
+    return F.aggregate(F.array(below), F.lit(0), lambda none, k: 2 * k + F.when(F.get(marks, k) == value, 1).otherwise(0))
+
+
 def _hot_quantiles(base, hot, keys, probs, out, bound: int = OPENED_ROWS):
     """Quantiles of hot groups by refining the value ranges that hold a wanted rank.
 
@@ -75,7 +85,7 @@ def _hot_quantiles(base, hot, keys, probs, out, bound: int = OPENED_ROWS):
         marks = rows.groupBy(*keys, "_id").agg(F.array_distinct(F.percentile_approx("_v", steps, SKETCH)).alias("_m"))
         placed = rows.join(F.broadcast(marks), [*keys, "_id"])
         # even parts lie between two cut values, odd ones are equal to one
-        at = F.aggregate("_m", F.lit(0), lambda k, m: k + F.when(F.col("_v") > m, 2).when(F.col("_v") == m, 1).otherwise(0))
+        at = _place(F.col("_v"), F.col("_m"))
         counts = placed.groupBy(*keys, "_id", at.alias("_at")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         order = Window.partitionBy(*keys, "_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)  # at most 2 * BUCKETS rows
         parts = counts.join(F.broadcast(ranges.select(*keys, "n", "_id", "_r", F.col("_b").alias("_from"))), [*keys, "_id"])

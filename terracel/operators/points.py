@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..core.grid import cell
 from ..core.numbering import number_rows
 from ..core.quantiles import exact_quantiles, group_median
-from ..core.skew import hot_keys, salted_join
+from ..core.skew import HOT_ROWS, group_shape, hot_keys, salted_join
 
 GROUND = 2
 NOISE = 7
@@ -191,6 +191,26 @@ def cell_lowest(points: DataFrame, size: float, tile: str = "tile_id", origin: s
     return low.select(tile, "cx", "cy", "_p.*")
 
 
+def _with_cell_median(celled: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Adds the exact median of ``value`` in the cell; cells without a value or with a null key are left out.
+
+    Cells that one task can sort are ordered where they lie: a percentile per cell would build a map for each of many
+    small cells, and its result would have to be joined back.
+    """
+    if group_shape(celled, keys)[1] > HOT_ROWS:
+        return salted_join(celled, group_median(celled, keys, value, out), keys, ["pid"])
+    v = F.col(value).cast("double")
+    good = v.isNotNull() & ~F.isnan(v)
+    cell_rows = Window.partitionBy(*keys)
+    ranked = celled.dropna(subset=list(keys)).withColumns({
+        "_good": good, "_at": F.row_number().over(cell_rows.orderBy(F.desc(good), v)) - 1, "_n": F.count_if(good).over(cell_rows)})
+    value_at = lambda i: F.max(F.when(F.col("_good") & (F.col("_at") == i), v)).over(cell_rows)
+    low, high = value_at(F.floor((F.col("_n") - 1) / 2)), value_at(F.ceil((F.col("_n") - 1) / 2))
+    ranked = ranked.filter("_n > 0").withColumns({"_low": low, "_high": high})
+    return ranked.withColumn(out, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(0.5 * F.col("_low") + 0.5 * F.col("_high"))).drop(
+        "_good", "_at", "_n", "_low", "_high")
+
+
 def thin_median(
     points: DataFrame, size: float | None, keep_class: int | None = GROUND, tile: str = "tile_id"
 ) -> DataFrame:
@@ -201,10 +221,9 @@ def thin_median(
         return points
     keys = [tile, "cx", "cy"]
     celled = with_cells(points, size)
-    med = group_median(celled, keys, "z", "_med")
     row = F.struct(*[c for c in points.columns if c != tile])
     best = (
-        salted_join(celled, med, keys, ["pid"])
+        _with_cell_median(celled, keys, "z", "_med")
         .groupBy(*keys)
         .agg(F.min_by(row, F.struct(F.abs(F.col("z") - F.col("_med")), "pid")).alias("_p"))
     )

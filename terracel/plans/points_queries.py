@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..core.lineage import cut
 from ..operators import points as P
 from ..operators import vertical as V
 from .registry import query, rounded
@@ -23,7 +24,7 @@ kept AS (SELECT dz.* FROM dz JOIN m USING (point_source_id) WHERE abs(dz) <= 2.5
 def _chain(t):
     thin = P.thin_median(t.points, 10.0)
     sampled = V.sample_raster(thin, t.dtm_cells, 10.0, "ref", nodata=-9999.0)
-    dz = V.height_difference(sampled, "ref").filter("valid")
+    dz = cut(V.height_difference(sampled, "ref").filter("valid"))  # read for the medians and again for the clip
     return V.median_clip(dz, ["point_source_id"], 2.5)
 
 
@@ -344,7 +345,7 @@ SELECT run_id, CAST(cell AS DOUBLE) AS cell, CAST(factor AS DOUBLE) AS factor, c
 FROM t JOIN k USING (run_id, point_source_id) WHERE abs(z) <= factor*abs(md)/2 GROUP BY ALL ORDER BY mae, run_id LIMIT 3""")
 def _(t):
     def run(cell, factor):
-        thin = P.thin_median(t.points, cell).withColumn("dz", F.col("z"))
+        thin = cut(P.thin_median(t.points, cell).withColumn("dz", F.col("z")))
         kept = V.median_clip(thin, ["point_source_id"], factor / 2)
         return kept.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dz"), 6).alias("mae"))
     report = V.sweep(t.spark, run, {"cell": [10.0, 25.0], "factor": [2.5, 4.0]}, 4)
