@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..core.lineage import cut
 from ..core.quantiles import exact_quantiles
+from ..core.skew import checked_join
 from ..functions import geometry as G
 
 # fixed values: column names accepted in survey files
@@ -65,15 +67,18 @@ def parse_survey_points(lines: DataFrame) -> DataFrame:
     layout = layout.withColumn("_lead", F.when(~F.col("_header") & (F.size("_names") >= 5), 1).otherwise(0))
     for i, c in enumerate(("type", "e", "n", "z")):
         layout = layout.withColumn(f"_{c}", F.when(F.col("_header"), place(c)).otherwise(F.lit(i) + F.col("_lead")).cast("int"))
-    parts = body.join(layout.drop("_head", "_names"), "path").filter(~(F.col("_header") & (F.col("seq") == F.col("_s0")))).withColumn(
+    layout = cut(layout.drop("_head", "_names"))  # one row per file
+    files = layout.count()
+    parts = checked_join(body, layout, files, ["path"], ["seq"]).filter(~(F.col("_header") & (F.col("seq") == F.col("_s0")))).withColumn(
         "_p", F.split(F.trim("value"), F.col("_sep")))
     at = lambda c: F.when(F.col(f"_{c}") >= 0, F.trim(F.get("_p", F.col(f"_{c}"))))
     num = lambda c: F.replace(at(c), F.lit(","), F.lit(".")).try_cast("double")
-    rows = parts.select("path", "seq", F.upper(at("type")).alias("type"), num("e").alias("e"), num("n").alias("n"), num("z").alias("z"))
+    # parsed once: the medians read the numbers several times
+    rows = cut(parts.select("path", "seq", F.upper(at("type")).alias("type"), num("e").alias("e"), num("n").alias("n"), num("z").alias("z")))
     med = exact_quantiles(rows.select("path", F.lit("e").alias("a"), F.col("e").alias("v")).unionByName(rows.select("path", F.lit("n").alias("a"), F.col("n").alias("v"))), ["path", "a"], "v", [0.5], "_q")
     swap = med.groupBy("path").agg(
         (F.max(F.when(F.col("a") == "e", F.col("_q")[0])) >= 1e6).alias("_em"), (F.max(F.when(F.col("a") == "n", F.col("_q")[0])) >= 1e6).alias("_nm"))
-    out = rows.join(swap, "path", "left").withColumn("_swap", F.coalesce(F.col("_em") & ~F.coalesce("_nm", F.lit(False)), F.lit(False)))
+    out = checked_join(rows, swap, files, ["path"], ["seq"], "left").withColumn("_swap", F.coalesce(F.col("_em") & ~F.coalesce("_nm", F.lit(False)), F.lit(False)))
     return out.filter("e IS NOT NULL AND n IS NOT NULL").select(
         "path", "seq", "type", F.when(F.col("_swap"), F.col("n")).otherwise(F.col("e")).alias("e"),
         F.when(F.col("_swap"), F.col("e")).otherwise(F.col("n")).alias("n"), "z")
