@@ -120,7 +120,8 @@ def nearest_any(
     if right.isEmpty():
         return nearest(left.limit(0), right, start, left_id, right_id, ("x", "y"), right_xy, keys=keys)
     # a wider first radius would compare every row with more points the denser they lie
-    radius, done, around = start if keys else min(start, usual_gap(right, rx, ry) or start), None, right
+    gap = 0.0 if keys else usual_gap(right, rx, ry)
+    radius, done, around = min(start, max(gap, start / 1024)) if gap > 0 else start, None, right
     while True:
         found = cut(nearest(open_, around, radius, left_id, right_id, ("x", "y"), right_xy, keys=keys))
         done = found if done is None else done.unionByName(found)
