@@ -33,10 +33,10 @@ def _box() -> list[Column]:
 
 
 def cell_tree(spots: DataFrame, leaf: int = LEAF) -> CellTree:
-    """Tree over distinct positions ``x, y, z, copies``: a crowded cell is halved along each axis as often as its count asks for.
+    """Tree over distinct positions ``x, y, z, copies``: a crowded cell is halved along each axis, once below the box of its members.
 
     Only positions of crowded cells go on to the next round, so a crowd makes the tree deep where it is and
-    costs nothing elsewhere.
+    costs nothing elsewhere.  A cell has at most 8 cells below it, so opening one adds few pairs.
     """
     ext = spots.agg(*_box()).first()
     if ext["lox"] is None:
@@ -47,10 +47,10 @@ def cell_tree(spots: DataFrame, leaf: int = LEAF) -> CellTree:
     rounds, members = [], None
     while True:
         crowd = (F.count(F.lit(1)) > leaf) & (F.col("level") < MOST_LEVELS)
-        # halvings down to the size of the members' box, and then so many as leave about half a leaf of evenly spread members
+        # halvings down to the size of the members' box, and one more
         extent = F.greatest(*[F.max(a) - F.min(a) for a in AXES])
         spare = F.coalesce(F.floor(F.log2(F.lit(side) / F.pow(F.lit(2.0), F.col("level")) / F.nullif(extent, F.lit(0.0)))), F.lit(0))
-        steps = F.greatest(spare, F.lit(0)) + F.greatest(F.floor(F.log2(F.count(F.lit(1)) * 2 / leaf) / 3), F.lit(1))
+        steps = F.greatest(spare, F.lit(0)) + 1
         steps = F.least(steps.cast("int"), F.lit(MOST_LEVELS) - F.col("level"))
         cells = cut(open_.groupBy(*CELL, *UP).agg(F.sum("copies").alias("n"), (~crowd).alias("leaf"), steps.alias("_steps"), *_box()))
         rounds.append(cells)
@@ -75,35 +75,56 @@ def _gap(far: bool) -> Column:
     return F.sqrt(parts[0] * parts[0] + parts[1] * parts[1] + parts[2] * parts[2])
 
 
+def _own_reach(need: int) -> Column:
+    """Distance within which every member of a leaf has ``need`` others of the leaf; null if they are too few."""
+    def kth(m):
+        gap = lambda o: F.sqrt((m["x"] - o["x"]) * (m["x"] - o["x"]) + (m["y"] - o["y"]) * (m["y"] - o["y"]) + (m["z"] - o["z"]) * (m["z"] - o["z"]))
+        return F.get(F.sort_array(F.transform("members", gap)), F.lit(need))
+
+    return F.when(F.size("members") > need, F.array_max(F.transform("members", kth)) * (1 + 1e-9))
+
+
 def candidate_leaves(tree: CellTree, need: int) -> DataFrame:
     """Pairs of leaves, the cell of one and ``to`` (the other's), such that the ``need`` nearest others of every
     position of the first lie in the paired ones.
 
-    From the root down, each leaf keeps the cells that may still matter: cells whose farthest corners are near
-    enough to hold ``need`` + 1 members bound the distance, cells beyond that bound go, and the crowded ones of
-    the rest are opened.  Boxes are those of the members, so a lonely point is exact from the start.
+    Pairs of cells go from the root down, both sides opened at once, so a round has pairs by its cells and not by
+    all leaves.  Cells whose farthest corners are near enough to hold ``need`` + 1 members bound the distance, and
+    cells beyond that bound go; at the end the members of a leaf itself bound it.  Boxes are those of the
+    members, so a lonely point is exact from the start.
     """
     boxes = [f"{n}{a}" for a in AXES for n in ("lo", "hi")]
-    target = [f"_t{c}" for c in CELL]
-    of = lambda cells: cells.select(*[F.col(c).alias(t) for c, t in zip(CELL, target, strict=True)], *UP, F.col("n").alias("_n"), F.col("leaf").alias("_leaf"), *[F.col(b).alias(f"_{b}") for b in boxes])
-    own = None
-    for cells in tree.rounds:
-        part = cells.filter("leaf").select(*CELL, *boxes)
-        own = part if own is None else own.unionByName(part)
-    columns = [*CELL, *boxes, *target, "_n", "_leaf", *[f"_{b}" for b in boxes]]
-    now = own.crossJoin(F.broadcast(of(tree.rounds[0]))).select(*columns)  # the root is one row
-    for deeper in [*tree.rounds[1:], None]:
+    facts = [*CELL, "n", "leaf", *boxes]
+    other = [f"_{c}" for c in facts]
+    theirs = [F.col(c).alias(o) for c, o in zip(facts, other, strict=True)]
+    diagonal = _gap(True)  # of a cell with itself, as pairs of the root are
+    root = tree.rounds[0]
+    now = root.select(*facts).crossJoin(F.broadcast(root.select(*theirs))).withColumn("_reach", diagonal)  # one row
+    for deeper in tree.rounds[1:]:
+        m = deeper.count()
+        up = [F.col(u).alias(f"_p{i}") for i, u in enumerate(UP)]
+        on = [f"_p{i}" for i in range(4)]
+
+        def opened(pairs, side, below, m=m, on=on):
+            """Pairs whose cell of one side is a leaf, and those with the cells below it."""
+            whole = pairs.withColumns({o: F.col(c) for c, o in zip(side, on, strict=False)}).filter(f"NOT {side[5]}").drop(*side)
+            return pairs.filter(side[5]).unionByName(checked_join(whole, below, m, on, [next(c for c in whole.columns if c.endswith("_i"))]).drop(*on))
+
+        now = opened(now, facts, deeper.select(*facts, *up))
+        own = F.sqrt(sum(((F.col(f"hi{a}") - F.col(f"lo{a}")) * (F.col(f"hi{a}") - F.col(f"lo{a}")) for a in AXES), F.lit(0.0)))
+        now = now.withColumn("_reach", F.when(F.col("n") > need, F.least("_reach", own * (1 + 1e-9))).otherwise(F.col("_reach")))
+        now = opened(now, other, deeper.select(*theirs, *up)).withColumn("_g", _gap(False)).filter("_g <= _reach")
+        per = now.groupBy(*CELL).agg(
+            *[F.first(c).alias(c) for c in (*facts[4:], "_reach")], F.collect_list(F.struct(*other, "_g", _gap(True).alias("d"))).alias("_met"))
         # the least distance within which there are need + 1 members, the position itself included
-        far = F.array_sort(F.collect_list(F.struct(_gap(True).alias("d"), F.col("_n").alias("n"))))
-        reach = F.aggregate("_far", F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("d")), lambda acc, x: F.struct(
+        far = F.array_sort(F.transform("_met", lambda o: F.struct(o["d"].alias("d"), o["_n"].alias("n"))))
+        reach = F.aggregate(far, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("d")), lambda acc, x: F.struct(
             (acc["n"] + x["n"]).alias("n"), F.when(acc["n"] >= need + 1, acc["d"]).otherwise(x["d"]).alias("d")), lambda acc: acc["d"])
-        bound = now.groupBy(*CELL).agg(far.alias("_far")).select(*CELL, (reach * (1 + 1e-9)).alias("_reach"))
-        now = cut(now.join(bound, list(CELL)).filter(_gap(False) <= F.col("_reach")).select(*columns))
-        if deeper is None:
-            return now.select(*CELL, F.struct(*[F.col(t).alias(c) for c, t in zip(CELL, target, strict=True)]).alias("to"))
-        opened = now.filter("NOT _leaf").select(*CELL, *boxes, *[F.col(t).alias(u) for t, u in zip(target, UP, strict=True)])
-        opened = checked_join(opened, of(deeper), deeper.count(), UP, CELL)
-        now = now.filter("_leaf").unionByName(opened.select(*columns))
+        per = per.withColumn("_reach", F.least("_reach", reach * (1 + 1e-9)))
+        per = per.withColumn("_m", F.explode(F.filter("_met", lambda o: o["_g"] <= F.col("_reach"))))
+        now = cut(per.select(*facts, "_reach", *[F.col(f"_m.{o}").alias(o) for o in other]))
+    near = now.join(tree.leaves.select(*CELL, _own_reach(need).alias("_own")), list(CELL)).filter(F.col("_own").isNull() | (_gap(False) <= F.col("_own")))
+    return near.select(*CELL, F.struct(*[F.col(f"_{c}").alias(c) for c in CELL]).alias("to"))
 
 
 def mean_nearest(spots: DataFrame, need: int, leaf: int = LEAF) -> DataFrame:
