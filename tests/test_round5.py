@@ -50,3 +50,32 @@ def test_tiles_of_a_shape(spark):
     assert tiles(masks[0]) == {(i, j) for i, j in every if i < 4 or j < 3}
     assert tiles(masks[1]) == {(i, j) for i, j in every if j < i}
     assert tiles(masks[2]) == {(i, j) for i, j in every if not (2 <= i < 7 and 2 <= j < 6)}
+
+
+def test_groups_by_blocks(spark):
+    """Blocks settle their nodes as the sequential rule does, in few rounds; copies and both directions of an edge count once."""
+    from terracel.operators.graph import conflict_groups
+
+    rng = np.random.default_rng(4)
+    at = rng.random((1500, 2)) * 60
+    near = [(int(i), int(j)) for i in range(1500) for j in np.flatnonzero(np.abs(at[i] - at).max(axis=1) < 2) if i < j]
+    edges = spark.createDataFrame([*near, *[(j, i) for i, j in near[:50]], *near[50:90], (7, 7)], "a long, b long")
+    nodes = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(at)] + [(2000, None, None)], "node long, x double, y double")
+    rank = {r[0]: r[1] for r in nodes.select("node", F.xxhash64("node")).collect()}
+    beside = {i: set() for i in rank}
+    for i, j in near:
+        beside[i].add(j)
+        beside[j].add(i)
+    want = {}
+    for i in sorted(beside, key=lambda i: (-len(beside[i]) - (i == 7), rank[i], i)):
+        used = {want.get(j) for j in beside[i]}
+        want[i] = next(g for g in range(1, 2000) if g not in used)
+    rounds = []
+    got = conflict_groups(nodes, edges, "node", ("x", "y"), 700, rounds)
+    assert {r["node"]: r["grp"] for r in got.collect()} == want and 2 <= len(rounds) <= 12 and got.schema["grp"].dataType.simpleString() == "int"
+    plain = conflict_groups(nodes, edges, "node")
+    assert {r["node"]: r["grp"] for r in plain.collect()} == want
+    crowd = conflict_groups(nodes.select("node", F.lit(1.0).alias("x"), F.lit(1.0).alias("y")), edges, "node", ("x", "y"), 700)
+    assert {r["node"]: r["grp"] for r in crowd.collect()} == want
+    none = conflict_groups(nodes, edges.limit(0), "node", ("x", "y"))
+    assert {r["grp"] for r in none.collect()} == {1} and none.count() == 1501
