@@ -79,3 +79,22 @@ def test_groups_by_blocks(spark):
     assert {r["node"]: r["grp"] for r in crowd.collect()} == want
     none = conflict_groups(nodes, edges.limit(0), "node", ("x", "y"))
     assert {r["grp"] for r in none.collect()} == {1} and none.count() == 1501
+
+
+@pytest.mark.parametrize("block", [40, 300])
+def test_neighbours_by_blocks(spark, block):
+    """Blocks with borders: even points, a dense corner, a lonely point, copies; no tree of cells is built."""
+    from terracel.core import knn
+
+    rng = np.random.default_rng(block)
+    xyz = np.concatenate([rng.uniform(0, 10, (900, 3)), rng.uniform(0, 2, (60, 3)), [[60.0, 3, 3], [59.0, 3, 8]]])
+    copies = rng.integers(1, 4, len(xyz)) if block == 40 else np.ones(len(xyz), int)
+    d = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(axis=2))
+    want = {}
+    for i, p in enumerate(xyz.tolist()):
+        others = np.sort(np.repeat(d[i], copies - (np.arange(len(xyz)) == i)))
+        want[tuple(p)] = others[:6].mean()
+    df = spark.createDataFrame([(*map(float, p), int(c)) for p, c in zip(xyz, copies, strict=True)], "x double, y double, z double, copies long")
+    found = knn.mean_nearest(df, 6, block=block)
+    assert "_up0" not in found._jdf.queryExecution().toString()
+    assert {(r["x"], r["y"], r["z"]): r["mean_d"] for r in found.collect()} == {p: pytest.approx(w, rel=1e-9) for p, w in want.items()}
