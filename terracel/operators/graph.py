@@ -177,8 +177,18 @@ def claim_lots(candidates: DataFrame, seq: str, lot: str, dist: str = "dist", ro
 
     Rows that compete for a lot, directly or through others, form a component; components of at most ``rows_at_once``
     candidates are served row by row, each by one task.  In larger ones rows propose in rounds.
+
+    First every row asks its nearest lot.  A lot ends with its earliest asker or an earlier row, so later rows lose it as a candidate;
+    where rows crowd around few lots hardly any candidate is left.
     """
     c = cut(candidates.select(F.col(seq).alias("seq"), F.col(lot).alias("lot"), F.col(dist).cast("double").alias("dist")))
+    n = c.count()
+    while n:
+        asked = c.groupBy("seq").agg(F.min(F.struct("dist", "lot")).alias("_b")).groupBy(F.col("_b.lot").alias("lot")).agg(F.min("seq").alias("_first"))
+        c = cut(c.join(exploded(asked), "lot", "left").filter(F.col("_first").isNull() | (F.col("seq") <= F.col("_first"))).drop("_first"))
+        before, n = n, c.count()
+        if 2 * n > before:
+            break
     node = lambda kind, of: F.concat(F.lit(kind), F.col(of).cast("string"))
     group = components(c.select(node("s", "seq").alias("a"), node("l", "lot").alias("b")).distinct())
     placed = cut(c.withColumn("node", node("l", "lot")).join(group, "node").drop("node"))

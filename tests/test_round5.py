@@ -98,3 +98,35 @@ def test_neighbours_by_blocks(spark, block):
     found = knn.mean_nearest(df, 6, block=block)
     assert "_up0" not in found._jdf.queryExecution().toString()
     assert {(r["x"], r["y"], r["z"]): r["mean_d"] for r in found.collect()} == {p: pytest.approx(w, rel=1e-9) for p, w in want.items()}
+
+
+def test_crowd_around_few_lots(spark, monkeypatch):
+    """30,000 rows want 40 lots: those that come too late are gone before components are looked for."""
+    from terracel.operators import graph
+
+    rng = np.random.default_rng(8)
+    rows = [(int(i), int(lot), float(d)) for i in range(30_000) for lot, d in zip(rng.choice(40, 3, replace=False), rng.integers(0, 6, 3), strict=True)]
+    taken, want = set(), {}
+    for i in range(30_000):
+        free = sorted((d, lot) for _, lot, d in rows[3 * i:3 * i + 3] if lot not in taken)
+        if free:
+            want[i] = free[0][1]
+            taken.add(free[0][1])
+    seen, plain = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda e, *a: (seen.append(e.count()), plain(e, *a))[1])
+    got = graph.claim_lots(spark.createDataFrame(rows, "seq long, lot long, dist double"), "seq", "lot")
+    assert {r["seq"]: r["lot"] for r in got.collect()} == want and seen[0] < 5_000
+
+
+def test_points_and_plain_boxes(spark):
+    """Boxes give the pairs and distances that their edges give."""
+    from terracel.operators import spatial
+
+    rng = np.random.default_rng(9)
+    pts = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(rng.integers(0, 48, (400, 2)) / 4)], "pid long, x double, y double")
+    lots = boxes(spark, [(i, 3.0 * (i % 4), 4.0 * (i // 4), 3.0 * (i % 4) + 3, 4.0 * (i // 4) + 4) for i in range(12)], "lot")
+    # one corner more makes a ring that is not told apart as a box
+    more = lots.withColumn("ring", F.concat("ring", F.array(F.struct(F.col("ring")[0]["x"].alias("x"), (F.col("ring")[0]["y"] + 1).alias("y")))))
+    a, b = ({(r["pid"], r["lot"], r["_in"]): r["_d"] for r in spatial.points_near_polygons(pts, ls, 1.5, 2.0, "pid").collect()} for ls in (lots, more))
+    assert set(a) == set(b) and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
+    assert len(a) > 400
